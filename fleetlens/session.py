@@ -24,6 +24,7 @@ SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.exchange.reuse": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
