@@ -25,7 +25,7 @@ from fleetlens.functions.numeric import lenient_double, lenient_int, round_half_
 from fleetlens.functions.temporal import bucket_start, day_of_prefix, to_ntz
 from fleetlens.functions.text import CAT_PREFIX, norm
 from fleetlens.operators.hours import SECONDS_PER_HOUR, lenient_active
-from fleetlens.operators.joins import keep_left_join
+from fleetlens.operators.joins import self_dim_left_join
 from fleetlens.operators.latest import latest_per_key
 from fleetlens.operators.units import (
     CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
@@ -136,26 +136,35 @@ def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_min
 
 
 def jd_fuel_daily(src) -> DataFrame:
-    """Latest machines with their 'Fuel Consumed' days (kept without fuel, NULL day)."""
+    """Latest machines with their 'Fuel Consumed' days (kept without fuel, NULL day).
+
+    Fuel and activity come from the same long table; one pass groups it by
+    (serial, day) with metric-conditional sums, instead of one scan and one
+    shuffle per metric.  A day exists on the fuel side only if it has a
+    'Fuel Consumed' row; its flag is 1 when its 'Machine Utilization'
+    seconds sum to > 0 (0 when it has none).
+    """
     m = src.jd_measurement
     hour = F.lit(SECONDS_PER_HOUR)
-    day = F.col("intervalEndDate").cast("date")
-    fuel = (m.where(F.col("_name") == F.lit("Fuel Consumed"))
-             .groupBy(F.col("serial_number").alias("fc_serial"), day.alias("fc_date"))
-             .agg((F.sum("idle") / hour).alias("fc_idle"), (F.sum("working") / hour).alias("fc_working"),
-                  (F.sum("transport") / hour).alias("fc_transport"))
-             .withColumn("fc_total", F.col("fc_idle") + F.col("fc_working")))
-    active = (m.where(F.col("_name") == F.lit("Machine Utilization"))
-               .groupBy(F.col("serial_number").alias("ja_serial"), day.alias("ja_date"))
-               .agg(F.when(F.sum(F.col("idle") + F.col("working")) / hour > 0, F.lit(1))
-                     .otherwise(F.lit(0)).alias("ja_active")))
+    is_fuel = F.col("_name") == F.lit("Fuel Consumed")
+    is_util = F.col("_name") == F.lit("Machine Utilization")
+    per_day = (m.where(is_fuel | is_util)
+                .groupBy(F.col("serial_number").alias("fc_serial"),
+                         F.col("intervalEndDate").cast("date").alias("fc_date"))
+                .agg(F.count_if(is_fuel).alias("fc_rows"),
+                     (F.sum(F.when(is_fuel, F.col("idle"))) / hour).alias("fc_idle"),
+                     (F.sum(F.when(is_fuel, F.col("working"))) / hour).alias("fc_working"),
+                     (F.sum(F.when(is_fuel, F.col("transport"))) / hour).alias("fc_transport"),
+                     F.sum(F.when(is_util, F.col("idle") + F.col("working"))).alias("mu_seconds")))
+    fuel = (per_day.where(F.col("fc_rows") > 0)
+                   .withColumn("fc_total", F.col("fc_idle") + F.col("fc_working"))
+                   .withColumn("fc_active", F.when(F.col("mu_seconds") / hour > 0, F.lit(1)).otherwise(F.lit(0))))
     eq = jd_latest_machines(src.jd_equipment)
+    # one row per (serial, day) on the right: a unit adds at most a row per day
     rows = eq.join(fuel, eq["serialNumber"] == fuel["fc_serial"], "left")
-    rows = rows.join(active, (rows["serialNumber"] == active["ja_serial"]) & (rows["fc_date"] == active["ja_date"]),
-                     "left")
     return rows.select(*_fuel_row(F.col("serialNumber"), F.col("_name"), F.col("fleet_type"), JOHN_DEERE,
                                   F.col("fc_date"), F.col("fc_idle"), F.col("fc_working"), F.col("fc_transport"),
-                                  F.col("fc_total"), F.coalesce(F.col("ja_active"), F.lit(0))))
+                                  F.col("fc_total"), F.coalesce(F.col("fc_active"), F.lit(0))))
 
 
 def liugong_active(work_hours: DataFrame) -> DataFrame:
@@ -208,7 +217,7 @@ def cat_fuel_allocation(src) -> DataFrame:
                       lenient_double("working_time_hours").alias("cf_work"),
                       lenient_double("idle_time_hours").alias("cf_idle"),
                       lenient_double("total_fuel_burned_liter").alias("cf_total"))
-    rows = keep_left_join(assets, facts, ["asset_serial_number"], ["cf_serial"])
+    rows = self_dim_left_join(assets, facts, "asset_serial_number", "cf_serial")
     work, idle, total = F.col("cf_work"), F.col("cf_idle"), F.col("cf_total")
     hours = F.nullif(work + idle, F.lit(0.0))
     idle_fuel = round_half_up(F.try_divide(total * idle, hours), 2)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.numeric import lenient_double, round_half_up
 from fleetlens.functions.temporal import day_of_prefix
-from fleetlens.operators.joins import keep_left_join
+from fleetlens.operators.joins import keep_left_join, self_dim_left_join
 from fleetlens.operators.units import (
     CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
     jd_latest_machines, liugong_latest_machines,
@@ -107,7 +107,8 @@ def liugong_hours(src) -> DataFrame:
 
 def cat_hours(src) -> DataFrame:
     cat = cat_latest_assets(src.cat_asset_utilization)
-    rows = keep_left_join(cat, cat_daily(src.cat_asset_utilization), ["asset_serial_number"], ["cd_serial"])
+    # the asset list is the latest row of each asset of this same table
+    rows = self_dim_left_join(cat, cat_daily(src.cat_asset_utilization), "asset_serial_number", "cd_serial")
     w, i = F.col("cd_work"), F.col("cd_idle")
     return _daily(rows, F.col("asset_serial_number"), F.lit(None).cast("string"), F.col("model"), CATERPILLAR,
                   F.col("cd_date"), w, i, lenient_active(w, i))

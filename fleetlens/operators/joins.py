@@ -53,3 +53,18 @@ def weighted_left_join(left: DataFrame, right_counts: DataFrame, left_keys: Sequ
     return left.join(right_counts,
                      _and([left[lk] == right_counts[rk] for lk, rk in zip(left_keys, right_keys)]),
                      "left")
+
+
+def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
+    """``dim LEFT JOIN fact`` when ``dim`` was derived from ``fact`` itself.
+
+    Every non-NULL dimension key then occurs in the fact table, so the only
+    unmatched dimension rows are those with a NULL key: the result is the
+    inner join plus those rows, with no second pass over the facts.
+    """
+    clash = set(dim.columns) & set(fact.columns)
+    if clash:
+        raise ValueError(f"column names on both sides: {sorted(clash)}")
+    matched = dim.join(fact, dim[dim_key] == fact[fact_key], "inner").select(*dim.columns, *fact.columns)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]
+    return matched.unionByName(dim.where(F.col(dim_key).isNull()).select(*dim.columns, *nulls))
