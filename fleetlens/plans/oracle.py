@@ -338,5 +338,12 @@ def _finals() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
+    """SQL per registry key over the driver tables (adapters as CTEs)."""
     prefix = "WITH " + adapter_ctes() + ",\n" + _ctes() + "\n"
     return {k: prefix + v for k, v in _finals().items()}
+
+
+def source_sql() -> dict[str, str]:
+    """SQL per registry key over tables named like the nine fleet sources."""
+    prefix = "WITH " + _ctes() + "\n"
+    return {k: prefix + v for k, v in _finals().items()}

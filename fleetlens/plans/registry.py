@@ -31,7 +31,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _q(fn: Callable[[FleetSources], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(derive_from_driver_tables(spark, sf_dir))
-    run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
 
@@ -107,34 +106,40 @@ def _last_reading(src: FleetSources) -> DataFrame:
     return fu.last_reading_per_bucket(fu.fuel_readings_clean(src.fuso_fuel_reports))
 
 
-def queries() -> dict[str, Query]:
+def source_queries() -> dict[str, Callable[[FleetSources], DataFrame]]:
+    """The registry over already-built fleet sources (tests, real tables)."""
     return {
-        "latest_fuso_devices": _q(lambda s: fuso_latest_devices(s.fuso_devices)),
-        "latest_jd_equipment": _q(lambda s: jd_latest_machines(s.jd_equipment)),
-        "latest_liugong": _q(lambda s: liugong_latest_machines(s.liugong_machines)),
-        "latest_cat": _q(lambda s: cat_latest_assets(s.cat_asset_utilization)),
-        "empty_to_null_date": _q(_empty_to_null_date),
-        "register_latest_snapshot": _q(lambda s: register_latest(s.lark_fleet_master)),
-        "register_normalize": _q(_register_normalize),
-        "clean_user_department": _q(_clean_user),
-        "fleet_units": _q(fleet_units),
-        "fleet_list": _q(reports.fleet_list),
-        "fuso_daily_hours": _q(_fuso_daily_hours),
-        "jd_daily_hours": _q(_jd_daily_hours),
-        "liugong_cat_daily_hours": _q(_liugong_cat_daily_hours),
-        "active_flag_rules": _q(_active_flag_rules),
-        "work_idle_ratio": _q(_work_idle_ratio),
-        "hours": _q(reports.hours),
-        "active_days_30d": _q(lambda s: active_days(s, AS_OF)),
-        "impute_vehicle_master": _q(_impute_vehicle_master),
-        "utilization": _q(lambda s: reports.utilization(s, AS_OF)),
-        "fuel_readings_clean": _q(lambda s: fu.fuel_readings_clean(s.fuso_fuel_reports)),
-        "half_hour_bucket": _q(lambda s: fu.half_hour_buckets(s.fuso_fuel_reports)),
-        "last_reading_per_bucket": _q(_last_reading),
-        "fuel_delta": _q(fu.fuso_fuel_steps),
-        "fuso_fuel_daily": _q(fu.fuso_fuel_daily),
-        "jd_fuel_daily": _q(fu.jd_fuel_daily),
-        "liugong_fuel_daily": _q(fu.liugong_fuel_daily),
-        "cat_fuel_allocation": _q(fu.cat_fuel_allocation),
-        "fuel": _q(reports.fuel),
+        "latest_fuso_devices": lambda s: fuso_latest_devices(s.fuso_devices),
+        "latest_jd_equipment": lambda s: jd_latest_machines(s.jd_equipment),
+        "latest_liugong": lambda s: liugong_latest_machines(s.liugong_machines),
+        "latest_cat": lambda s: cat_latest_assets(s.cat_asset_utilization),
+        "empty_to_null_date": _empty_to_null_date,
+        "register_latest_snapshot": lambda s: register_latest(s.lark_fleet_master),
+        "register_normalize": _register_normalize,
+        "clean_user_department": _clean_user,
+        "fleet_units": fleet_units,
+        "fleet_list": reports.fleet_list,
+        "fuso_daily_hours": _fuso_daily_hours,
+        "jd_daily_hours": _jd_daily_hours,
+        "liugong_cat_daily_hours": _liugong_cat_daily_hours,
+        "active_flag_rules": _active_flag_rules,
+        "work_idle_ratio": _work_idle_ratio,
+        "hours": reports.hours,
+        "active_days_30d": lambda s: active_days(s, AS_OF),
+        "impute_vehicle_master": _impute_vehicle_master,
+        "utilization": lambda s: reports.utilization(s, AS_OF),
+        "fuel_readings_clean": lambda s: fu.fuel_readings_clean(s.fuso_fuel_reports),
+        "half_hour_bucket": lambda s: fu.half_hour_buckets(s.fuso_fuel_reports),
+        "last_reading_per_bucket": _last_reading,
+        "fuel_delta": fu.fuso_fuel_steps,
+        "fuso_fuel_daily": fu.fuso_fuel_daily,
+        "jd_fuel_daily": fu.jd_fuel_daily,
+        "liugong_fuel_daily": fu.liugong_fuel_daily,
+        "cat_fuel_allocation": fu.cat_fuel_allocation,
+        "fuel": reports.fuel,
     }
+
+
+def queries() -> dict[str, Query]:
+    """The registry over the driver tables of an ``sf_dir`` (via the adapters)."""
+    return {k: _q(fn) for k, fn in source_queries().items()}
