@@ -50,6 +50,34 @@ def _unit_active(units: DataFrame, counts: DataFrame, unit_key: str, name: str,
                           "total_active_days"))
 
 
+def _fuso_units(src) -> DataFrame:
+    return fuso_latest_devices(src.fuso_devices).where(_present(F.col("chassis_number")))
+
+
+def _jd_units(src) -> DataFrame:
+    return jd_latest_machines(src.jd_equipment).where(_present(F.col("serialNumber")))
+
+
+def _lg_units(src) -> DataFrame:
+    return liugong_latest_machines(src.liugong_machines).where(_present(F.col("serialNumber")))
+
+
+def _cat_units(src) -> DataFrame:
+    return cat_latest_assets(src.cat_asset_utilization).where(_present(F.col("asset_serial_number")))
+
+
+def unit_catalog(src) -> DataFrame:
+    """(idNumber, vehicleType, manufacture) of every unit the utilization
+    report counts; no fact table is read."""
+    def pick(df, id_c, type_c, maker):
+        return df.select(F.col(id_c).alias("idNumber"), F.col(type_c).alias("vehicleType"),
+                         F.lit(maker).alias("manufacture"))
+    return (pick(_fuso_units(src), "chassis_number", "vehicle_type", MITSUBISHI)
+            .unionByName(pick(_jd_units(src), "serialNumber", "fleet_type", JOHN_DEERE))
+            .unionByName(pick(_lg_units(src), "serialNumber", "equipmentModel", LIUGONG))
+            .unionByName(pick(_cat_units(src), "asset_serial_number", "model", CATERPILLAR)))
+
+
 def active_days(src, as_of: str | None = None, window_days: int = 30) -> DataFrame:
     """(idNumber, vehicleName, vehicleType, manufacture, total_active_days) for all makers."""
     since = window_start(as_of, window_days)
@@ -59,30 +87,26 @@ def active_days(src, as_of: str | None = None, window_days: int = 30) -> DataFra
     fuso_work = (round_half_up(lenient_double(ds["long_drive"]) / hour, 2)
                  + round_half_up(lenient_double(ds["long_idle"]) / hour, 2))
     fuso_counts = _active_counts(ds, ds["imei"], day_of_prefix(ds["_date"]), fuso_work, since, "fuso")
-    dev = fuso_latest_devices(src.fuso_devices).where(_present(F.col("chassis_number")))
-    fuso = _unit_active(dev, fuso_counts, "imei", "fuso", "chassis_number", F.col("vehicle_name"),
+    fuso = _unit_active(_fuso_units(src), fuso_counts, "imei", "fuso", "chassis_number", F.col("vehicle_name"),
                         "vehicle_type", MITSUBISHI)
 
     m = src.jd_measurement.where(F.col("_name") == F.lit("Machine Utilization"))
     jd_work = (m["idle"] / hour) + (m["working"] / hour)
     jd_counts = _active_counts(m, m["serial_number"], m["intervalEndDate"].cast("date"), jd_work, since, "jd")
-    eq = jd_latest_machines(src.jd_equipment).where(_present(F.col("serialNumber")))
-    jd = _unit_active(eq, jd_counts, "serialNumber", "jd", "serialNumber", F.col("_name"), "fleet_type",
-                      JOHN_DEERE)
+    jd = _unit_active(_jd_units(src), jd_counts, "serialNumber", "jd", "serialNumber", F.col("_name"),
+                      "fleet_type", JOHN_DEERE)
 
     wh = src.liugong_work_hours
     lg_work = lenient_double(wh["working_hours"]) + lenient_double(wh["idle_hours"])
     lg_counts = _active_counts(wh, wh["overall_unit_sn"], wh["extract_date"].cast("date"), lg_work, since, "lg")
-    lg_units = liugong_latest_machines(src.liugong_machines).where(_present(F.col("serialNumber")))
-    lg = _unit_active(lg_units, lg_counts, "serialNumber", "lg", "serialNumber", F.col("productName"),
+    lg = _unit_active(_lg_units(src), lg_counts, "serialNumber", "lg", "serialNumber", F.col("productName"),
                       "equipmentModel", LIUGONG)
 
     ca = src.cat_asset_utilization
     cat_work = lenient_double(ca["working_time_hours"]) + lenient_double(ca["idle_time_hours"])
     cat_counts = _active_counts(ca, ca["asset_serial_number"], ca["extract_date"].cast("date"), cat_work, since,
                                 "cat")
-    cat_units = cat_latest_assets(ca).where(_present(F.col("asset_serial_number")))
-    cat = _unit_active(cat_units, cat_counts, "asset_serial_number", "cat", "asset_serial_number",
+    cat = _unit_active(_cat_units(src), cat_counts, "asset_serial_number", "cat", "asset_serial_number",
                        F.lit(None).cast("string"), "model", CATERPILLAR)
 
     return fuso.unionByName(jd).unionByName(lg).unionByName(cat)

@@ -114,6 +114,20 @@ def cat_hours(src) -> DataFrame:
                   F.col("cd_date"), w, i, lenient_active(w, i))
 
 
+def hour_units(src) -> DataFrame:
+    """(idNumber, vehicleType, manufacture) of every unit in ``daily_hours``:
+    each unit appears there at least once (left joins from the unit lists),
+    so this is the set of unit keys without reading any fact table."""
+    def pick(df, id_c, type_c, maker):
+        return df.select(id_c.alias("idNumber"), F.col(type_c).alias("vehicleType"), F.lit(maker).alias("manufacture"))
+    return (pick(fuso_latest_devices(src.fuso_devices), F.col("chassis_number"), "vehicle_type", MITSUBISHI)
+            .unionByName(pick(jd_latest_machines(src.jd_equipment), F.col("serialNumber"), "fleet_type", JOHN_DEERE))
+            .unionByName(pick(liugong_latest_machines(src.liugong_machines), F.col("serialNumber"),
+                              "equipmentModel", LIUGONG))
+            .unionByName(pick(cat_latest_assets(src.cat_asset_utilization), F.col("asset_serial_number"), "model",
+                              CATERPILLAR)))
+
+
 def daily_hours(src) -> DataFrame:
     """All makers' unit-day rows; units without any day appear once with NULL date."""
     return fuso_hours(src).unionByName(jd_hours(src)).unionByName(liugong_hours(src)).unionByName(cat_hours(src))

@@ -15,7 +15,6 @@ from fleetlens.functions.text import clean_user
 from fleetlens.operators import fuel as fu
 from fleetlens.operators import hours as hr
 from fleetlens.operators.activity import active_days
-from fleetlens.operators.enrich import vehicle_master
 from fleetlens.operators.register import register_keys, register_latest
 from fleetlens.operators.units import (
     CATERPILLAR, LIUGONG, cat_latest_assets, fleet_units, fuso_latest_devices, jd_latest_machines,
@@ -99,7 +98,7 @@ def _work_idle_ratio(src: FleetSources) -> DataFrame:
 
 
 def _impute_vehicle_master(src: FleetSources) -> DataFrame:
-    return vehicle_master(reports.hours_joined(src))
+    return reports.hours_master(src)
 
 
 def _last_reading(src: FleetSources) -> DataFrame:

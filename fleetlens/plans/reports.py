@@ -5,9 +5,11 @@
 * ``hours``       – daily working / idle hours with efficiency ratios
 * ``fuel``        – daily fuel split into idle and working
 
-Catalyst plans each report as a whole; shared intermediates (the enriched
-rows read once for the report and once for the attribute master) are
-computed once because AQE reuses the identical shuffle stages.
+Catalyst plans each report as a whole.  Each report imputes missing
+attributes from a per-(maker, type) master.  For hours and utilization the
+master is built from the unit lists (no fact table is read twice); for fuel
+the enriched rows are written once under the checkpoint directory and read
+by both the master and the report.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.text import norm
-from fleetlens.operators.activity import active_days
+from fleetlens.operators.activity import active_days, unit_catalog
 from fleetlens.operators.enrich import attach_register, impute_from_master, vehicle_master
 from fleetlens.operators.fuel import fuel_daily
-from fleetlens.operators.hours import daily_hours, work_idle_ratio
+from fleetlens.operators.hours import daily_hours, hour_units, work_idle_ratio
 from fleetlens.operators.register import register_for
 from fleetlens.operators.units import fleet_units
+from fleetlens.plans.materialize import write_and_read
 
 # Reconciliation labels.
 DATALAKE_ONLY = "Datalake Only"
@@ -58,20 +61,33 @@ def fleet_list(src, ordered: bool = True) -> DataFrame:
     return out.orderBy(*_asc("data_source", "manufacture", "idNumber")) if ordered else out
 
 
+def _utilization_attrs(rows: DataFrame, register: DataFrame) -> DataFrame:
+    joined = attach_register(rows, register)
+    keep = [c for c in ("total_active_days",) if c in rows.columns]
+    return joined.select(norm("manufacture").alias("manufacture"), norm("vehicleType").alias("vehicleType"),
+                         "equipment_location", "egi_equipment_description", "model", "class", "user_company", *keep)
+
+
 def utilization_rows(src, as_of: str | None = None, window_days: int = 30) -> DataFrame:
     """Units with active-day counts, register attributes, normalized maker/type."""
-    units = active_days(src, as_of, window_days)
     reg = register_for(src.lark_fleet_master, "utilization")
-    joined = attach_register(units, reg)
-    return joined.select(norm("manufacture").alias("manufacture"), norm("vehicleType").alias("vehicleType"),
-                         "equipment_location", "egi_equipment_description", "model", "class", "user_company",
-                         "total_active_days")
+    return _utilization_attrs(active_days(src, as_of, window_days), reg)
+
+
+def utilization_master(src) -> DataFrame:
+    """Attribute master of the utilization report.
+
+    MAX ignores multiplicity, so it only needs the set of (unit, maker,
+    type) keys, which is the unit list itself: computed without the facts.
+    """
+    reg = register_for(src.lark_fleet_master, "utilization")
+    return vehicle_master(_utilization_attrs(unit_catalog(src), reg))
 
 
 def utilization(src, as_of: str | None = None, window_days: int = 30, threshold: int = 10,
                 ordered: bool = True) -> DataFrame:
     joined = utilization_rows(src, as_of, window_days)
-    full = impute_from_master(joined, vehicle_master(joined))
+    full = impute_from_master(joined, utilization_master(src))
     under = F.sum(F.when(F.col("total_active_days") < F.lit(threshold), F.lit(1)).otherwise(F.lit(0)))
     out = (full.groupBy(F.col("manufacture"), F.col("vehicleType"), F.col("equipment_location"),
                         F.coalesce("egi_equipment_description", "vm_egi_equipment_description")
@@ -90,9 +106,15 @@ def hours_joined(src) -> DataFrame:
     return attach_register(daily_hours(src), register_for(src.lark_fleet_master, "hours"))
 
 
+def hours_master(src) -> DataFrame:
+    """Attribute master of the hours report, from the unit keys (every unit
+    of ``daily_hours`` has at least one row there), without the facts."""
+    return vehicle_master(attach_register(hour_units(src), register_for(src.lark_fleet_master, "hours")))
+
+
 def hours(src, ordered: bool = True) -> DataFrame:
     joined = hours_joined(src)
-    full = impute_from_master(joined, vehicle_master(joined))
+    full = impute_from_master(joined, hours_master(src))
     wr, ir = work_idle_ratio(F.col("work_hour"), F.col("idle_hour"))
     out = full.select(
         "idNumber", "vehicleName", "vehicleType", "manufacture", "_date", "work_hour", "idle_hour",
@@ -105,9 +127,14 @@ def hours(src, ordered: bool = True) -> DataFrame:
 
 
 def fuel(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
-         ordered: bool = True) -> DataFrame:
+         ordered: bool = True, materialize: bool = True) -> DataFrame:
     merged = fuel_daily(src, fuel_max, drop_cap, bucket_minutes)
     joined = attach_register(merged, register_for(src.lark_fleet_master, "fuel"))
+    # The unit set of this report comes from the fuel facts themselves, so the
+    # master needs the enriched rows; they are written once (unit-day grain)
+    # instead of recomputing the reading pipeline for the second reader.
+    if materialize:
+        joined = write_and_read(joined, "fuel_joined")
     full = impute_from_master(joined, vehicle_master(joined), normalized=True)
     out = full.select(
         "idNumber", "vehicleName", "vehicleType", "manufacture", "_date",
