@@ -102,7 +102,8 @@ def _fuel_row(id_c, name_c, type_c, maker: str, date_c, idle_c, work_c, transpor
             total_c.cast("double").alias("fuel_consumed_total"), active_c.cast("int").alias("is_active_day")]
 
 
-def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30) -> DataFrame:
+def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
+                    steps: DataFrame | None = None) -> DataFrame:
     """Per (chassis, device name, device type, day): idle, working, total litres.
 
     Every reading row is joined to each device whose chassis matches after
@@ -111,8 +112,12 @@ def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_min
     without materializing the product: readings are summed per chassis-day
     first, activity rows are counted per (imei, day), and each chassis-day
     sum is weighted by its device's activity-row count.
+
+    ``steps`` may be given (same columns as ``fuso_fuel_steps``), e.g. the
+    table the streaming job maintains.
     """
-    steps = fuso_fuel_steps(src, fuel_max, drop_cap, bucket_minutes)
+    if steps is None:       # else: a step table kept up to date by fleetlens.streaming
+        steps = fuso_fuel_steps(src, fuel_max, drop_cap, bucket_minutes)
     per_day = (steps.groupBy(F.col("idNumber").alias("f_id"), F.col("_date").alias("f_date"))
                     .agg(F.sum("fuel_used_liters").alias("f_used"), F.sum("idle_fuel_consumption").alias("f_idle"))
                     .withColumn("f_key", norm("f_id")))

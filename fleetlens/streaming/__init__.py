@@ -1,0 +1,5 @@
+"""Structured Streaming form of the fuel reading reduction."""
+
+from fleetlens.streaming.fuel import fuel_steps_stream, start_fuel_stream
+
+__all__ = ["fuel_steps_stream", "start_fuel_stream"]

@@ -1,0 +1,138 @@
+"""Incremental form of the MITSUBISHI fuel reading pipeline.
+
+Raw fuel-level readings are the largest input of the fuel report.  One
+Structured Streaming query turns them, as they arrive, into the same
+per-bucket fuel steps the batch job computes (``fuso_fuel_steps``):
+
+* the readings are cleaned exactly like the batch job (built-in columns);
+* ``applyInPandasWithState`` keyed by chassis keeps, per chassis, the best
+  reading of every still-open half-hour bucket (newest time, then the batch
+  tie-break) and the last finalized bucket (level, odometer);
+* a bucket is finalized once the watermark passes its end — any reading for
+  it would now be late and is dropped by Spark — in bucket order, and its
+  delta against the previous finalized bucket is emitted (LAG semantics);
+* an event-time timeout wakes a chassis that stops reporting, so its open
+  buckets are finalized when the watermark moves on.
+
+State per chassis is the open buckets (at most lateness / 30 min + 1 of them)
+and one previous bucket, so it is bounded by the number of chassis, not by
+the data.  The daily roll-up reads the step table in batch
+(``fleetlens.operators.fuel.fuso_fuel_daily(src, steps=...)``).
+
+Inherent differences to the batch job: readings without a timestamp are not
+on the event-time axis and are left out; readings later than the watermark
+are dropped.  Event times are compared in UTC (the library's session zone).
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from fleetlens.functions.temporal import to_ntz
+from fleetlens.operators.fuel import fuel_readings_clean
+from fleetlens.sources.schemas import FUSO_FUEL_REPORTS
+
+STEP_SCHEMA = ("_date date, idNumber string, window_start timestamp_ntz, _time string, prev_fuel_level int, "
+               "fuelLevel int, fuel_used_liters int, prev_odometer int, odometer int, trip_meter int, "
+               "idle_fuel_consumption int")
+# open buckets as JSON text: {start_iso: [ts_iso, fuel, odometer, date_iso, _time]}
+STATE_SCHEMA = "prev_fuel int, prev_odometer int, open_buckets string"
+
+_EPOCH = pd.Timestamp("1970-01-01")
+
+
+def _ms(ts: pd.Timestamp) -> int:
+    return int((ts - _EPOCH) // pd.Timedelta(milliseconds=1))
+
+
+def _none(v):
+    return None if v is None or (not isinstance(v, str) and pd.isna(v)) else v
+
+
+def _rank(r: list) -> tuple:
+    """Order of readings inside a bucket: time, level, odometer, date, text;
+    greatest wins, NULL lowest (the batch job's tie-break)."""
+    return tuple((v is not None, v if v is not None else 0) for v in r)
+
+
+def _finalizer(bucket_minutes: int, drop_cap: int):
+    width = pd.Timedelta(minutes=bucket_minutes)
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        chassis = key[0]
+        if state.exists:
+            prev_fuel, prev_odo, open_json = state.get
+            open_b = json.loads(open_json)
+        else:
+            prev_fuel, prev_odo, open_b = None, None, {}
+        for pdf in batches:
+            cols = [pdf[c].tolist() for c in ("window_start", "ts", "fuelLevel", "odometer", "extract_date", "_time")]
+            for start_v, ts_v, fuel_v, odo_v, day_v, text_v in zip(*cols):
+                start = pd.Timestamp(start_v).isoformat()
+                cand = [pd.Timestamp(ts_v).isoformat(), _none(fuel_v), _none(odo_v),
+                        None if _none(day_v) is None else pd.Timestamp(day_v).date().isoformat(), _none(text_v)]
+                cand = [int(v) if isinstance(v, float) else v for v in cand]
+                if start not in open_b or _rank(cand) > _rank(open_b[start]):
+                    open_b[start] = cand
+        watermark = state.getCurrentWatermarkMs()
+        ready = sorted(s for s in open_b if _ms(pd.Timestamp(s) + width) <= watermark)
+        rows = []
+        for s in ready:
+            ts, fuel, odo, day, text = open_b.pop(s)
+            used = prev_fuel - fuel if (prev_fuel is not None and fuel < prev_fuel
+                                        and prev_fuel - fuel < drop_cap) else 0
+            trip = odo - prev_odo if (prev_odo is not None and odo is not None and odo > prev_odo) else 0
+            idle = used if (used > 0 and trip == 0) else 0
+            rows.append((None if day is None else pd.Timestamp(day).date(), chassis, pd.Timestamp(s), text,
+                         prev_fuel, fuel, used, prev_odo, odo, trip, idle))
+            prev_fuel, prev_odo = fuel, odo
+        state.update((prev_fuel, prev_odo, json.dumps(open_b)))
+        if open_b:
+            state.setTimeoutTimestamp(max(_ms(pd.Timestamp(min(open_b)) + width), watermark + 1))
+        if rows:
+            cols = ["_date", "idNumber", "window_start", "_time", "prev_fuel_level", "fuelLevel",
+                    "fuel_used_liters", "prev_odometer", "odometer", "trip_meter", "idle_fuel_consumption"]
+            out = pd.DataFrame(rows, columns=cols)
+            for c in ("prev_fuel_level", "fuelLevel", "prev_odometer", "odometer"):
+                out[c] = out[c].astype("Int32")
+            yield out
+    return run
+
+
+def fuel_steps_stream(readings: DataFrame, lateness: str = "2 hours", fuel_max: float = 300.0,
+                      drop_cap: int = 50, bucket_minutes: int = 30) -> DataFrame:
+    """Streaming readings -> fuel steps (one row per finalized chassis bucket)."""
+    clean = (fuel_readings_clean(readings, fuel_max, bucket_minutes)
+             .where(F.col("window_start").isNotNull())
+             .withColumn("ts", to_ntz("_time"))
+             .withColumn("__event", F.col("ts").cast("timestamp")))
+    return (clean.withWatermark("__event", lateness)
+                 .groupBy("chassis_number")
+                 .applyInPandasWithState(_finalizer(bucket_minutes, drop_cap), STEP_SCHEMA, STATE_SCHEMA,
+                                         "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def start_fuel_stream(spark: SparkSession, readings_dir: str, steps_dir: str, checkpoint_dir: str,
+                      lateness: str = "2 hours", available_now: bool = True,
+                      max_files_per_trigger: int | None = None):
+    """Run the query: parquet reading files -> parquet step table.
+
+    ``checkpoint_dir`` holds offsets and state; on a cluster it must be a
+    shared folder (e.g. under ``spark.checkpoint.dir``).
+    """
+    r = spark.readStream.schema(FUSO_FUEL_REPORTS)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    w = (fuel_steps_stream(r.parquet(readings_dir), lateness).writeStream.format("parquet")
+         .option("path", steps_dir).option("checkpointLocation", checkpoint_dir).outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
