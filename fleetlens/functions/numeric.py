@@ -31,8 +31,3 @@ def lenient_int(col) -> Column:
     """Text -> INTEGER, rounding numeric text half-up, NULL when not a number
     or out of INTEGER range."""
     return round_half_up(lenient_double(col), 0).try_cast("int")
-
-
-def not_nan(col) -> Column:
-    c = _c(col)
-    return ~F.isnan(c)

@@ -32,10 +32,6 @@ from fleetlens.operators.units import (
     jd_latest_machines, liugong_latest_machines,
 )
 
-FUEL_COLUMNS = ("idNumber", "vehicleName", "vehicleType", "manufacture", "_date",
-                "fuel_consumed_idle", "fuel_consumed_working", "fuel_consumed_transport",
-                "fuel_consumed_total", "is_active_day")
-
 
 def fuel_readings_clean(reports: DataFrame, fuel_max: float = 300.0, bucket_minutes: int = 30) -> DataFrame:
     fuel = lenient_double("fuelAverage")

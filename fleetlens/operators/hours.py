@@ -18,8 +18,6 @@ from fleetlens.operators.units import (
 )
 
 SECONDS_PER_HOUR = 3600.0
-DAILY_COLUMNS = ("idNumber", "vehicleName", "vehicleType", "manufacture", "_date",
-                 "work_hour", "idle_hour", "is_active_day")
 
 
 def strict_active(a, b, digits: int | None) -> Column:

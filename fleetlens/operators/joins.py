@@ -47,14 +47,6 @@ def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     return matched.select(*out_cols).unionByName(unmatched.select(*left.columns, *nulls))
 
 
-def weighted_left_join(left: DataFrame, right_counts: DataFrame, left_keys: Sequence[str],
-                       right_keys: Sequence[str]) -> DataFrame:
-    """Many-to-one LEFT JOIN against a right side already reduced to one row per key."""
-    return left.join(right_counts,
-                     _and([left[lk] == right_counts[rk] for lk, rk in zip(left_keys, right_keys)]),
-                     "left")
-
-
 def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
     """``dim LEFT JOIN fact`` when ``dim`` was derived from ``fact`` itself.
 

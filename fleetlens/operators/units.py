@@ -14,8 +14,6 @@ JOHN_DEERE = "JOHN DEERE"
 LIUGONG = "LIUGONG"
 CATERPILLAR = "CATERPILLAR"
 
-UNIT_COLUMNS = ("idNumber", "vehicleName", "vehicleType", "manufacture")
-
 
 def fuso_latest_devices(devices: DataFrame) -> DataFrame:
     """Newest snapshot per imei."""

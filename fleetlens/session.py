@@ -51,9 +51,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
     is.  Only when it is unset (local tests) do we create one of our own.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
         return current
     local = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        spark.conf.set("spark.checkpoint.dir", local)
     return local

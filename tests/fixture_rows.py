@@ -21,6 +21,7 @@ FUSO_DEVICES = [
     (None, "8", "MHF008", "Truck H", "FN1", ""),                   # NULL date sorts last
     ("2024-01-15", "8", "MHF008", "Truck H new", "FN1", ""),
     ("2024-02-01", None, "MHF009", "No imei", "FN3", ""),          # NULL key
+    ("2024-02-01", "10", "MHF010", "Truck J", "FN3", ""),          # exactly 10 active days
 ]
 
 
@@ -35,6 +36,7 @@ FUSO_DAILY_SUMMARY = (
     + [("1", "2024-01-01T00:00:00", "3600", "0", "1")]   # as_of-31: outside the window
     + [("1", "2024-02-05T00:00:00", "3600", "0", "1")]   # future day: inside
     + _days("2", 3, 9)                                    # exactly 9 active days
+    + _days("10", 20, 10, drive="0", idle="600")          # exactly 10, idle hours only
     + [("3", "2024-01-05T00:00:00", "18", "0", "1.005"),  # x.xx5 rounding
        ("3", "2024-01-05T00:00:00", "5418", "n/a", "2.675"),  # second row, same day
        ("3", "2024-01-06T00:00:00", "", "", "x"),
@@ -71,6 +73,8 @@ FUSO_FUEL_REPORTS = [
     _r(6, None, "50"),                            # NULL time: its own bucket
     _r(6, "00:20:00", "220", chassis=" mhf003 "),  # padded chassis, two devices
     _r(6, "00:40:00", "210", chassis=" mhf003 "),
+    _r(5, "08:00:00", "5", chassis="MHF010"),
+    _r(5, "08:30:00", "0", chassis="MHF010"),     # level exactly 0 is inside the range
     _r(5, "09:00:00", "60", chassis="MHF404"),    # chassis without device
     _r(5, "09:40:00", "55", chassis="MHF404"),
 ]

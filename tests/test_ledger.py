@@ -104,6 +104,7 @@ def test_fuso_fuel_daily_multiplicity(src):
     c2 = rows[(" mhf003 ", "Truck C2", D(2024, 1, 6))]
     assert (c1["fuel_consumed_total"], c1["is_active_day"]) == (10.0, 0)
     assert (c2["fuel_consumed_total"], c2["is_active_day"]) == (20.0, 1)   # two activity rows
+    assert rows[("MHF010", "Truck J", D(2024, 1, 5))]["fuel_consumed_idle"] == 5.0   # 5 -> 0 litres
     orphan = rows[("MHF404", None, D(2024, 1, 5))]
     assert orphan["fuel_consumed_total"] == 5.0
     for r in rows.values():
@@ -132,6 +133,7 @@ def test_active_days_window(src):
     got = {(r["manufacture"], r["idNumber"]): r["total_active_days"] for r in active_days(src, AS_OF).collect()}
     assert got[("MITSUBISHI", "MHF001")] == 11          # 10 in window + future day; as_of-31 out
     assert got[("MITSUBISHI", "MHF002")] == 9
+    assert got[("MITSUBISHI", "MHF010")] == 10
     assert ("MITSUBISHI", None) not in got and ("MITSUBISHI", " ") not in got
     # zero-hour day, old day and the day with unparseable idle hours (3 + NULL) do not count
     assert got[("CATERPILLAR", "SYW1")] == 1
@@ -146,8 +148,12 @@ def test_utilization_raw_register_key(src):
 
 
 def test_utilization_totals(src):
-    for r in reports.utilization(src, AS_OF).collect():
+    rows = reports.utilization(src, AS_OF).collect()
+    for r in rows:
         assert r["total_unit"] == r["total_underutilized_unit"] + r["total_utilized_unit"]
+    assert sum(r["total_utilized_unit"] for r in rows if r["manufacture"] == "MITSUBISHI") == 2   # 11 and 10 days
+    keys = [(r["manufacture"] or "￿", -r["total_underutilized_unit"]) for r in rows]
+    assert keys == sorted(keys)
 
 
 def test_hours_ratios(src):
@@ -158,3 +164,12 @@ def test_hours_ratios(src):
             assert r["is_active_day"] == 1
     keys = [(r["manufacture"], r["idNumber"] or "￿", r["_date"] or D(9999, 1, 1)) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_write_report_partitioned(spark, src, tmp_path):
+    from fleetlens.plans.sink import write_report
+    out = str(tmp_path / "hours")
+    write_report(reports.hours(src, ordered=False), out, partition_by="_date")
+    back = spark.read.parquet(out)
+    assert back.count() == reports.hours(src).count()
+    assert back.where(F.col("_date") == D(2024, 1, 5)).count() > 0
