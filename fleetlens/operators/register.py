@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.text import cat_register_id, clean_user, norm
 from fleetlens.operators.latest import latest_snapshot
+from fleetlens.operators.memo import per_source
 from fleetlens.operators.units import CATERPILLAR
 
 # Makers kept from the register (compared after UPPER(TRIM())).
@@ -27,6 +28,7 @@ REGISTER_CAT = "CAT"
 VARIANTS = ("list", "utilization", "hours", "fuel")
 
 
+@per_source
 def register_latest(register: DataFrame) -> DataFrame:
     """Rows of the newest register snapshot for the four telemetry makers."""
     return latest_snapshot(register).where(norm("manufacture").isin(*REGISTER_MAKERS))
@@ -49,6 +51,7 @@ def register_keys(variant: str) -> tuple[Column, Column]:
     raise ValueError(f"unknown register variant {variant!r}")
 
 
+@per_source
 def register_for(register: DataFrame, variant: str) -> DataFrame:
     """The register as one report reads it (latest snapshot, keyed, its columns)."""
     rid, rmaker = register_keys(variant)

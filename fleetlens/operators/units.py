@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.text import CAT_PREFIX
 from fleetlens.operators.latest import latest_per_key
+from fleetlens.operators.memo import per_source
 
 # Maker names as the reports emit them.
 MITSUBISHI = "MITSUBISHI"
@@ -15,12 +16,14 @@ LIUGONG = "LIUGONG"
 CATERPILLAR = "CATERPILLAR"
 
 
+@per_source
 def fuso_latest_devices(devices: DataFrame) -> DataFrame:
     """Newest snapshot per imei."""
     cols = ["imei", "chassis_number", "vehicle_name", "vehicle_type", "activation_date"]
     return latest_per_key(devices.select("extract_date", *cols), ["imei"], tiebreak=cols[1:]).select(*cols)
 
 
+@per_source
 def jd_latest_machines(equipment: DataFrame) -> DataFrame:
     """Newest telematics-capable record per serial, kept only if it is a Machine.
 
@@ -32,11 +35,13 @@ def jd_latest_machines(equipment: DataFrame) -> DataFrame:
     return latest.where(F.col("_type") == F.lit("Machine")).select("serialNumber", "_name", "fleet_type")
 
 
+@per_source
 def liugong_latest_machines(machines: DataFrame) -> DataFrame:
     cols = ["serialNumber", "productName", "equipmentModel"]
     return latest_per_key(machines.select("extract_date", *cols), ["serialNumber"], tiebreak=cols[1:]).select(*cols)
 
 
+@per_source
 def cat_latest_assets(assets: DataFrame) -> DataFrame:
     cols = ["asset_serial_number", "model"]
     return latest_per_key(assets.select("extract_date", *cols), ["asset_serial_number"],
