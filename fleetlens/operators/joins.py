@@ -52,7 +52,9 @@ def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key:
 
     Every non-NULL dimension key then occurs in the fact table, so the only
     unmatched dimension rows are those with a NULL key: the result is the
-    inner join plus those rows, with no second pass over the facts.
+    inner join plus those rows.  Catalyst pushes the NULL-key filter below
+    the dimension's window to the scan (``IsNull``), where parquet null
+    counts skip every row group without NULL keys.
     """
     clash = set(dim.columns) & set(fact.columns)
     if clash:

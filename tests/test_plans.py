@@ -53,3 +53,11 @@ def test_register_snapshot_filter_reaches_scan(src):
     plan = _plan(register_latest(src.lark_fleet_master))
     assert "ScalarSubquery" in plan or "scalar-subquery" in plan.lower()
     assert "PushedFilters: [IsNotNull(extract_date), EqualTo(extract_date," in plan
+
+
+def test_null_key_branch_is_pushed_to_the_scan(src):
+    """The second read of the Caterpillar table (units with a NULL serial)
+    reaches the scan as IsNull, so parquet null counts skip the row groups."""
+    from fleetlens.operators.fuel import cat_fuel_allocation
+    plan = _plan(cat_fuel_allocation(src))
+    assert "PushedFilters: [IsNull(asset_serial_number)]" in plan
