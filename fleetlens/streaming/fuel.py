@@ -71,9 +71,16 @@ def _finalizer(bucket_minutes: int, drop_cap: int):
             open_b = json.loads(open_json)
         else:
             prev_fuel, prev_odo, open_b = None, None, {}
-        for pdf in batches:
-            cols = [pdf[c].tolist() for c in ("window_start", "ts", "fuelLevel", "odometer", "extract_date", "_time")]
-            for start_v, ts_v, fuel_v, odo_v, day_v, text_v in zip(*cols):
+        parts = [b for b in batches if len(b)]
+        if parts:
+            pdf = pd.concat(parts, ignore_index=True)
+            # best reading per bucket, vectorized: ascending sort with NULLs
+            # first, so the last row of each bucket is the greatest
+            order = ["ts", "fuelLevel", "odometer", "extract_date", "_time"]
+            best = (pdf.sort_values(order, na_position="first", kind="stable")
+                       .groupby("window_start", sort=False).tail(1))
+            for start_v, ts_v, fuel_v, odo_v, day_v, text_v in zip(
+                    *[best[c].tolist() for c in ["window_start", *order]]):
                 start = pd.Timestamp(start_v).isoformat()
                 cand = [pd.Timestamp(ts_v).isoformat(), _none(fuel_v), _none(odo_v),
                         None if _none(day_v) is None else pd.Timestamp(day_v).date().isoformat(), _none(text_v)]
