@@ -1,4 +1,5 @@
-"""The four reports, each one lazily built DataFrame.
+"""The four reports, each returned as one DataFrame (lazy, except that
+``fuel`` writes its enriched rows once while it is built).
 
 * ``fleet_list``  – register vs telemetry reconciliation
 * ``utilization`` – units by active days in a trailing window
@@ -37,7 +38,11 @@ def _asc(*cols: str) -> list:
 
 
 def fleet_list(src, ordered: bool = True) -> DataFrame:
-    """Register FULL OUTER JOIN telemetry units on normalized (id, maker)."""
+    """Register FULL OUTER JOIN telemetry units on normalized (id, maker).
+
+    Both sides are unit lists (one row per unit), so the outer join, which
+    AQE cannot split, sees at most the units sharing one id on each side.
+    """
     reg = register_for(src.lark_fleet_master, "list")
     units = fleet_units(src)
     lf = reg.select(*[F.col(c).alias(f"lf_{c}") for c in reg.columns],
