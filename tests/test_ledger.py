@@ -173,3 +173,28 @@ def test_write_report_partitioned(spark, src, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == reports.hours(src).count()
     assert back.where(F.col("_date") == D(2024, 1, 5)).count() > 0
+
+
+def test_preserved_sides_of_fuel_joins(src):
+    """JD and CAT keep units without fuel (NULL day); MITSUBISHI and LIUGONG
+    rows come from the fuel facts, so units without fuel are absent."""
+    jd = {(r["idNumber"], r["_date"]) for r in fu.jd_fuel_daily(src).collect()}
+    assert ("JD4", None) in jd
+    fuso_ids = {r["idNumber"] for r in fu.fuso_fuel_daily(src).collect()}
+    assert "MHF002" not in fuso_ids
+    lg_ids = {r["idNumber"] for r in fu.liugong_fuel_daily(src).collect()}
+    assert "LG3" not in lg_ids and "LG9" in lg_ids
+
+
+def test_blank_ids_only_filtered_in_utilization(src):
+    hours_ids = {r["idNumber"] for r in reports.hours(src).where(F.col("manufacture") == "MITSUBISHI").collect()}
+    assert " " in hours_ids and None in hours_ids
+    util_ids = {r["idNumber"] for r in active_days(src, AS_OF).where(F.col("manufacture") == "MITSUBISHI").collect()}
+    assert " " not in util_ids and None not in util_ids
+
+
+def test_fuel_imputation_fans_out_on_normalized_types(src):
+    """The fuel master is grouped on raw types ('FN1', 'fn1 ') but joined on
+    UPPER(TRIM()), so each FN1 row matches two master rows."""
+    rows = reports.fuel(src).where((F.col("idNumber") == "MHF001") & (F.col("_date") == D(2024, 1, 5))).collect()
+    assert len(rows) == 2 and len({r["model"] for r in rows}) == 1   # own model wins in COALESCE
