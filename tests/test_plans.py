@@ -61,3 +61,18 @@ def test_null_key_branch_is_pushed_to_the_scan(src):
     from fleetlens.operators.fuel import cat_fuel_allocation
     plan = _plan(cat_fuel_allocation(src))
     assert "PushedFilters: [IsNull(asset_serial_number)]" in plan
+
+
+def test_register_snapshot_prunes_date_partitions(spark, tmp_path):
+    """With the register laid out by extract_date, the latest-snapshot
+    subquery is a partition filter: older snapshots are never listed."""
+    from fleetlens.operators.register import register_latest
+    from fleetlens.sources.schemas import LARK_FLEET_MASTER, conform
+    from tests.fixture_rows import REGISTER
+    path = str(tmp_path / "reg")
+    spark.createDataFrame(REGISTER, LARK_FLEET_MASTER).write.partitionBy("extract_date").parquet(path)
+    df = register_latest(conform(spark.read.parquet(path), LARK_FLEET_MASTER))
+    assert df.count() == 12
+    plan = _plan(df)
+    assert any("PartitionFilters: [isnotnull(extract_date" in line and "Subquery" in line
+               for line in plan.splitlines())
