@@ -143,7 +143,7 @@ def jd_fuel_daily(src) -> DataFrame:
     (serial, day) with metric-conditional sums, instead of one scan and one
     shuffle per metric.  A day exists on the fuel side only if it has a
     'Fuel Consumed' row; its flag is 1 when its 'Machine Utilization'
-    seconds sum to > 0 (0 when it has none).
+    seconds sum to > 0 (0 when it has none, or when the day is NULL).
     """
     m = src.jd_measurement
     hour = F.lit(SECONDS_PER_HOUR)
@@ -159,7 +159,9 @@ def jd_fuel_daily(src) -> DataFrame:
                      F.sum(F.when(is_util, F.col("idle") + F.col("working"))).alias("mu_seconds")))
     fuel = (per_day.where(F.col("fc_rows") > 0)
                    .withColumn("fc_total", F.col("fc_idle") + F.col("fc_working"))
-                   .withColumn("fc_active", F.when(F.col("mu_seconds") / hour > 0, F.lit(1)).otherwise(F.lit(0))))
+                   # a NULL day never equals the activity side's day: flag 0
+                   .withColumn("fc_active", F.when(F.col("fc_date").isNotNull() & (F.col("mu_seconds") / hour > 0),
+                                                   F.lit(1)).otherwise(F.lit(0))))
     eq = jd_latest_machines(src.jd_equipment)
     # one row per (serial, day) on the right: a unit adds at most a row per day
     rows = eq.join(fuel, eq["serialNumber"] == fuel["fc_serial"], "left")

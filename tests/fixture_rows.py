@@ -101,6 +101,8 @@ JD_MEASUREMENT = [
     ("JD2", "2024-01-10", "Machine Utilization", 0.0, 0.18, None),  # rounds to 0 at 4 digits
     ("JD2", "2024-01-10", "Other", 5.0, 5.0, 5.0),
     ("JD4", "2024-01-09", "Machine Utilization", None, 3600.0, None),
+    ("JD1", None, "Fuel Consumed", 3.0, 3.0, 3.0),                 # NULL day on both metrics:
+    ("JD1", None, "Machine Utilization", 3600.0, 0.0, None),      # the flag join cannot match
 ]
 
 LIUGONG_MACHINES = [

@@ -198,3 +198,8 @@ def test_fuel_imputation_fans_out_on_normalized_types(src):
     UPPER(TRIM()), so each FN1 row matches two master rows."""
     rows = reports.fuel(src).where((F.col("idNumber") == "MHF001") & (F.col("_date") == D(2024, 1, 5))).collect()
     assert len(rows) == 2 and len({r["model"] for r in rows}) == 1   # own model wins in COALESCE
+
+
+def test_jd_fuel_null_day_is_inactive(src):
+    rows = [r for r in fu.jd_fuel_daily(src).collect() if r["idNumber"] == "JD1" and r["_date"] is None]
+    assert len(rows) == 1 and rows[0]["is_active_day"] == 0 and rows[0]["fuel_consumed_total"] == 6.0 / 3600.0
