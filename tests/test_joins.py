@@ -32,3 +32,38 @@ def test_self_dim_left_join_equals_left_join(spark):
     want = dim.join(fact, dim["k"] == fact["fk"], "left").select("k", "count", "fk", "v")
     got = self_dim_left_join(dim, fact, "k", "fk")
     assert spark_multiset(got) == spark_multiset(want)
+
+
+def test_hot_key_partition_is_split(spark):
+    """With broadcasts off and small skew thresholds, AQE splits the hot
+    unit's partition in keep_left_join's inner join; a plain LEFT OUTER
+    join of the unit list to the facts gets no skew handling."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        dim = spark.range(0, 200).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+        # unit 7 holds a third of the fact rows
+        fact = spark.range(0, 60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 150).alias("fk"),
+            F.col("id").cast("double").alias("v"))
+        split = keep_left_join(dim, fact, ["k"], ["fk"])
+        plain = dim.join(fact, dim["k"] == fact["fk"], "left")
+        assert len(split.collect()) == len(plain.collect()) == 60000 + 50
+        final = split._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+        final_plain = plain._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "skew=true" not in final_plain
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
