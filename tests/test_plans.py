@@ -76,3 +76,22 @@ def test_register_snapshot_prunes_date_partitions(spark, tmp_path):
     plan = _plan(df)
     assert any("PartitionFilters: [isnotnull(extract_date" in line and "Subquery" in line
                for line in plan.splitlines())
+
+
+def test_literal_filters_reach_the_scans(src):
+    from fleetlens.operators.fuel import jd_fuel_daily
+    from fleetlens.operators.hours import jd_machine_utilization
+    from fleetlens.operators.units import jd_latest_machines
+    eq = _plan(jd_latest_machines(src.jd_equipment))
+    assert "EqualTo(telematicsCapable,true)" in eq
+    mu = _plan(jd_machine_utilization(src.jd_measurement))
+    assert "EqualTo(_name,Machine Utilization)" in mu
+    both = _plan(jd_fuel_daily(src))
+    assert "Or(EqualTo(_name,Fuel Consumed),EqualTo(_name,Machine Utilization))" in both or \
+        "In(_name, [Fuel Consumed,Machine Utilization])" in both
+
+
+def test_both_lags_share_one_window(src):
+    from fleetlens.operators.fuel import fuso_fuel_steps
+    windows = [line for line in _plan(fuso_fuel_steps(src)).splitlines() if "Window [" in line and "lag(" in line]
+    assert len(windows) == 1 and windows[0].count("lag(") == 2
