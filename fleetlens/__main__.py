@@ -27,9 +27,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--reports", default="fleet_list,utilization,hours,fuel")
     ap.add_argument("--format", default="parquet", help="format of the source tables")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions; AQE only merges them, so size for the largest "
+                         "shuffle (about its bytes / 128 MB)")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     src = read_fleet_tables(spark, args.tables, args.format)
     build = {
         "fleet_list": lambda: reports.fleet_list(src),
