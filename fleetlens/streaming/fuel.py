@@ -41,8 +41,9 @@ from fleetlens.sources.schemas import FUSO_FUEL_REPORTS
 STEP_SCHEMA = ("_date date, idNumber string, window_start timestamp_ntz, _time string, prev_fuel_level int, "
                "fuelLevel int, fuel_used_liters int, prev_odometer int, odometer int, trip_meter int, "
                "idle_fuel_consumption int")
-# open buckets as JSON text: {start_iso: [ts_iso, fuel, odometer, date_iso, _time]}
-STATE_SCHEMA = "prev_fuel int, prev_odometer int, open_buckets string"
+# last finalized bucket (level, odometer, start) and the open buckets as JSON
+# text: {start_iso: [ts_iso, fuel, odometer, date_iso, _time]}
+STATE_SCHEMA = "prev_fuel int, prev_odometer int, last_start string, open_buckets string"
 
 _EPOCH = pd.Timestamp("1970-01-01")
 
@@ -67,10 +68,10 @@ def _finalizer(bucket_minutes: int, drop_cap: int):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         chassis = key[0]
         if state.exists:
-            prev_fuel, prev_odo, open_json = state.get
+            prev_fuel, prev_odo, last_start, open_json = state.get
             open_b = json.loads(open_json)
         else:
-            prev_fuel, prev_odo, open_b = None, None, {}
+            prev_fuel, prev_odo, last_start, open_b = None, None, None, {}
         parts = [b for b in batches if len(b)]
         if parts:
             pdf = pd.concat(parts, ignore_index=True)
@@ -82,6 +83,8 @@ def _finalizer(bucket_minutes: int, drop_cap: int):
             for start_v, ts_v, fuel_v, odo_v, day_v, text_v in zip(
                     *[best[c].tolist() for c in ["window_start", *order]]):
                 start = pd.Timestamp(start_v).isoformat()
+                if last_start is not None and pd.Timestamp(start) <= pd.Timestamp(last_start):
+                    continue    # bucket already finalized (defensive: Spark's late filter drops these)
                 cand = [pd.Timestamp(ts_v).isoformat(), _none(fuel_v), _none(odo_v),
                         None if _none(day_v) is None else pd.Timestamp(day_v).date().isoformat(), _none(text_v)]
                 cand = [int(v) if isinstance(v, float) else v for v in cand]
@@ -98,8 +101,8 @@ def _finalizer(bucket_minutes: int, drop_cap: int):
             idle = used if (used > 0 and trip == 0) else 0
             rows.append((None if day is None else pd.Timestamp(day).date(), chassis, pd.Timestamp(s), text,
                          prev_fuel, fuel, used, prev_odo, odo, trip, idle))
-            prev_fuel, prev_odo = fuel, odo
-        state.update((prev_fuel, prev_odo, json.dumps(open_b)))
+            prev_fuel, prev_odo, last_start = fuel, odo, s
+        state.update((prev_fuel, prev_odo, last_start, json.dumps(open_b)))
         if open_b:
             state.setTimeoutTimestamp(max(_ms(pd.Timestamp(min(open_b)) + width), watermark + 1))
         if rows:

@@ -63,3 +63,27 @@ def test_stream_restarts_from_its_checkpoint(spark):
     emitted = batch.where(F.col("window_start") + F.expr("INTERVAL 30 MINUTES") <= F.lit(watermark))
     assert 0 < first < streamed.count()
     assert spark_multiset(streamed.select(*batch.columns)) == spark_multiset(emitted)
+
+
+def test_late_reading_is_dropped(spark):
+    """After a restart, a reading for a bucket that was already finalized is
+    dropped: no bucket is emitted twice and the result equals the batch steps
+    of the on-time readings."""
+    warnings.simplefilter("ignore", FutureWarning)
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+    def r(day, t, fuel):
+        return (dt.date(2024, 1, day), "L1", f"2024-01-{day:02d} {t}", fuel, "10", "24.5")
+
+    on_time = [r(5, "10:05:00", "100"), r(5, "10:40:00", "95"), r(5, "11:10:00", "90"), r(6, "09:00:00", "80")]
+    late = [r(5, "10:20:00", "40")]            # would change the 10:00 bucket's last reading
+    make_sources(spark, fuso_fuel_reports=on_time).fuso_fuel_reports.coalesce(1).write.parquet(f"{d}/in/p1")
+    start_fuel_stream(spark, f"{d}/in/*", f"{d}/steps", f"{d}/ck", lateness="2 hours")   # finalizes day 5
+    make_sources(spark, fuso_fuel_reports=late).fuso_fuel_reports.coalesce(1).write.parquet(f"{d}/in/p2")
+    start_fuel_stream(spark, f"{d}/in/*", f"{d}/steps", f"{d}/ck", lateness="2 hours")   # late reading
+    streamed = spark.read.parquet(f"{d}/steps")
+
+    batch = fu.fuso_fuel_steps(make_sources(spark, fuso_fuel_reports=on_time))
+    final_day5 = batch.where(F.col("window_start") < F.lit(dt.datetime(2024, 1, 6)))
+    assert spark_multiset(streamed.select(*batch.columns)) == spark_multiset(final_day5)
+    assert streamed.where(F.col("fuelLevel") == 40).count() == 0
