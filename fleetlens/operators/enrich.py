@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.text import norm
+from fleetlens.operators.joins import join_small_side, row_count
 
 IMPUTED = ("model", "class", "egi_equipment_description")
 
@@ -15,15 +16,15 @@ IMPUTED = ("model", "class", "egi_equipment_description")
 def attach_register(rows: DataFrame, register: DataFrame) -> DataFrame:
     """rows LEFT JOIN register ON UPPER(TRIM(id)) = reg.id AND UPPER(TRIM(maker)) = reg.maker.
 
-    The register side is a snapshot of the company's unit list; AQE broadcasts
-    it when its measured size is under the threshold, otherwise the join is a
-    sort-merge join whose skewed left partitions AQE may split.  Duplicate
+    The register side is a snapshot of the company's unit list; it is
+    broadcast after a size check (else the join is salted, see
+    ``join_small_side``).  Duplicate
     register rows for one unit multiply the unit's rows, as in the reports.
     """
     reg = register.withColumnRenamed("idNumber", "__reg_id").withColumnRenamed("manufacture", "__reg_maker")
     keyed = rows.withColumn("__row_id", norm("idNumber")).withColumn("__row_maker", norm("manufacture"))
-    joined = keyed.join(reg, (keyed["__row_id"] == reg["__reg_id"]) & (keyed["__row_maker"] == reg["__reg_maker"]),
-                        "left")
+    joined = join_small_side(keyed, reg, ["__row_id", "__row_maker"], ["__reg_id", "__reg_maker"], "left",
+                             small_rows=row_count(register))
     return joined.drop("__row_id", "__row_maker", "__reg_id", "__reg_maker")
 
 
@@ -48,14 +49,13 @@ def impute_from_master(joined: DataFrame, master: DataFrame, normalized: bool =
     if normalized:
         left = joined.select("*", *[norm(k).alias(f"__jk_{k}") for k in keys])
         m = m.select("*", *[norm(f"__vm_{k}").alias(f"__mk_{k}") for k in keys])
-        cond = [left[f"__jk_{k}"] == m[f"__mk_{k}"] for k in keys]
-        drop = [f"__jk_{k}" for k in keys] + [f"__mk_{k}" for k in keys]
+        left_keys, master_keys = [f"__jk_{k}" for k in keys], [f"__mk_{k}" for k in keys]
+        drop = left_keys + master_keys
     else:
         left = joined
-        cond = [left[k] == m[f"__vm_{k}"] for k in keys]
+        left_keys, master_keys = list(keys), [f"__vm_{k}" for k in keys]
         drop = []
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    out = left.join(m, cond_all, "left")
+    # few, very large (maker, type) groups on the left: the master is
+    # broadcast after a size check (or the join is salted)
+    out = join_small_side(left, m, left_keys, master_keys, "left")
     return out.drop(*drop, *[f"__vm_{k}" for k in keys])

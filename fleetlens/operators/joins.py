@@ -7,9 +7,12 @@ of a left outer join.  ``keep_left_join`` runs it as
 
     (dim INNER JOIN fact)  UNION ALL  (dim ANTI JOIN distinct fact keys)
 
-The inner join can be broadcast (AQE measures the dimension at runtime) or,
-shuffled, have its skewed partitions split by AQE; the key list is reduced by
-a map-side partial aggregate before it is shuffled.  Output equals the left
+The inner join broadcasts the unit list after counting it, or, for a unit
+list too large for that, salts the fact side so a hot unit is spread over
+many tasks (``join_small_side``; AQE's own skew split does not apply here,
+because the unit list comes out of a window already partitioned by the unit
+key and the join reuses that partitioning).  The key list is reduced by a
+map-side partial aggregate before it is shuffled.  Output equals the left
 outer join row for row.
 """
 
@@ -21,11 +24,50 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.operators.memo import per_source
+
+
+# A side is broadcast only after counting it: at most this many rows (unit
+# lists, register snapshots and per-(maker, type) masters are far smaller).
+MAX_BROADCAST_ROWS = 500_000
+# Beyond that, a join spreads every key of its big side over this many salts.
+SALTS = 64
+
 
 def _and(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+@per_source
+def row_count(df: DataFrame) -> int:
+    """Rows of ``df`` (one job, memoized per DataFrame)."""
+    return df.count()
+
+
+def join_small_side(big: DataFrame, small: DataFrame, big_keys: Sequence[str], small_keys: Sequence[str],
+                    how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS, salts: int = SALTS,
+                    small_rows: int | None = None) -> DataFrame:
+    """``big JOIN small`` (``how`` is inner or left, ``big`` preserved).
+
+    ``small`` is broadcast when a count proves it has at most ``max_rows``
+    rows; the big side is then never shuffled for this join.  Otherwise each
+    big row gets a deterministic salt (hash of the row) in ``[0, salts)``
+    and ``small`` is replicated once per salt, so a key holding a large share
+    of ``big`` is spread over ``salts`` tasks whatever the partitioning of
+    either side.  Both ways return exactly the plain join's rows.
+    ``small_rows`` passes a count already known (e.g. of the DataFrame
+    ``small`` was projected from).
+    """
+    if (row_count(small) if small_rows is None else small_rows) <= max_rows:
+        return big.join(F.broadcast(small), _and([big[b] == small[s] for b, s in zip(big_keys, small_keys)]), how)
+    salted_big = big.withColumn("__salt_b", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
+    salted_small = small.withColumn("__salt_s", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                     F.lit(salts - 1).cast("long"))))
+    cond = _and([salted_big[b] == salted_small[s] for b, s in zip(big_keys, small_keys)]
+                + [salted_big["__salt_b"] == salted_small["__salt_s"]])
+    return salted_big.join(salted_small, cond, how).drop("__salt_b", "__salt_s")
+
+
 def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                    right_keys: Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right ON left_keys = right_keys`` (skew-safe on ``right``).
@@ -35,8 +77,8 @@ def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"column names on both sides: {sorted(clash)}")
-    matched = left.join(right, _and([left[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)]),
-                        "inner")
+    # the unit list is the small side: broadcast after a size check, else salted
+    matched = join_small_side(right, left, right_keys, left_keys, "inner")
     key_names = [f"__key{i}" for i in range(len(right_keys))]
     right_key_set = right.select(*[F.col(rk).alias(n) for rk, n in zip(right_keys, key_names)]).distinct()
     unmatched = left.join(right_key_set,
@@ -59,6 +101,6 @@ def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key:
     clash = set(dim.columns) & set(fact.columns)
     if clash:
         raise ValueError(f"column names on both sides: {sorted(clash)}")
-    matched = dim.join(fact, dim[dim_key] == fact[fact_key], "inner").select(*dim.columns, *fact.columns)
+    matched = join_small_side(fact, dim, [fact_key], [dim_key], "inner").select(*dim.columns, *fact.columns)
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]
     return matched.unionByName(dim.where(F.col(dim_key).isNull()).select(*dim.columns, *nulls))

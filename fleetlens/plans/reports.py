@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.text import norm
 from fleetlens.operators.activity import active_days, unit_catalog
 from fleetlens.operators.enrich import attach_register, impute_from_master, vehicle_master
+from fleetlens.operators.memo import per_source
 from fleetlens.operators.fuel import fuel_daily
 from fleetlens.operators.hours import daily_hours, hour_units, work_idle_ratio
 from fleetlens.operators.register import register_for
@@ -79,6 +80,7 @@ def utilization_rows(src, as_of: str | None = None, window_days: int = 30) -> Da
     return _utilization_attrs(active_days(src, as_of, window_days), reg)
 
 
+@per_source
 def utilization_master(src) -> DataFrame:
     """Attribute master of the utilization report.
 
@@ -111,6 +113,7 @@ def hours_joined(src) -> DataFrame:
     return attach_register(daily_hours(src), register_for(src.lark_fleet_master, "hours"))
 
 
+@per_source
 def hours_master(src) -> DataFrame:
     """Attribute master of the hours report, from the unit keys (every unit
     of ``daily_hours`` has at least one row there), without the facts."""
