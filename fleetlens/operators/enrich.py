@@ -57,5 +57,5 @@ def impute_from_master(joined: DataFrame, master: DataFrame, normalized: bool =
         drop = []
     # few, very large (maker, type) groups on the left: the master is
     # broadcast after a size check (or the join is salted)
-    out = join_small_side(left, m, left_keys, master_keys, "left")
+    out = join_small_side(left, m, left_keys, master_keys, "left", small_rows=row_count(master))
     return out.drop(*drop, *[f"__vm_{k}" for k in keys])
