@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe
+from fleetlens.llm import bpe, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_sharding": sharding.op2_sharding,
         "op6_bpe": bpe.op6_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_sharding": sharding.SQL}
