@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, sharding
+from fleetlens.llm import bpe, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": sharding.op2_sharding,
+        "op3_quality": quality.op3_quality,
         "op6_bpe": bpe.op6_bpe,
     }
 
