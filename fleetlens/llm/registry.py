@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, quality, sharding
+from fleetlens.llm import bpe, quality, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": sharding.op2_sharding,
         "op3_quality": quality.op3_quality,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op6_bpe": bpe.op6_bpe,
     }
 
