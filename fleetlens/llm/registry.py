@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, quality, sharding, toxicity
+from fleetlens.llm import bpe, ngram_join, quality, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
         "op2_sharding": sharding.op2_sharding,
         "op3_quality": quality.op3_quality,
         "op5_toxicity": toxicity.op5_toxicity,
