@@ -105,3 +105,15 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         out = mix(out ^ words[i:len(words) - n + 1 + i])
     return out
+
+
+#: Rows of a few fixed-width columns that may be broadcast (at most some 100 MB).
+BROADCAST_ROWS = 2_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (already written, so that counting is cheap) with a broadcast hint if it has at most ``rows`` rows.
+
+    Beyond that the hint is left out and the join shuffles.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
