@@ -27,12 +27,12 @@ Only links between *different* sets matter for components:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,34 +160,65 @@ def _tokens(raw) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def block_pairs(rows: pd.DataFrame, percent: int) -> np.ndarray:
-    """Candidate pairs (indexes) of one block pair: sizes, components, positions and signatures agree."""
-    rows_n, rows_c, rows_p = (rows[c].to_numpy() for c in ("n", "c", "pos"))
-    sig = np.frombuffer(b"".join(rows["sig"]), np.uint64).reshape(len(rows), SIGNATURE_WORDS)
-    key = rows["k"].to_numpy()
-    block = rows["block"].to_numpy()
-    same_block = rows["bi"].iloc[0] == rows["bj"].iloc[0]
-    order = np.argsort(rows_n, kind="stable")
-    found = []
-    limit = np.searchsorted(rows_n[order], np.ceil(rows_n[order] * percent / 100).astype(np.int64), side="left")
+def block_pairs(rows: pd.DataFrame, percent: int, allowed: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of one token group (or block pair): indexes of rows whose sizes, positions and signatures agree.
+
+    ``rows``: bi, bj, block, n, pos, sig.  ``allowed(i, j)`` says which of the
+    rows ``i`` may pair with which of the rows ``j`` (a matrix).
+    """
+    n, pos, block = (rows[c].to_numpy() for c in ("n", "pos", "block"))
+    sig = np.frombuffer(b"".join(rows["sig"]), np.uint64).reshape(len(rows), -1)
+    across = rows["bi"].iloc[0] != rows["bj"].iloc[0]
+    order = np.argsort(n, kind="stable")
+    limit = np.searchsorted(n[order], -(-n[order].astype(np.int64) * percent // 100), side="left")
+    left, right = [], []
     for at in range(0, len(order), 64):
         chunk = order[at:at + 64]
         others = order[limit[at]:at + len(chunk)]
         for lo in range(0, len(others), 8192):
             part = others[lo:lo + 8192]
-            a, b = rows_n[chunk][:, None], rows_n[part][None, :]
+            a, b = n[chunk][:, None].astype(np.int64), n[part][None, :].astype(np.int64)
             need = required(a, b, percent)
-            p, q = rows_p[chunk][:, None], rows_p[part][None, :]
-            ok = (rows_c[chunk][:, None] != rows_c[part][None, :]) & (np.minimum(p, q) + 1 + np.minimum(a - p, b - q) - 1 >= need)
-            if not same_block:
+            p, q = pos[chunk][:, None], pos[part][None, :]
+            ok = allowed(chunk, part) & (np.minimum(p, q) + np.minimum(a - p, b - q) >= need)
+            # A pair whose both rows lie in this chunk is met once.
+            ok &= np.arange(at, at + len(chunk))[:, None] > np.arange(limit[at] + lo, limit[at] + lo + len(part))[None, :]
+            if across:
                 ok &= block[chunk][:, None] != block[part][None, :]
             i, j = np.nonzero(ok)
             if len(i):
                 differ = np.bitwise_count(sig[chunk[i]] ^ sig[part[j]]).sum(axis=1, dtype=np.int64)
                 good = differ <= (a + b - 2 * need)[i, j]
-                u, v = key[chunk[i[good]]], key[part[j[good]]]
-                found.append(np.column_stack((np.maximum(u, v), np.minimum(u, v))))
-    return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+                left.append(chunk[i[good]])
+                right.append(part[j[good]])
+    none = np.empty(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def in_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The groups of sorted batches, whole, one after the other."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        tail = (batch[keys] == batch[keys].iloc[-1]).all(axis=1)
+        if held and not (held[-1][keys].iloc[-1] == batch[keys].iloc[0]).all():
+            yield from (g for _, g in pd.concat(held, ignore_index=True).groupby(keys, sort=False))
+            held = []
+        if not tail.all():
+            yield from (g for _, g in pd.concat([*held, batch[~tail]], ignore_index=True).groupby(keys, sort=False))
+            held = []
+        held.append(batch[tail])
+    if held:
+        yield from (g for _, g in pd.concat(held, ignore_index=True).groupby(keys, sort=False))
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (token, group = its size, k) with block, bi, bj: every pair of blocks of a token group meets once."""
+    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
+    return rows.withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
+        .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")).drop("other", "group")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -225,39 +256,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     labelled = _labelled(rows, roots)
     mixed = labelled.withColumn("low", F.min("c").over(_by_token())).withColumn("high", F.max("c").over(_by_token())).where("low <> high")
-    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
-    mixed = mixed.join(sets.select("k", "sig"), "k") \
-        .withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-        .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")) \
-        .select("token", "bi", "bj", "block", "k", "n", "pos", "c", "sig")
+    mixed = in_blocks(mixed.join(sets.select("k", "sig"), "k")).select("token", "bi", "bj", "block", "k", "n", "pos", "c", "sig")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-
-        def done(parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            whole = pd.concat(parts, ignore_index=True)
-            for _, group in whole.groupby(["token", "bi", "bj"], sort=False):
-                if len(group) > 1:
-                    got = block_pairs(group, percent)
-                    if len(got):
-                        yield pd.DataFrame({"u": got[:, 0], "v": got[:, 1]})
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            last = batch.iloc[-1][["token", "bi", "bj"]].tolist()
-            tail = (batch["token"] == last[0]) & (batch["bi"] == last[1]) & (batch["bj"] == last[2])
-            if tail.all():
-                if held and held[-1].iloc[-1][["token", "bi", "bj"]].tolist() != last:
-                    yield from done(held)
-                    held = []
-                held.append(batch)
-                continue
-            yield from done([*held, batch[~tail]])
-            held = [batch[tail]]
-        if held:
-            yield from done(held)
+        for group in in_groups(batches, ["token", "bi", "bj"]):
+            c, k = group["c"].to_numpy(), group["k"].to_numpy()
+            i, j = block_pairs(group, percent, lambda x, y: c[x][:, None] != c[y][None, :])
+            if len(i):
+                yield pd.DataFrame({"u": np.maximum(k[i], k[j]), "v": np.minimum(k[i], k[j])})
 
     met = mixed.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(meet, "u bigint, v bigint")
     often = met.groupBy("u", "v").agg(F.count("*").alias("times"))
@@ -278,8 +284,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .select("doc_id", "n_shingles", "set_key", "component", "component_id")
 
 
-def _by_token():
-    from pyspark.sql import Window
+def _by_token() -> WindowSpec:
     return Window.partitionBy("token")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import bpe, decontaminate, ngram_join, quality, sharding, toxicity
+from fleetlens.llm import bpe, decontaminate, line_dedup, ngram_join, quality, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": quality.op3_quality,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_bpe": bpe.op6_bpe,
+        "op8_line_dedup": line_dedup.op8_line_dedup,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
