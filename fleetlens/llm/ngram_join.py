@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import keep, mix, read, shingle_hashes, word_hashes, written
+from fleetlens.llm.common import bounded, keep, mix, read, shingle_hashes, word_hashes, written
 from fleetlens.llm.components import components
 
 SKETCH = 1 << 18
@@ -99,7 +99,7 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mix(np.add.reduce(mix(parts), keepdims=True)).view(np.int64)[0])
 
 
-_DESCRIBED = "doc_id bigint, k bigint, n int, matches int, prefix array<bigint>, sig binary, tokens binary"
+_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, sig binary, tokens binary"
 
 
 def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -111,27 +111,28 @@ def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
         table = shared.value
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text_key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 tokens = shingle_set(text, n)
                 if not len(tokens):
-                    rows.append((doc_id, None, 0, None, None, None, None))
+                    rows.append((doc_id, text_key, None, 0, None, None, None, None))
                     continue
                 key = set_key(tokens)
                 if key in seen:
-                    rows.append((doc_id, key, len(tokens), None, None, None, None))
+                    rows.append((doc_id, text_key, key, len(tokens), None, None, None, None))
                     continue
                 seen.add(key)
                 matches, prefix = prefix_of(tokens, table, percent)
                 bits = np.bincount((mix(tokens) % np.uint64(64 * SIGNATURE_WORDS)).astype(np.int64), minlength=64 * SIGNATURE_WORDS) & 1
                 raw = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
-                rows.append((doc_id, key, len(tokens), matches, prefix.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes(), raw))
+                rows.append((doc_id, text_key, key, len(tokens), matches, prefix.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes(), raw))
             if rows:
                 c = list(zip(*rows))
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, types)],
-                                                 names=["doc_id", "k", "n", "matches", "prefix", "sig", "tokens"])
+                                                 names=["doc_id", "text_key", "k", "n", "matches", "prefix", "sig", "tokens"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _DESCRIBED)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text), text).mapInArrow(run, _DESCRIBED)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -222,7 +223,8 @@ def in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, ``n_shingles``, ``set_key``, ``component`` (a set key), ``component_id``.
+    """Per row of ``docs`` (doc_id, text): doc_id, ``text_key`` (hash of the text), ``n_shingles``,
+    ``set_key``, ``component`` (a set key) and ``component_id``.
 
     ``component_id`` is the smallest doc_id among the rows that links reach
     from this row (null ids count for nothing; null if there is none).  Null,
@@ -237,9 +239,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     rows = rows.withColumn("group", F.count("*").over(_by_token())).where("group > 1")
     rows = written(rows, "ngram-prefixes")
     nodes = written(rows.select("k").distinct(), "ngram-nodes")
-    bounded = nodes.count() <= MAX_BROADCAST_NODES
-    wanted = F.broadcast(nodes) if bounded else nodes
-    sets = written(described.where(F.col("tokens").isNotNull()).select("k", "n", "sig", "tokens").join(wanted, "k", "left_semi")
+    sets = written(described.where(F.col("tokens").isNotNull()).select("k", "n", "sig", "tokens").join(bounded(nodes, MAX_BROADCAST_NODES), "k", "left_semi")
                    .dropDuplicates(["k"]), "ngram-shared-sets")
 
     roots = None
@@ -277,11 +277,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     classes = ids.join(roots, ids["k"] == roots["node"], "left").select("k", "low", F.coalesce("root", "k").alias("component"))
     lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
     classes = classes.join(lowest, "component").select(F.col("k").alias("set_key"), "component", "component_id")
-    whole = described.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("k").alias("set_key"))
+    whole = described.select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), F.col("k").alias("set_key"))
     return whole.where(F.col("set_key").isNotNull()).join(classes, "set_key") \
         .unionByName(whole.where(F.col("set_key").isNull()).withColumn("component", F.lit(None).cast("long"))
                      .withColumn("component_id", F.col("doc_id"))) \
-        .select("doc_id", "n_shingles", "set_key", "component", "component_id")
+        .select("doc_id", "text_key", "n_shingles", "set_key", "component", "component_id")
 
 
 def _by_token() -> WindowSpec:
@@ -295,15 +295,24 @@ def _labelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component (its smallest doc_id) and every row with an empty set."""
-    groups = jaccard_components(docs, n, percent)
-    chosen = groups.where(F.col("component").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__id"), F.col("component").alias("__component")).distinct()
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__id"]))
-    empty = F.col("__component").isNull()
-    return joined.where(empty).unionByName(joined.where(~empty).dropDuplicates(["__component"])).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with one row of each component (the smallest doc_id; null ids come last) and every row with an empty set."""
+    keyed = written(jaccard_components(docs, n, percent), "ngram-groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")
+    first = keyed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(rank).alias("first"))
+    ranked = keyed.join(first, "component").withColumn("stays", F.col("first").eqNullSafe(rank))
+    ids = [F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")]
+    gone = bounded(written(ranked.where(~F.col("stays")).select(*ids).distinct(), "ngram-gone"))
+    # A row that stays may itself be repeated, equal in id and text.
+    twice = written(ranked.where("stays").groupBy(*ids).count().where("count > 1").drop("count"), "ngram-repeated")
+    key = F.xxhash64(F.col("text").cast("string"))
+    same = lambda other: docs["doc_id"].cast("bigint").eqNullSafe(other["__id"]) & (key == other["__key"])
+    kept = docs.join(gone, same(gone), "left_anti")
+    if not twice.isEmpty():
+        again = kept.join(bounded(twice), same(twice), "left_semi").withColumn("__text_key", key)
+        kept = kept.join(bounded(twice), same(twice), "left_anti").unionByName(again.dropDuplicates(["doc_id", "__text_key"]).drop("__text_key"))
+    return kept
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(read(spark, sf_dir, "documents"), n=3, percent=90)
-    return keep(found, ["set_key", "component"])
+    return keep(found, ["text_key", "set_key", "component"])

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from fleetlens.llm import bpe, decontaminate, line_dedup, ngram_join, quality, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
         "op2_sharding": sharding.op2_sharding,
         "op3_quality": quality.op3_quality,
