@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, toxicity
+from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": quality.op3_quality,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_bpe": bpe.op6_bpe,
+        "op7_url_filter": url_filter.op7_url_filter,
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_html": html_extract.op9_html,
         "op10_decontaminate": decontaminate.op10_decontaminate,
