@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, toxicity, url_filter
+from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard": ngram_join.op1_ngram_jaccard,
         "op2_sharding": sharding.op2_sharding,
         "op3_quality": quality.op3_quality,
+        "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_bpe": bpe.op6_bpe,
         "op7_url_filter": url_filter.op7_url_filter,
