@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +60,8 @@ _BASE = np.uint64(0x2545F4914F6CDD1D)
 _BASE_INV = np.uint64(pow(0x2545F4914F6CDD1D, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Text per vectorised step.
+CHUNK_BYTES = 4 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -73,6 +75,18 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return out
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _cached_powers(base: np.uint64, n: int) -> np.ndarray:
+    have = _POWERS.get(int(base))
+    if have is None or len(have) < n:
+        have = _powers(base, max(n, 1 << 16))
+        if n <= 2 * CHUNK_BYTES:
+            _POWERS[int(base)] = have
+    return have[:n]
+
+
 def split_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the words in a byte array."""
     inside = ~_SPACE[buf]
@@ -91,8 +105,8 @@ def word_hashes(text: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray
         buf = _LOWER[buf]
     sums = np.empty(len(buf) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(BYTE_CODES[buf] * _powers(_BASE, len(buf)), out=sums[1:])
-    back = _powers(_BASE_INV, len(buf))
+    np.cumsum(BYTE_CODES[buf] * _cached_powers(_BASE, len(buf)), out=sums[1:])
+    back = _cached_powers(_BASE_INV, len(buf))
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64)), start, end
 
 
@@ -117,3 +131,60 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     Beyond that the hint is left out and the join shuffles.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+#: Bits of a token hash in a packed set, and rows per packed chunk (their number takes 12 bits, a rarity level 4).
+TOKEN_BITS = 48
+TOKEN_BYTES = TOKEN_BITS // 8
+CHUNK_ROWS = 1 << 12
+
+
+def chunks(items: Iterable[tuple[object, bytes]]) -> Iterator[list[tuple[object, bytes]]]:
+    """Lists of at most CHUNK_ROWS (tag, bytes) items and some CHUNK_BYTES."""
+    out, held = [], 0
+    for tag, raw in items:
+        if out and (len(out) == CHUNK_ROWS or held + len(raw) > CHUNK_BYTES):
+            yield out
+            out, held = [], 0
+        out.append((tag, raw))
+        held += len(raw)
+    if out:
+        yield out
+
+
+def chunk_words(raws: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and text number of every word of some texts."""
+    h, start, _ = word_hashes(b"\n".join(raws))
+    return h, np.searchsorted(np.cumsum([len(x) + 1 for x in raws]), start, side="right")
+
+
+def packed_sets(hashes: np.ndarray, owner: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct tokens of each owner, by (level, hash): (owners that have any, sizes, set keys, first index, tokens)."""
+    width = np.uint64(TOKEN_BITS)
+    packed = np.unique((owner.astype(np.uint64) << np.uint64(52)) | (level.astype(np.uint64) << width) | (hashes >> np.uint64(64 - TOKEN_BITS)))
+    token = packed & ((np.uint64(1) << width) - np.uint64(1))
+    owner = (packed >> np.uint64(52)).astype(np.int64)
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    size = np.diff(np.append(first, len(owner)))
+    if not len(first):
+        return owner, size, np.empty(0, np.int64), first, token
+    mixed = mix(token)
+    key = mix(np.add.reduceat(mixed, first) ^ mix(np.bitwise_xor.reduceat(mixed * np.uint64(3), first)) + size.astype(np.uint64))
+    return owner[first], size, key.view(np.int64), first, token
+
+
+def signatures(token: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
+    """A row of parity bits per set; the bits in which two sets differ never outnumber the tokens in which they do."""
+    at = (mix(token) % np.uint64(bits)).astype(np.int64) + np.repeat(np.arange(len(size)) * bits, size)
+    return np.packbits((np.bincount(at, minlength=len(size) * bits) & 1).astype(np.uint8).reshape(len(size), bits), axis=1)
+
+
+def token_bytes(token: np.ndarray) -> np.ndarray:
+    """TOKEN_BYTES bytes per token."""
+    return token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]
+
+
+def tokens_from(raw) -> np.ndarray:
+    wide = np.zeros((len(raw) // TOKEN_BYTES, 8), np.uint8)
+    wide[:, :TOKEN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, TOKEN_BYTES)
+    return wide.view("<u8").ravel()

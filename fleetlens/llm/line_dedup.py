@@ -24,44 +24,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import bounded, mix, others, read, word_hashes, written
-from fleetlens.llm.ngram_join import HASH_BYTES, block_pairs, in_blocks, in_groups, verified
+from fleetlens.llm.common import bounded, chunk_words, chunks, others, packed_sets, read, signatures, token_bytes, tokens_from, written
+from fleetlens.llm.ngram_join import block_pairs, in_blocks, in_groups, verified
 
 SKETCH = 1 << 18
-#: Lines per vectorised step.
-CHUNK = 1 << 12
-CHUNK_BYTES = 4 << 20
 SIGNATURE_BITS = 128
 #: Lines with fewer distinct words are neither removed nor compared.
 MIN_WORDS = 4
 PERCENT = 80
 
 
-def line_chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """(row, line number, line) lists of bounded size."""
-    rows, numbers, lines, held = [], [], [], 0
+def lines_of(texts: list[str | None]) -> Iterator[tuple[tuple[int, int], bytes]]:
+    """((row, line number), line) of every line that is not empty."""
     for row, text in enumerate(texts):
         for number, line in enumerate((text or "").split("\n")):
-            if not line:
-                continue
-            raw = line.encode("utf-8", "surrogatepass")
-            if lines and (len(lines) == CHUNK or held + len(raw) > CHUNK_BYTES):
-                yield rows, numbers, lines
-                rows, numbers, lines, held = [], [], [], 0
-            rows.append(row)
-            numbers.append(number)
-            lines.append(raw)
-            held += len(raw)
-    if lines:
-        yield rows, numbers, lines
-
-
-def words_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """48-bit hash and line of every word."""
-    buf = b"\n".join(lines)
-    h, start, _ = word_hashes(buf)
-    ends = np.cumsum([len(x) + 1 for x in lines])
-    return h >> np.uint64(64 - 8 * HASH_BYTES), np.searchsorted(ends, start, side="right")
+            if line:
+                yield (row, number), line.encode("utf-8", "surrogatepass")
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
@@ -69,8 +47,8 @@ def sketch(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, dtype=np.int64)
         for batch in batches:
-            for _, _, lines in line_chunks(batch.column(0).to_pylist()):
-                total += np.bincount((words_of(lines)[0] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            for chunk in chunks(lines_of(batch.column(0).to_pylist())):
+                total += np.bincount((chunk_words([x for _, x in chunk])[0] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "c"])
 
@@ -85,22 +63,6 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.log2(np.maximum(counts / max(np.median(counts), 1.0), 1.0)), 0, 15).astype(np.uint64)
 
 
-def line_sets(lines: list[bytes], level: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(line, size, key, first index, words): the distinct words of each line that has any, rarest first."""
-    h, line = words_of(lines)
-    width = np.uint64(8 * HASH_BYTES)
-    packed = np.unique((line.astype(np.uint64) << np.uint64(52)) | (level[(h % np.uint64(SKETCH)).astype(np.int64)] << width) | h)
-    word = packed & ((np.uint64(1) << width) - np.uint64(1))
-    line = (packed >> np.uint64(52)).astype(np.int64)
-    first = np.flatnonzero(np.diff(line, prepend=-1))
-    size = np.diff(np.append(first, len(line)))
-    if not len(first):
-        return line, size, word.astype(np.int64), first, word
-    mixed = mix(word)
-    key = mix(np.add.reduceat(mixed, first) ^ mix(np.bitwise_xor.reduceat(mixed * np.uint64(3), first)) + size.astype(np.uint64))
-    return line[first], size, key.view(np.int64), first, word
-
-
 _LINES = "doc_id bigint, text_key bigint, line int, k bigint, n int, sig binary, tokens binary"
 
 
@@ -112,14 +74,14 @@ def describe(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
-            for rows, numbers, lines in line_chunks(batch.column(2).to_pylist()):
-                line, size, key, first, word = line_sets(lines, shared.value)
+            for chunk in chunks(lines_of(batch.column(2).to_pylist())):
+                rows, numbers = np.array([at for at, _ in chunk]).T
+                h, owner = chunk_words([x for _, x in chunk])
+                line, size, key, first, word = packed_sets(h, owner, shared.value[(h % np.uint64(SKETCH)).astype(np.int64)])
                 long = np.flatnonzero(size >= MIN_WORDS)
                 if not len(long):
                     continue
-                raw = word.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
-                bit = (mix(word) % np.uint64(SIGNATURE_BITS)).astype(np.int64) + np.repeat(np.arange(len(size)), size) * SIGNATURE_BITS
-                sig = np.packbits((np.bincount(bit, minlength=len(size) * SIGNATURE_BITS) & 1).astype(np.uint8).reshape(len(size), -1), axis=1)
+                raw, sig = token_bytes(word), signatures(word, size, SIGNATURE_BITS)
                 sigs, tokens = [], []
                 for i in long.tolist():
                     k = int(key[i])
@@ -127,9 +89,9 @@ def describe(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     seen.add(k)
                     sigs.append(sig[i].tobytes() if new else None)
                     tokens.append(raw[first[i]:first[i] + size[i]].tobytes() if new else None)
-                at = pa.array(np.asarray(rows)[line[long]])
+                at = pa.array(rows[line[long]])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(at), keys.take(at), pa.array(np.asarray(numbers, np.int32)[line[long]]), pa.array(key[long]),
+                    [ids.take(at), keys.take(at), pa.array(numbers[line[long]].astype(np.int32)), pa.array(key[long]),
                      pa.array(size[long].astype(np.int32)), pa.array(sigs, pa.binary()), pa.array(tokens, pa.binary())],
                     names=["doc_id", "text_key", "line", "k", "n", "sig", "tokens"])
 
@@ -143,13 +105,11 @@ def prefixes(described: DataFrame, percent: int) -> DataFrame:
             k, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
             if not len(k):
                 continue
-            raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, HASH_BYTES)
-            wide = np.zeros((len(raw), 8), np.uint8)
-            wide[:, :HASH_BYTES] = raw
-            pos = np.arange(len(raw)) - np.repeat(np.cumsum(n) - n, n)
+            word = tokens_from(b"".join(batch.column(2).to_pylist())).view(np.int64)
+            pos = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
             chosen = pos < np.repeat(n - (-(-percent * n // 100)) + 1, n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(wide.view("<i8").ravel()[chosen]), pa.array(np.repeat(k, n)[chosen]),
+                [pa.array(word[chosen]), pa.array(np.repeat(k, n)[chosen]),
                  pa.array(np.repeat(n, n)[chosen].astype(np.int32)), pa.array(pos[chosen].astype(np.int32))], names=["token", "k", "n", "pos"])
 
     return described.where(F.col("tokens").isNotNull()).select("k", "n", "tokens").mapInArrow(run, "token bigint, k bigint, n int, pos int")
