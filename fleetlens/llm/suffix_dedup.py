@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import BYTE_CODES, _BASE, _BASE_INV, _cached_powers, bounded, keep, mix, others, read, written
+from fleetlens.llm.common import BYTE_CODES, _BASE, _BASE_INV, _cached_powers, keep, mix, others, read, written
 
 LENGTH = 400
 GRAM = 64
@@ -48,8 +48,9 @@ _PLACE = np.uint64((1 << 21) - 1)
 ROWS_PER_GROUP = 100_000
 #: Bytes of segments sorted at a time (whole groups).
 TASK_BYTES = 4 << 20
-#: Lists per text are broadcast up to so many entries in all (24 bytes each), else joined by shuffle.
-BROADCAST_ENTRIES = 3_000_000
+#: Span lists are broadcast up to so many spans in all (16 bytes each, and 32 per text), else joined by shuffle.
+BROADCAST_ENTRIES = 1_000_000
+_END = 1 << 62
 
 
 def _prefix_sums(buf: np.ndarray) -> np.ndarray:
@@ -274,6 +275,17 @@ def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
     return out
 
 
+def united(spans: DataFrame) -> DataFrame:
+    """(__t, __spans): the maximal spans of each text from (t, spans)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [[{"a": a, "b": b} for a, b in merged(x, _END)] for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))],
+                                             names=["__t", "__spans"])
+
+    return spans.mapInArrow(run, "__t bigint, __spans array<struct<a:bigint,b:bigint>>")
+
+
 def text_key(raw: Column) -> Column:
     return F.xxhash64(raw, F.octet_length(raw))
 
@@ -294,8 +306,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     copies = texts.where(F.octet_length("raw") >= LENGTH).groupBy("t").agg(F.count("*").alias("n"), F.max(F.octet_length("raw")).cast("long").alias("b")) \
         .where("n > 1").select("t", F.lit(0).cast("long").alias("a"), "b")
     spans = repeated_spans(texts).unionByName(copies)
-    per_text = spans.groupBy(F.col("t").alias("__t")).agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
-    joined = keyed.join(bounded(written(per_text, "spans-per-text"), BROADCAST_ENTRIES // 10), F.col("t") == F.col("__t"), "left")
+    per_text = written(united(spans.groupBy("t").agg(F.collect_set(F.struct("a", "b")).alias("spans"))), "spans-per-text")
+    # Small united lists are broadcast while they have at most BROADCAST_ENTRIES spans in all.
+    few = (per_text.agg(F.sum(F.size("__spans"))).first()[0] or 0) <= BROADCAST_ENTRIES
+    joined = keyed.join(F.broadcast(per_text) if few else per_text, F.col("t") == F.col("__t"), "left")
     schema = T.StructType([*[T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(cols)],
                            *[T.StructField(n, T.LongType()) for n in out_names[:3]],
                            T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType())])
