@@ -19,12 +19,15 @@ def round_half_up(col, digits: int) -> Column:
     """
     c = _c(col).cast("double")
     k = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(k) + F.lit(0.5)).cast("double") / F.lit(k)
+    rounded = F.signum(c) * F.floor(F.abs(c) * F.lit(k) + F.lit(0.5)).cast("double") / F.lit(k)
+    # From 2^52 on a double has no fraction left to round (and floor() would leave BIGINT's range).
+    return F.when(F.abs(c) * F.lit(k) >= F.lit(float(1 << 52)), c).otherwise(rounded)
 
 
 def lenient_double(col) -> Column:
-    """TRY_CAST(x AS DOUBLE): NULL for text that is not a number."""
-    return _c(col).try_cast("double")
+    """TRY_CAST(x AS DOUBLE): NULL for text that is not a number, 'NaN' included."""
+    d = _c(col).try_cast("double")
+    return F.when(~F.isnan(d), d)
 
 
 def lenient_int(col) -> Column:

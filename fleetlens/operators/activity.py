@@ -32,9 +32,15 @@ def _present(c: Column) -> Column:
     return c.isNotNull() & (trim_ws(c) != F.lit(""))
 
 
-def _active_counts(facts: DataFrame, key: Column, day: Column, work_hour: Column, since: Column,
+def _active_counts(facts: DataFrame, key: Column, text: Column, day: Column, work_hour: Column, since: Column,
                    name: str) -> DataFrame:
-    return (facts.where(day >= since)
+    """Active rows per key in the window.
+
+    Day columns are text that starts with an ISO date (source contract), so the
+    window's first day also bounds the text itself; that bound reaches the scan
+    and skips row groups (or partitions) of older days.
+    """
+    return (facts.where((text >= F.date_format(since, "yyyy-MM-dd")) & (day >= since))
                  .groupBy(key.alias(f"{name}_key"))
                  .agg(F.count_if(work_hour > 0).alias(f"{name}_active")))
 
@@ -86,25 +92,25 @@ def active_days(src, as_of: str | None = None, window_days: int = 30) -> DataFra
     ds = src.fuso_daily_summary
     fuso_work = (round_half_up(lenient_double(ds["long_drive"]) / hour, 2)
                  + round_half_up(lenient_double(ds["long_idle"]) / hour, 2))
-    fuso_counts = _active_counts(ds, ds["imei"], day_of_prefix(ds["_date"]), fuso_work, since, "fuso")
+    fuso_counts = _active_counts(ds, ds["imei"], ds["_date"], day_of_prefix(ds["_date"]), fuso_work, since, "fuso")
     fuso = _unit_active(_fuso_units(src), fuso_counts, "imei", "fuso", "chassis_number", F.col("vehicle_name"),
                         "vehicle_type", MITSUBISHI)
 
     m = src.jd_measurement.where(F.col("_name") == F.lit("Machine Utilization"))
     jd_work = (m["idle"] / hour) + (m["working"] / hour)
-    jd_counts = _active_counts(m, m["serial_number"], m["intervalEndDate"].cast("date"), jd_work, since, "jd")
+    jd_counts = _active_counts(m, m["serial_number"], m["intervalEndDate"], m["intervalEndDate"].cast("date"), jd_work, since, "jd")
     jd = _unit_active(_jd_units(src), jd_counts, "serialNumber", "jd", "serialNumber", F.col("_name"),
                       "fleet_type", JOHN_DEERE)
 
     wh = src.liugong_work_hours
     lg_work = lenient_double(wh["working_hours"]) + lenient_double(wh["idle_hours"])
-    lg_counts = _active_counts(wh, wh["overall_unit_sn"], wh["extract_date"].cast("date"), lg_work, since, "lg")
+    lg_counts = _active_counts(wh, wh["overall_unit_sn"], wh["extract_date"], wh["extract_date"].cast("date"), lg_work, since, "lg")
     lg = _unit_active(_lg_units(src), lg_counts, "serialNumber", "lg", "serialNumber", F.col("productName"),
                       "equipmentModel", LIUGONG)
 
     ca = src.cat_asset_utilization
     cat_work = lenient_double(ca["working_time_hours"]) + lenient_double(ca["idle_time_hours"])
-    cat_counts = _active_counts(ca, ca["asset_serial_number"], ca["extract_date"].cast("date"), cat_work, since,
+    cat_counts = _active_counts(ca, ca["asset_serial_number"], ca["extract_date"], ca["extract_date"].cast("date"), cat_work, since,
                                 "cat")
     cat = _unit_active(_cat_units(src), cat_counts, "asset_serial_number", "cat", "asset_serial_number",
                        F.lit(None).cast("string"), "model", CATERPILLAR)

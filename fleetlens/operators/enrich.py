@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.text import norm
-from fleetlens.operators.joins import join_small_side, row_count
 
 IMPUTED = ("model", "class", "egi_equipment_description")
 
@@ -16,24 +15,27 @@ IMPUTED = ("model", "class", "egi_equipment_description")
 def attach_register(rows: DataFrame, register: DataFrame) -> DataFrame:
     """rows LEFT JOIN register ON UPPER(TRIM(id)) = reg.id AND UPPER(TRIM(maker)) = reg.maker.
 
-    The register side is a snapshot of the company's unit list; it is
-    broadcast after a size check (else the join is salted, see
-    ``join_small_side``).  Duplicate
-    register rows for one unit multiply the unit's rows, as in the reports.
+    A plain left join: ``rows`` are unit lists or unit-days, and the exchanges
+    stand right under the join, so AQE can split a hot key of ``rows``.
+    Duplicate register rows for one unit multiply the unit's rows, as in the
+    reports.
     """
     reg = register.withColumnRenamed("idNumber", "__reg_id").withColumnRenamed("manufacture", "__reg_maker")
     keyed = rows.withColumn("__row_id", norm("idNumber")).withColumn("__row_maker", norm("manufacture"))
-    joined = join_small_side(keyed, reg, ["__row_id", "__row_maker"], ["__reg_id", "__reg_maker"], "left",
-                             small_rows=row_count(register))
+    joined = keyed.join(reg, (keyed["__row_id"] == reg["__reg_id"]) & (keyed["__row_maker"] == reg["__reg_maker"]), "left")
     return joined.drop("__row_id", "__row_maker", "__reg_id", "__reg_maker")
 
 
 def vehicle_master(joined: DataFrame, keys: Sequence[str] = ("manufacture", "vehicleType")) -> DataFrame:
     """Per (maker, type): MAX of model, class and description over rows that
-    carry both model and class.  The maxima are independent of each other."""
-    return (joined.where(F.col("model").isNotNull() & F.col("class").isNotNull())
-                  .groupBy(*keys)
-                  .agg(*[F.max(c).alias(c) for c in IMPUTED]))
+    carry both model and class.  The maxima are independent of each other.
+
+    MAX of text sorts its input, so the rows are first reduced to their
+    distinct values (a hash aggregate, mostly on the map side).  Their count
+    takes part in the MAX, else the optimizer would merge the two steps."""
+    distinct = (joined.where(F.col("model").isNotNull() & F.col("class").isNotNull())
+                      .groupBy(*keys, *IMPUTED).agg(F.count("*").alias("__rows")))
+    return distinct.groupBy(*keys).agg(*[F.max(F.when(F.col("__rows") > 0, F.col(c))).alias(c) for c in IMPUTED])
 
 
 def impute_from_master(joined: DataFrame, master: DataFrame, normalized: bool = False,
@@ -55,7 +57,7 @@ def impute_from_master(joined: DataFrame, master: DataFrame, normalized: bool =
         left = joined
         left_keys, master_keys = list(keys), [f"__vm_{k}" for k in keys]
         drop = []
-    # few, very large (maker, type) groups on the left: the master is
-    # broadcast after a size check (or the join is salted)
-    out = join_small_side(left, m, left_keys, master_keys, "left", small_rows=row_count(master))
+    # few, very large (maker, type) groups on the left, which AQE can split
+    cond = [left[a] == m[b] for a, b in zip(left_keys, master_keys)]
+    out = left.join(m, cond, "left")
     return out.drop(*drop, *[f"__vm_{k}" for k in keys])

@@ -25,7 +25,7 @@ from fleetlens.functions.numeric import lenient_double, lenient_int, round_half_
 from fleetlens.functions.temporal import bucket_start, day_of_prefix, to_ntz
 from fleetlens.functions.text import CAT_PREFIX, norm
 from fleetlens.operators.hours import SECONDS_PER_HOUR, lenient_active
-from fleetlens.operators.joins import self_dim_left_join
+from fleetlens.operators.joins import self_dim_left_join, split_inner_join
 from fleetlens.operators.latest import latest_per_key
 from fleetlens.operators.units import (
     CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
@@ -98,8 +98,7 @@ def _fuel_row(id_c, name_c, type_c, maker: str, date_c, idle_c, work_c, transpor
             total_c.cast("double").alias("fuel_consumed_total"), active_c.cast("int").alias("is_active_day")]
 
 
-def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
-                    steps: DataFrame | None = None) -> DataFrame:
+def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30) -> DataFrame:
     """Per (chassis, device name, device type, day): idle, working, total litres.
 
     Every reading row is joined to each device whose chassis matches after
@@ -108,12 +107,8 @@ def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_min
     without materializing the product: readings are summed per chassis-day
     first, activity rows are counted per (imei, day), and each chassis-day
     sum is weighted by its device's activity-row count.
-
-    ``steps`` may be given (same columns as ``fuso_fuel_steps``), e.g. the
-    table the streaming job maintains.
     """
-    if steps is None:       # else: a step table kept up to date by fleetlens.streaming
-        steps = fuso_fuel_steps(src, fuel_max, drop_cap, bucket_minutes)
+    steps = fuso_fuel_steps(src, fuel_max, drop_cap, bucket_minutes)
     per_day = (steps.groupBy(F.col("idNumber").alias("f_id"), F.col("_date").alias("f_date"))
                     .agg(F.sum("fuel_used_liters").alias("f_used"), F.sum("idle_fuel_consumption").alias("f_idle"))
                     .withColumn("f_key", norm("f_id")))
@@ -178,13 +173,14 @@ def liugong_active(work_hours: DataFrame) -> DataFrame:
 
 
 def liugong_fuel_daily(src) -> DataFrame:
-    """Every work-hours row with the machine list's name and model.
-
-    The reports join each row to *every* activity row of the same unit and
-    day, so a unit-day with n rows yields n * n output rows.  We keep that
-    output but never pair rows in a join: activity rows are first counted
-    per unit-day (active / inactive), joined many-to-one, and each row is
-    then repeated locally by those counts.
+    """Every work-hours row with the machine list's name and model, and its unit-day's activity flag.
+
+    The flag of a unit-day is the MAX over its rows, so each fuel row comes out
+    once.  (The reports' own query pairs every row of a unit-day with every
+    other one; that multiplies litres and grows with the square of a day's
+    rows, so it is not reproduced, see SURVEY Q6.)  The flags are one row per
+    unit-day; a unit-day with very many rows is split by ``keep_left_join``'s
+    salting.
     """
     wh = src.liugong_work_hours
     rows = wh.select(F.col("overall_unit_sn").alias("serialNumber"),
@@ -192,23 +188,20 @@ def liugong_fuel_daily(src) -> DataFrame:
                      lenient_double("avg_mileage_idle_oil_consume").alias("fuel_idle"),
                      lenient_double("job_oil_consumes").alias("fuel_working"),
                      F.col("oil_consumes").cast("double").alias("fuel_total"))
-    counts = (liugong_active(wh)
-              .groupBy(F.col("serialNumber").alias("la_serial"), F.col("_date").alias("la_date"))
-              .agg(F.count_if(F.col("is_active_day") == 1).alias("la_on"),
-                   F.count_if(F.col("is_active_day") == 0).alias("la_off")))
-    rows = rows.join(counts, (rows["serialNumber"] == counts["la_serial"]) & (rows["_date"] == counts["la_date"]),
-                     "left")
+    flags = (liugong_active(wh).where(F.col("serialNumber").isNotNull() & F.col("_date").isNotNull())
+             .groupBy(F.col("serialNumber").alias("la_serial"), F.col("_date").alias("la_date"))
+             .agg(F.max("is_active_day").alias("la_flag")))
+    # Every row with both keys has a flag (its own row gave one); the others have none.
+    keyed = F.col("serialNumber").isNotNull() & F.col("_date").isNotNull()
+    flagged = split_inner_join(flags, rows.where(keyed), ["la_serial", "la_date"], ["serialNumber", "_date"])
+    rows = flagged.unionByName(rows.where(~keyed), allowMissingColumns=True)
     lg = liugong_latest_machines(src.liugong_machines).select(
         norm("serialNumber").alias("lg_key"), "productName", "equipmentModel")
-    keyed = rows.withColumn("r_key", norm("serialNumber"))
-    rows = keyed.join(lg, keyed["r_key"] == lg["lg_key"], "left")
-    # unmatched rows keep one copy with flag 0 (COALESCE(NULL, 0))
-    ones = F.array_repeat(F.lit(1), F.coalesce(F.col("la_on"), F.lit(0)).cast("int"))
-    zeros = F.array_repeat(F.lit(0), F.coalesce(F.col("la_off"), F.lit(1)).cast("int"))
-    rows = rows.withColumn("la_flag", F.explode(F.concat(ones, zeros)))
+    keyed_rows = rows.withColumn("r_key", norm("serialNumber"))
+    rows = keyed_rows.join(lg, keyed_rows["r_key"] == lg["lg_key"], "left")
     return rows.select(*_fuel_row(F.col("serialNumber"), F.col("productName"), F.col("equipmentModel"), LIUGONG,
                                   F.col("_date"), F.col("fuel_idle"), F.col("fuel_working"), F.lit(None),
-                                  F.col("fuel_total"), F.col("la_flag")))
+                                  F.col("fuel_total"), F.coalesce(F.col("la_flag"), F.lit(0))))
 
 
 def cat_fuel_allocation(src) -> DataFrame:

@@ -69,66 +69,55 @@ def cat_daily(assets: DataFrame) -> DataFrame:
                          lenient_double("idle_time_hours").alias("cd_idle"))
 
 
-def _daily(df: DataFrame, id_c, name_c, type_c, maker: str, date_c, work_c, idle_c, active_c) -> DataFrame:
-    return df.select(id_c.alias("idNumber"), name_c.alias("vehicleName"), type_c.alias("vehicleType"),
-                     F.lit(maker).alias("manufacture"), date_c.alias("_date"),
-                     work_c.cast("double").alias("work_hour"), idle_c.cast("double").alias("idle_hour"),
-                     active_c.alias("is_active_day"))
-
-
-def fuso_hours(src) -> DataFrame:
-    dev = fuso_latest_devices(src.fuso_devices)
-    rows = keep_left_join(dev, fuso_daily_summary(src.fuso_daily_summary), ["imei"], ["ds_imei"])
-    d, i = F.col("long_drive"), F.col("long_idle")
-    return _daily(rows, F.col("chassis_number"), F.col("vehicle_name"), F.col("vehicle_type"), MITSUBISHI,
-                  F.col("date_record"), d, i, strict_active(d, i, 2))
-
-
-def jd_hours(src) -> DataFrame:
-    eq = jd_latest_machines(src.jd_equipment)
-    # The right side is already one row per (serial, day): a unit contributes
-    # at most one row per day, so a plain left join cannot concentrate rows.
-    mu = jd_machine_utilization(src.jd_measurement)
-    rows = eq.join(mu, eq["serialNumber"] == mu["mu_serial"], "left")
-    w, i = F.col("mu_working"), F.col("mu_idle")
-    return _daily(rows, F.col("serialNumber"), F.col("_name"), F.col("fleet_type"), JOHN_DEERE,
-                  F.col("mu_date"), w, i, strict_active(w, i, 4))
-
-
-def liugong_hours(src) -> DataFrame:
-    lg = liugong_latest_machines(src.liugong_machines)
-    rows = keep_left_join(lg, liugong_daily(src.liugong_work_hours), ["serialNumber"], ["ld_serial"])
-    w, i = F.col("ld_work"), F.col("ld_idle")
-    return _daily(rows, F.col("serialNumber"), F.col("productName"), F.col("equipmentModel"), LIUGONG,
-                  F.col("ld_date"), w, i, lenient_active(w, i))
-
-
-def cat_hours(src) -> DataFrame:
-    cat = cat_latest_assets(src.cat_asset_utilization)
-    # the asset list is the latest row of each asset of this same table
-    rows = self_dim_left_join(cat, cat_daily(src.cat_asset_utilization), "asset_serial_number", "cd_serial")
-    w, i = F.col("cd_work"), F.col("cd_idle")
-    return _daily(rows, F.col("asset_serial_number"), F.lit(None).cast("string"), F.col("model"), CATERPILLAR,
-                  F.col("cd_date"), w, i, lenient_active(w, i))
-
-
 def hour_units(src) -> DataFrame:
-    """(idNumber, vehicleType, manufacture) of every unit in ``daily_hours``:
-    each unit appears there at least once (left joins from the unit lists),
-    so this is the set of unit keys without reading any fact table."""
-    def pick(df, id_c, type_c, maker):
-        return df.select(id_c.alias("idNumber"), F.col(type_c).alias("vehicleType"), F.lit(maker).alias("manufacture"))
-    return (pick(fuso_latest_devices(src.fuso_devices), F.col("chassis_number"), "vehicle_type", MITSUBISHI)
-            .unionByName(pick(jd_latest_machines(src.jd_equipment), F.col("serialNumber"), "fleet_type", JOHN_DEERE))
-            .unionByName(pick(liugong_latest_machines(src.liugong_machines), F.col("serialNumber"),
+    """(unit_key, idNumber, vehicleName, vehicleType, manufacture) of every unit in ``daily_hours``.
+
+    ``unit_key`` is what the maker's facts call the unit.  Each unit appears in
+    the report at least once (left joins from the unit lists).
+    """
+    def pick(df, key_c, id_c, name_c, type_c, maker):
+        return df.select(F.col(key_c).alias("unit_key"), F.col(id_c).alias("idNumber"), name_c.alias("vehicleName"),
+                         F.col(type_c).alias("vehicleType"), F.lit(maker).alias("manufacture"))
+    return (pick(fuso_latest_devices(src.fuso_devices), "imei", "chassis_number", F.col("vehicle_name"), "vehicle_type", MITSUBISHI)
+            .unionByName(pick(jd_latest_machines(src.jd_equipment), "serialNumber", "serialNumber", F.col("_name"), "fleet_type", JOHN_DEERE))
+            .unionByName(pick(liugong_latest_machines(src.liugong_machines), "serialNumber", "serialNumber", F.col("productName"),
                               "equipmentModel", LIUGONG))
-            .unionByName(pick(cat_latest_assets(src.cat_asset_utilization), F.col("asset_serial_number"), "model",
-                              CATERPILLAR)))
+            .unionByName(pick(cat_latest_assets(src.cat_asset_utilization), "asset_serial_number", "asset_serial_number",
+                              F.lit(None).cast("string"), "model", CATERPILLAR)))
+
 
+def daily_hours(src, units: DataFrame | None = None) -> DataFrame:
+    """All makers' unit-day rows; units without any day appear once with NULL date.
 
-def daily_hours(src) -> DataFrame:
-    """All makers' unit-day rows; units without any day appear once with NULL date."""
-    return fuso_hours(src).unionByName(jd_hours(src)).unionByName(liugong_hours(src)).unionByName(cat_hours(src))
+    ``units`` may be ``hour_units`` with more columns (register attributes),
+    which the rows then carry: attributes join the unit list once, not every
+    fact row.
+    """
+    units = hour_units(src) if units is None else units
+    carried = [c for c in units.columns if c != "unit_key"]
+
+    def rows(maker, facts, key, date, work, idle, active, join=keep_left_join):
+        mine = units.where(F.col("manufacture") == F.lit(maker))
+        joined = join(mine, facts, ["unit_key"], [key])
+        w, i = F.col(work), F.col(idle)
+        return joined.select(*carried, F.col(date).alias("_date"), w.cast("double").alias("work_hour"),
+                             i.cast("double").alias("idle_hour"), active(w, i).alias("is_active_day"))
+
+    # JD facts are already one row per (serial, day): a unit adds at most one row per day.
+    def plain(left, right, left_keys, right_keys):
+        return left.join(right, left[left_keys[0]] == right[right_keys[0]], "left")
+
+    # The Caterpillar asset list is the latest row of each asset of the fact table itself.
+    def own(left, right, left_keys, right_keys):
+        return self_dim_left_join(left, right, left_keys[0], right_keys[0])
+
+    return (rows(MITSUBISHI, fuso_daily_summary(src.fuso_daily_summary), "ds_imei", "date_record", "long_drive", "long_idle",
+                 lambda w, i: strict_active(w, i, 2))
+            .unionByName(rows(JOHN_DEERE, jd_machine_utilization(src.jd_measurement), "mu_serial", "mu_date", "mu_working", "mu_idle",
+                              lambda w, i: strict_active(w, i, 4), plain))
+            .unionByName(rows(LIUGONG, liugong_daily(src.liugong_work_hours), "ld_serial", "ld_date", "ld_work", "ld_idle", lenient_active))
+            .unionByName(rows(CATERPILLAR, cat_daily(src.cat_asset_utilization), "cd_serial", "cd_date", "cd_work", "cd_idle",
+                              lenient_active, own)))
 
 
 def work_idle_ratio(work, idle) -> tuple[Column, Column]:

@@ -1,19 +1,19 @@
-"""Join shapes that stay balanced when one key is hot.
+"""Unit list LEFT JOIN fact table that stays balanced when one unit is hot.
 
 A dimension (one row per unit) LEFT JOIN a fact table is the commonest shape
 in the reports.  Executed as one sort-merge outer join, a unit holding a
 third of the fact rows lands in one task, and AQE cannot split the fact side
-of a left outer join.  ``keep_left_join`` runs it as
+of a left outer join, nor a join that reuses the unit list's window
+partitioning.  ``keep_left_join`` counts the facts per key (map-side sums of
+the keys alone) and runs
 
-    (dim INNER JOIN fact)  UNION ALL  (dim ANTI JOIN distinct fact keys)
+    (units INNER JOIN facts ON key, salt)  UNION ALL  (units without facts)
 
-The inner join broadcasts the unit list after counting it, or, for a unit
-list too large for that, salts the fact side so a hot unit is spread over
-many tasks (``join_small_side``; AQE's own skew split does not apply here,
-because the unit list comes out of a window already partitioned by the unit
-key and the join reuses that partitioning).  The key list is reduced by a
-map-side partial aggregate before it is shuffled.  Output equals the left
-outer join row for row.
+A key with more than ``HOT_ROWS`` facts gets one salt per ``HOT_ROWS`` of them,
+and only its unit is repeated, once per salt; every other key has the one salt
+0 and takes a plain join, which Spark plans as it sees fit.  The list of hot
+keys has at most facts / HOT_ROWS rows, which bounds its broadcast.  Nothing is
+counted on the driver, and the output equals the left outer join row for row.
 """
 
 from __future__ import annotations
@@ -24,83 +24,65 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.operators.memo import per_source
-
-
-# A side is broadcast only after counting it: at most this many rows (unit
-# lists, register snapshots and per-(maker, type) masters are far smaller).
-MAX_BROADCAST_ROWS = 500_000
-# Beyond that, a join spreads every key of its big side over this many salts.
-SALTS = 64
+#: Facts per key and task that need no split.
+HOT_ROWS = 1_000_000
 
 
 def _and(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-@per_source
-def row_count(df: DataFrame) -> int:
-    """Rows of ``df`` (one job, memoized per DataFrame)."""
-    return df.count()
+def _key_counts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Facts per non-NULL key: __key0.. and __n."""
+    present = _and([F.col(k).isNotNull() for k in keys])
+    return facts.where(present).groupBy(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("__n"))
 
 
-def join_small_side(big: DataFrame, small: DataFrame, big_keys: Sequence[str], small_keys: Sequence[str],
-                    how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS, salts: int = SALTS,
-                    small_rows: int | None = None) -> DataFrame:
-    """``big JOIN small`` (``how`` is inner or left, ``big`` preserved).
+def _on(df: DataFrame, keys: Sequence[str], counts: DataFrame) -> Column:
+    return _and([df[k] == counts[f"__key{i}"] for i, k in enumerate(keys)])
 
-    ``small`` is broadcast when a count proves it has at most ``max_rows``
-    rows; the big side is then never shuffled for this join.  Otherwise each
-    big row gets a deterministic salt (hash of the row) in ``[0, salts)``
-    and ``small`` is replicated once per salt, so a key holding a large share
-    of ``big`` is spread over ``salts`` tasks whatever the partitioning of
-    either side.  Both ways return exactly the plain join's rows.
-    ``small_rows`` passes a count already known (e.g. of the DataFrame
-    ``small`` was projected from).
-    """
-    if (row_count(small) if small_rows is None else small_rows) <= max_rows:
-        return big.join(F.broadcast(small), _and([big[b] == small[s] for b, s in zip(big_keys, small_keys)]), how)
-    salted_big = big.withColumn("__salt_b", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
-    salted_small = small.withColumn("__salt_s", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                     F.lit(salts - 1).cast("long"))))
-    cond = _and([salted_big[b] == salted_small[s] for b, s in zip(big_keys, small_keys)]
-                + [salted_big["__salt_b"] == salted_small["__salt_s"]])
-    return salted_big.join(salted_small, cond, how).drop("__salt_b", "__salt_s")
 
+def split_inner_join(units: DataFrame, facts: DataFrame, unit_keys: Sequence[str], fact_keys: Sequence[str],
+                     counts: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``units INNER JOIN facts`` with hot keys spread over salts (columns of both sides)."""
+    if counts is None:
+        counts = _key_counts(facts, fact_keys)
+    hot = counts.where(F.col("__n") > hot_rows).withColumn("__salts", F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")).drop("__n")
+    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    left = units.join(F.broadcast(hot), _on(units, unit_keys, hot), "left") \
+        .withColumn("__salt_u", F.explode(F.sequence(F.lit(0), salts - 1)))
+    # Equal facts differ in their partition, so they spread as well; a retried task gives its rows the same salts.
+    right = facts.join(F.broadcast(hot), _on(facts, fact_keys, hot), "left") \
+        .withColumn("__salt_f", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns], F.spark_partition_id()), salts).cast("int"))
+    cond = _and([F.col(u) == F.col(f) for u, f in zip(unit_keys, fact_keys)] + [F.col("__salt_u") == F.col("__salt_f")])
+    return left.select(*units.columns, "__salt_u").join(right.select(*facts.columns, "__salt_f"), cond).select(*units.columns, *facts.columns)
 
-def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                   right_keys: Sequence[str]) -> DataFrame:
-    """``left LEFT JOIN right ON left_keys = right_keys`` (skew-safe on ``right``).
 
-    Column names of the two sides must be distinct.
-    """
-    clash = set(left.columns) & set(right.columns)
-    if clash:
+def _without_facts(units: DataFrame, facts: DataFrame) -> DataFrame:
+    return units.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields])
+
+
+def _check(left: DataFrame, right: DataFrame) -> None:
+    if clash := set(left.columns) & set(right.columns):
         raise ValueError(f"column names on both sides: {sorted(clash)}")
-    # the unit list is the small side: broadcast after a size check, else salted
-    matched = join_small_side(right, left, right_keys, left_keys, "inner")
-    key_names = [f"__key{i}" for i in range(len(right_keys))]
-    right_key_set = right.select(*[F.col(rk).alias(n) for rk, n in zip(right_keys, key_names)]).distinct()
-    unmatched = left.join(right_key_set,
-                          _and([left[lk] == right_key_set[n] for lk, n in zip(left_keys, key_names)]),
-                          "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    out_cols = left.columns + right.columns
-    return matched.select(*out_cols).unionByName(unmatched.select(*left.columns, *nulls))
-
-
-def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
+
+
+def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``left LEFT JOIN right ON left_keys = right_keys``, balanced on ``right``; column names must be distinct."""
+    _check(left, right)
+    counts = _key_counts(right, right_keys)
+    matched = split_inner_join(left, right, left_keys, right_keys, counts, hot_rows)
+    return matched.unionByName(_without_facts(left.join(counts, _on(left, left_keys, counts), "left_anti"), right))
+
+
+def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``dim LEFT JOIN fact`` when ``dim`` was derived from ``fact`` itself.
 
     Every non-NULL dimension key then occurs in the fact table, so the only
     unmatched dimension rows are those with a NULL key: the result is the
-    inner join plus those rows.  Catalyst pushes the NULL-key filter below
-    the dimension's window to the scan (``IsNull``), where parquet null
-    counts skip every row group without NULL keys.
+    inner join plus those rows.
     """
-    clash = set(dim.columns) & set(fact.columns)
-    if clash:
-        raise ValueError(f"column names on both sides: {sorted(clash)}")
-    matched = join_small_side(fact, dim, [fact_key], [dim_key], "inner").select(*dim.columns, *fact.columns)
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]
-    return matched.unionByName(dim.where(F.col(dim_key).isNull()).select(*dim.columns, *nulls))
+    _check(dim, fact)
+    matched = split_inner_join(dim, fact, [dim_key], [fact_key], None, hot_rows)
+    return matched.unionByName(_without_facts(dim.where(F.col(dim_key).isNull()), fact))

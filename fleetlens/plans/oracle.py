@@ -25,11 +25,12 @@ def trim(x: str) -> str:
 
 def rhu(x: str, d: int) -> str:
     k = 10 ** d
-    return f"(sign({x}) * floor(abs({x}) * CAST({k} AS DOUBLE) + 0.5) / CAST({k} AS DOUBLE))"
+    return (f"(CASE WHEN abs({x}) * CAST({k} AS DOUBLE) >= CAST(4503599627370496 AS DOUBLE) THEN CAST({x} AS DOUBLE) "
+            f"ELSE sign({x}) * floor(abs({x}) * CAST({k} AS DOUBLE) + 0.5) / CAST({k} AS DOUBLE) END)")
 
 
 def dbl(x: str) -> str:
-    return f"TRY_CAST({x} AS DOUBLE)"
+    return f"CASE WHEN NOT isnan(TRY_CAST({x} AS DOUBLE)) THEN TRY_CAST({x} AS DOUBLE) END"
 
 
 def lenient_int(x: str) -> str:
@@ -216,6 +217,8 @@ def _ctes() -> str:
             "ON e.serialNumber = a.serial_number AND f._date = a._date"),
         "o_lg_active": (f"SELECT overall_unit_sn AS serialNumber, CAST(extract_date AS DATE) AS _date, "
                         f"{lg_active} AS is_active_day FROM liugong_work_hours"),
+        "o_lg_day_active": ("SELECT serialNumber, _date, max(is_active_day) AS is_active_day FROM o_lg_active "
+                            "GROUP BY serialNumber, _date"),
         "o_lg_fuel": (
             f"SELECT l.serialNumber AS idNumber, g.productName AS vehicleName, g.equipmentModel AS vehicleType, "
             f"'LIUGONG' AS manufacture, l._date, l.fi AS fuel_consumed_idle, l.fw AS fuel_consumed_working, "
@@ -225,7 +228,7 @@ def _ctes() -> str:
             f"{dbl('avg_mileage_idle_oil_consume')} AS fi, {dbl('job_oil_consumes')} AS fw, "
             f"CAST(oil_consumes AS DOUBLE) AS ft FROM liugong_work_hours) l "
             f"LEFT JOIN o_lg_latest g ON {norm('l.serialNumber')} = {norm('g.serialNumber')} "
-            f"LEFT JOIN o_lg_active a ON l.serialNumber = a.serialNumber AND l._date = a._date"),
+            f"LEFT JOIN o_lg_day_active a ON l.serialNumber = a.serialNumber AND l._date = a._date"),
         "o_cat_fuel": (
             f"SELECT 'CAT' || c.asset_serial_number AS idNumber, CAST(NULL AS VARCHAR) AS vehicleName, "
             f"c.model AS vehicleType, 'CATERPILLAR' AS manufacture, f._date, "
@@ -271,6 +274,7 @@ def _finals() -> dict[str, str]:
                                "FROM o_fuso_latest"),
         "register_latest_snapshot": "SELECT * FROM o_register",
         "register_normalize": (f"SELECT equipment_serial_number, manufacture, {lid} AS id_list, {lmk} AS maker_list, "
+                               f"{lid} AS id_utilization, {lmk} AS maker_utilization, "
                                f"{hid} AS id_hours, {hmk} AS maker_hours, {fid} AS id_fuel, {fmk} AS maker_fuel "
                                f"FROM o_register"),
         "clean_user_department": (f"SELECT equipment_number, {user}, {clean_user(user)} AS department "
@@ -309,6 +313,8 @@ def _finals() -> dict[str, str]:
             f"ON j.manufacture = m.manufacture AND j.vehicleType = m.vehicleType"),
         "active_days_30d": "SELECT * FROM o_util_units",
         "impute_vehicle_master": "SELECT * FROM o_hours_master",
+        "impute_utilization_master": "SELECT * FROM o_util_master",
+        "impute_fuel_master": "SELECT * FROM o_fuel_master",
         "utilization": (
             f"SELECT j.manufacture, j.vehicleType, j.equipment_location, "
             f"coalesce(j.egi_equipment_description, m.egi_equipment_description) AS equipment_description, "

@@ -42,7 +42,7 @@ def _empty_to_null_date(src: FleetSources) -> DataFrame:
 def _register_normalize(src: FleetSources) -> DataFrame:
     reg = register_latest(src.lark_fleet_master)
     cols = [F.col("equipment_serial_number"), F.col("manufacture")]
-    for v in ("list", "hours", "fuel"):
+    for v in ("list", "utilization", "hours", "fuel"):
         rid, rmaker = register_keys(v)
         cols += [rid.alias(f"id_{v}"), rmaker.alias(f"maker_{v}")]
     return reg.select(*cols)
@@ -126,6 +126,8 @@ def source_queries() -> dict[str, Callable[[FleetSources], DataFrame]]:
         "hours": reports.hours,
         "active_days_30d": lambda s: active_days(s, AS_OF),
         "impute_vehicle_master": _impute_vehicle_master,
+        "impute_utilization_master": reports.utilization_master,
+        "impute_fuel_master": reports.fuel_master,
         "utilization": lambda s: reports.utilization(s, AS_OF),
         "fuel_readings_clean": lambda s: fu.fuel_readings_clean(s.fuso_fuel_reports),
         "half_hour_bucket": lambda s: fu.half_hour_buckets(s.fuso_fuel_reports),

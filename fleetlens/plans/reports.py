@@ -6,11 +6,11 @@
 * ``hours``       – daily working / idle hours with efficiency ratios
 * ``fuel``        – daily fuel split into idle and working
 
-Catalyst plans each report as a whole.  Each report imputes missing
-attributes from a per-(maker, type) master.  For hours and utilization the
-master is built from the unit lists (no fact table is read twice); for fuel
-the enriched rows are written once under the checkpoint directory and read
-by both the master and the report.
+Catalyst plans each report as a whole.  Register attributes and the
+per-(maker, type) master for missing ones join the unit lists in hours and
+utilization, before any fact row; for fuel, whose units come from the facts,
+the enriched unit-day rows are written once under the checkpoint directory
+and read by both the master and the report.
 """
 
 from __future__ import annotations
@@ -50,7 +50,11 @@ def fleet_list(src, ordered: bool = True) -> DataFrame:
                     norm("idNumber").alias("lf_kid"), norm("manufacture").alias("lf_kmaker"))
     fu = units.select(*[F.col(c).alias(f"fu_{c}") for c in units.columns],
                       norm("idNumber").alias("fu_kid"), norm("manufacture").alias("fu_kmaker"))
-    j = lf.join(fu, (lf["lf_kid"] == fu["fu_kid"]) & (lf["lf_kmaker"] == fu["fu_kmaker"]), "full")
+    # A NULL key matches nothing: such rows go around the join instead of meeting in one task.
+    lf_keyed, fu_keyed = (F.col(f"{p}_kid").isNotNull() & F.col(f"{p}_kmaker").isNotNull() for p in ("lf", "fu"))
+    left, right = lf.where(lf_keyed), fu.where(fu_keyed)
+    j = left.join(right, (left["lf_kid"] == right["fu_kid"]) & (left["lf_kmaker"] == right["fu_kmaker"]), "full") \
+        .unionByName(lf.where(~lf_keyed), allowMissingColumns=True).unionByName(fu.where(~fu_keyed), allowMissingColumns=True)
     out = j.select(
         F.col("lf_equipment_location").alias("equipment_location"),
         F.col("lf_model").alias("model"),
@@ -109,20 +113,20 @@ def utilization(src, as_of: str | None = None, window_days: int = 30, threshold:
     return out
 
 
-def hours_joined(src) -> DataFrame:
-    return attach_register(daily_hours(src), register_for(src.lark_fleet_master, "hours"))
+def hours_units(src) -> DataFrame:
+    """The units of the hours report with their register attributes."""
+    return attach_register(hour_units(src), register_for(src.lark_fleet_master, "hours"))
 
 
 @per_source
 def hours_master(src) -> DataFrame:
-    """Attribute master of the hours report, from the unit keys (every unit
-    of ``daily_hours`` has at least one row there), without the facts."""
-    return vehicle_master(attach_register(hour_units(src), register_for(src.lark_fleet_master, "hours")))
+    """Attribute master of the hours report: every unit has at least one row
+    there, and MAX ignores multiplicity, so the unit list suffices."""
+    return vehicle_master(hours_units(src))
 
 
 def hours(src, ordered: bool = True) -> DataFrame:
-    joined = hours_joined(src)
-    full = impute_from_master(joined, hours_master(src))
+    full = daily_hours(src, impute_from_master(hours_units(src), hours_master(src)))
     wr, ir = work_idle_ratio(F.col("work_hour"), F.col("idle_hour"))
     out = full.select(
         "idNumber", "vehicleName", "vehicleType", "manufacture", "_date", "work_hour", "idle_hour",
@@ -134,6 +138,11 @@ def hours(src, ordered: bool = True) -> DataFrame:
     return out.orderBy(*_asc("manufacture", "idNumber", "_date")) if ordered else out
 
 
+def fuel_master(src) -> DataFrame:
+    """Attribute master of the fuel report: raw maker and type of its enriched rows."""
+    return vehicle_master(attach_register(fuel_daily(src), register_for(src.lark_fleet_master, "fuel")))
+
+
 def fuel(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
          ordered: bool = True, materialize: bool = True) -> DataFrame:
     merged = fuel_daily(src, fuel_max, drop_cap, bucket_minutes)

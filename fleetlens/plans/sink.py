@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 def write_report(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """Write a report as parquet; daily reports can be laid out by ``_date``
     so a dashboard reading a date range prunes partitions."""
+    if partition_by:
+        # Rows of a date gather in few tasks; AQE splits a date that is too large (or the NULL one).
+        df = df.hint("rebalance", partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)

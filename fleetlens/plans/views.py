@@ -19,7 +19,7 @@ def register_views(src: FleetSources, as_of: str | None = None, prefix: str = ""
         "fleet_list": reports.fleet_list(src, ordered=False),
         "utilization": reports.utilization(src, as_of, ordered=False),
         "hours": reports.hours(src, ordered=False),
-        "fuel": reports.fuel(src, ordered=False),
+        "fuel": reports.fuel(src, ordered=False, materialize=False),
     }
     for name, df in built.items():
         df.createOrReplaceTempView(prefix + name)

@@ -18,8 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # AQE converts a join to broadcast only after measuring the built side at
-    # runtime; keep that bound explicit instead of hinting broadcast().
+    # Unit lists and masters are broadcast by the planner's size estimates or by
+    # AQE's measurements, within these bounds; only hot-key lists are hinted.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.exchange.reuse": "true",
@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) do we create one of our own.
+    is.  Only when it is unset on a local master (tests) do we create one of our
+    own; elsewhere an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -60,12 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
     if current:
         return current
+    master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+    if not str(master).startswith("local") or str(master).startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share; "
+                           "a local one would leave each executor with its own files")
     local = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
-    else:
-        try:
-            spark.conf.set("spark.checkpoint.dir", local)
-        except Exception:  # static on some deployments; the path is still returned
-            pass
     return local
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have ``path`` deleted when the driver ends (frames that read it live until then)."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # Spark Connect: the server owns the files
+        return
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)

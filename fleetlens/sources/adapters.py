@@ -79,11 +79,11 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
          CAST(CAST(FLOOR(l_discount * 100) AS BIGINT) AS STRING) AS avg_mileage_idle_oil_consume,
          CAST(l_quantity AS STRING) AS job_oil_consumes,
          CAST(l_quantity + CAST(FLOOR(l_discount * 100) AS BIGINT) AS STRING) AS oil_consumes
-  FROM {lineitem} WHERE l_returnflag = 'R'
+  FROM {lineitem}
 """),
     "cat_asset_utilization": (("orders",), """
-  SELECT 'SYW' || LPAD(CAST(o_custkey % 300 AS STRING), 5, '0') AS asset_serial_number,
-         'D' || CAST(o_custkey % 300 % 4 AS STRING) AS model,
+  SELECT 'SYW' || LPAD(CAST(o_custkey AS STRING), 9, '0') AS asset_serial_number,
+         'D' || CAST(o_custkey % 4 AS STRING) AS model,
          CAST(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT) AS STRING) AS extract_date,
          CASE WHEN o_orderstatus = 'P' THEN '0' ELSE CAST(o_orderkey % 9 AS STRING) END AS working_time_hours,
          CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderstatus = 'P' THEN '0' ELSE '2' END AS idle_time_hours,
@@ -112,9 +112,9 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
   UNION ALL
   SELECT '2024-02-01', 'DOZER', 'LOC-1', 'Dozer', 'DZ-' || CAST(c_custkey AS STRING),
          CASE WHEN c_custkey % 20 = 19 THEN 'NO-SERIAL'
-              ELSE 'X9-SYW' || LPAD(CAST(c_custkey AS STRING), 5, '0') END,
+              ELSE 'X9-SYW' || LPAD(CAST(c_custkey AS STRING), 9, '0') END,
          CASE WHEN c_custkey % 9 = 8 THEN ' cat ' ELSE 'CAT' END, 'D6', CAST(c_custkey AS STRING), 'LC'
-  FROM {customer} WHERE c_custkey < 320
+  FROM {customer}
   UNION ALL
   SELECT '2024-02-01', 'EXCAVATOR', 'LOC-2', 'Excavator', 'EX-1', 'KM-1', 'KOMATSU', 'PC200', '1', 'HSE'
   FROM {region} WHERE r_regionkey = 0

@@ -45,6 +45,9 @@ FUSO_DAILY_SUMMARY = (
        ("4", "2024-01-06T00:00:00", "3600", "0", "1"),     # two activity rows on one day:
        ("4", "2024-01-06T00:00:00", "0", "0", "1"),        # fuel of that day counts twice
        ("7", "2024-01-06T00:00:00", "17", "0", "1"),       # rounds to 0.0 -> inactive
+       ("7", "2024-01-07T00:00:00", "NaN", "0", "1"),      # NaN text is no number
+       ("7", "2024-01-08T00:00:00", "1e21", "0", "1e17"),  # too large to round
+       ("7", "2024-01-09T00:00:00", "Infinity", "1", "x"),
        ("99", "2024-01-05T00:00:00", "3600", "0", "1")]    # device unknown
 )
 
@@ -120,6 +123,10 @@ LIUGONG_WORK_HOURS = [
     ("LG1", "2024-01-11", "bad", "1", "x", "3", "4"),   # lenient / strict parses
     ("LG2", "2024-01-10", "2", "", "1", "2", "3"),      # matches 'lg2 ' only after UPPER(TRIM())
     ("LG9", "2024-01-10", "1", "1", "1", "1", "2"),     # no machine-list row
+    ("LG3", "2024-01-10", "NaN", "0", "NaN", "1", "2"),  # NaN hours and litres
+    ("LG3", "2024-01-11", "Infinity", "1", "1", "1", "2"),
+    ("LG3", "2024-01-12", "1e17", "0", "1", "1", "2"),
+    (None, "2024-01-12", "1", "0", "1", "1", "2"),       # NULL unit: no activity flag
 ]
 
 CAT_ASSETS = [
@@ -130,6 +137,8 @@ CAT_ASSETS = [
     ("SYW1", "D6", "2023-12-01", "1", "1", "1"),       # outside the 30-day window
     ("SYW2", "d6 ", "2024-01-10", "1", "2", "7"),
     (None, "D8", "2024-01-10", "1", "1", "1"),          # NULL serial
+    ("SYW2", "d6 ", "2024-01-11", "NaN", "1", "7"),     # NaN hours
+    ("SYW2", "d6 ", "2024-01-12", "1e17", "1", "7"),
 ]
 
 REGISTER = [

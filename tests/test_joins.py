@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from fleetlens.operators.joins import keep_left_join, self_dim_left_join
 from tests.helpers import spark_multiset
 
@@ -34,87 +36,51 @@ def test_self_dim_left_join_equals_left_join(spark):
     assert spark_multiset(got) == spark_multiset(want)
 
 
-def test_hot_unit_never_lands_in_one_join_task(spark):
-    """A unit holding a third of the facts: a plain LEFT OUTER join of the
-    unit list to the facts gets no skew handling (the hot unit's rows meet
-    in one task); keep_left_join broadcasts the counted unit list, so the
-    facts are not shuffled for the join at all."""
-    from pyspark.sql import functions as F
-
-    from fleetlens.operators.latest import latest_per_key
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        snap = spark.range(0, 400).select(
-            (F.col("id") % 200).alias("k"),
-            F.when(F.col("id") < 200, "2024-01-01").otherwise("2024-02-01").alias("extract_date"),
-            F.col("id").cast("string").alias("name"))
-        dim = latest_per_key(snap, ["k"], tiebreak=["name"]).select("k", "name")
-        fact = spark.range(0, 60000).select(
-            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 150).alias("fk"),
-            F.col("id").cast("double").alias("v"))
-        split = keep_left_join(dim, fact, ["k"], ["fk"])
-        plain = dim.join(fact, dim["k"] == fact["fk"], "left")
-        # 100 of the 200 units have facts (keys 0 mod 3 never occur): 60000 + 100 rows
-        assert len(split.collect()) == len(plain.collect()) == 60100
-        final = split._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "BroadcastHashJoin" in final and "Inner" in final
-        final_plain = plain._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "SortMergeJoin [" in final_plain and "skew=true" not in final_plain
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def test_join_small_side_salted_path_equals_plain_join(spark):
-    """Forcing the salted path (no broadcast allowed) gives the plain join's rows."""
-    from fleetlens.operators.joins import join_small_side
-    dim_rows, fact_rows = _data(11)
-    dim = spark.createDataFrame(dim_rows, "k int, name string")
-    fact = spark.createDataFrame(fact_rows, "fk int, v double")
-    for how in ("inner", "left"):
-        want = fact.join(dim, fact["fk"] == dim["k"], how)
-        got = join_small_side(fact, dim, ["fk"], ["k"], how, max_rows=0, salts=7)
-        assert spark_multiset(got.select(*want.columns)) == spark_multiset(want)
-        got_b = join_small_side(fact, dim, ["fk"], ["k"], how)     # broadcast path
-        assert spark_multiset(got_b.select(*want.columns)) == spark_multiset(want)
-
+def test_split_joins_equal_left_join_when_keys_are_hot(spark):
+    """A tiny bound makes the hot keys salted; the rows stay those of the plain join."""
+    for seed in range(3):
+        dim_rows, fact_rows = _data(seed)
+        dim = spark.createDataFrame(dim_rows, "k int, name string")
+        fact = spark.createDataFrame(fact_rows, "fk int, v double").repartition(5)
+        want = dim.join(fact, dim["k"] == fact["fk"], "left").select("k", "name", "fk", "v")
+        assert spark_multiset(keep_left_join(dim, fact, ["k"], ["fk"], hot_rows=10)) == spark_multiset(want)
 
-def test_salted_join_spreads_a_hot_unit(spark):
-    """Salted path: the hot unit's rows land in many join tasks."""
-    from pyspark.sql import functions as F
 
-    from fleetlens.operators.joins import join_small_side
-    from fleetlens.operators.latest import latest_per_key
-    snap = spark.range(0, 400).select((F.col("id") % 200).alias("k"),
-                                      F.when(F.col("id") < 200, "2024-01-01").otherwise("2024-02-01").alias("extract_date"),
-                                      F.col("id").cast("string").alias("name"))
-    dim = latest_per_key(snap, ["k"], tiebreak=["name"]).select("k", "name")   # window-partitioned unit list
-    fact = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 150).alias("fk"),
-                                        F.col("id").cast("double").alias("v"))
+def test_hot_unit_is_spread_over_join_tasks(spark):
+    """A unit with a third of the facts over a large unit list, no broadcast of the units, no AQE split."""
     conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = join_small_side(fact, dim, ["fk"], ["k"], "inner", max_rows=0, salts=16)
+        units = spark.range(0, 50000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+        facts = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 150).alias("fk"),
+                                             F.lit(1.0).alias("v")).repartition(8)         # equal facts, too
+        out = keep_left_join(units, facts, ["k"], ["fk"], hot_rows=500)
         tasks = {r[0] for r in out.where(F.col("fk") == 7).select(F.spark_partition_id()).collect()}
-        assert len(tasks) >= 8                      # the 10 000 hot rows spread over many join tasks
-        assert out.count() == 30000
+        assert len(tasks) >= 6
+        assert out.where("fk is not null").count() == 30000
+        assert out.where("fk is null").count() == 50000 - facts.select("fk").distinct().count()
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_building_a_report_runs_no_job(spark):
+    """Only fuel, which writes its enriched rows, runs jobs before its frame is used."""
+    from fleetlens.plans import reports
+    from tests.fixture_rows import TABLES
+    from tests.helpers import make_sources
+    src = make_sources(spark, **TABLES)
+    sc = spark.sparkContext
+    sc.setJobGroup("report-build", "plan build")
+    try:
+        for build in (reports.fleet_list, lambda s: reports.utilization(s, "2024-02-01"), reports.hours):
+            build(src)
+        assert not sc.statusTracker().getJobIdsForGroup("report-build")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

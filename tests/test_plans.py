@@ -95,3 +95,63 @@ def test_both_lags_share_one_window(src):
     from fleetlens.operators.fuel import fuso_fuel_steps
     windows = [line for line in _plan(fuso_fuel_steps(src)).splitlines() if "Window [" in line and "lag(" in line]
     assert len(windows) == 1 and windows[0].count("lag(") == 2
+
+
+def test_activity_window_reaches_all_fact_scans(src):
+    """The 30-day window bounds the scan of each of the four fact tables."""
+    from fleetlens.operators.activity import active_days
+    src.jd_measurement.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = _plan(active_days(src, "2024-02-01"))
+    for column in ("_date", "intervalEndDate", "extract_date"):
+        assert f"GreaterThanOrEqual({column},2024-01-02)" in plan, column
+    assert plan.count(",2024-01-02)") >= 4
+    current = _plan(active_days(src))
+    assert current.count("GreaterThanOrEqual(") >= 4
+
+
+def test_fuel_before_its_write_has_no_pairs_and_no_sort_aggregate(src):
+    """The part of the fuel report that is written once; MAX runs over distinct values."""
+    from fleetlens.operators.enrich import attach_register, vehicle_master
+    from fleetlens.operators.fuel import fuel_daily
+    from fleetlens.operators.register import register_for
+    rows = attach_register(fuel_daily(src), register_for(src.lark_fleet_master, "fuel"))
+    plan = _plan(rows)
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "array_repeat"):
+        assert bad not in plan
+    master = _plan(vehicle_master(rows))
+    import re
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*manufacture[^\]]*\], functions=\[(partial_)?count", master), master
+
+
+def test_reports_are_ordered(src):
+    """Each report's rows come in its order, NULLs last."""
+    def asc(v):
+        return (v is None, v if v is not None else "")
+    for key, cols in {"fleet_list": ("data_source", "manufacture", "idNumber"), "hours": ("manufacture", "idNumber", "_date"),
+                      "fuel": ("manufacture", "idNumber", "_date")}.items():
+        rows = [tuple(asc(str(r[c]) if r[c] is not None else None) for c in cols) for r in source_queries()[key](src).collect()]
+        assert rows == sorted(rows), key
+    rows = [(asc(r["manufacture"]), -r["total_underutilized_unit"]) for r in source_queries()["utilization"](src).collect()]
+    assert rows == sorted(rows)
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    import pytest as _pytest
+
+    from fleetlens.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with _pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -8,6 +8,7 @@ Runs every report once into the noop sink, then writes its final plan
 
 from __future__ import annotations
 
+import re
 import sys
 from pathlib import Path
 
@@ -36,9 +37,8 @@ def main(argv: list[str]) -> None:
         df = build()
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        final = plan.split("+- == Initial Plan ==")[0]
-        (out / f"{key}.txt").write_text(final)
-        print(key, len(final.splitlines()), "lines")
+        (out / f"{key}.txt").write_text(re.sub(r"file:/[^\s,\]]*/", "", plan))
+        print(key, len(plan.splitlines()), "lines")
 
 
 if __name__ == "__main__":
