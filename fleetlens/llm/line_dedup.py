@@ -9,8 +9,13 @@ parity signature before their sets are verified exactly.
 A line goes if *any* earlier line (by doc_id, then text, then line number) is
 similar, removed or not; so the result does not depend on any order of work.
 Equal sets form a class, whose first line alone can stay.  Classes are joined,
-not lines: first each class is verified against the earliest class under each
-of its prefix words, then only those still standing meet the rest.
+not lines.  The rows that meet under a word carry size, position and signature,
+so all filters work where they meet, and only classes with a partner that
+passes them go on: first each is verified against its earliest such partner per
+word, then those still standing against all of theirs.  Their sets are built
+again from their lines; the sets of all lines are never written.  Words with
+more than ``BLOCK`` prefix rows are cut into blocks, every pair of blocks in a
+task of its own.
 """
 
 from __future__ import annotations
@@ -18,14 +23,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import bounded, chunk_words, chunks, others, packed_sets, read, signatures, token_bytes, tokens_from, written
-from fleetlens.llm.ngram_join import block_pairs, in_blocks, in_groups, verified
+from fleetlens.llm.common import TOKEN_BITS, TOKEN_BYTES, bounded, chunk_words, chunks, others, packed_sets, read, signatures, token_bytes, tokens_from, written
+from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pairs_in_groups, verified, whole_groups
 
 SKETCH = 1 << 18
 SIGNATURE_BITS = 128
@@ -42,13 +46,18 @@ def lines_of(texts: list[str | None]) -> Iterator[tuple[tuple[int, int], bytes]]
                 yield (row, number), line.encode("utf-8", "surrogatepass")
 
 
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    """Sketch bucket of 64-bit hashes (that of the token kept of them)."""
+    return ((hashes >> np.uint64(64 - TOKEN_BITS)) % np.uint64(SKETCH)).astype(np.int64)
+
+
 def sketch(docs: DataFrame) -> np.ndarray:
     """Word occurrences by hash bucket, over all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, dtype=np.int64)
         for batch in batches:
             for chunk in chunks(lines_of(batch.column(0).to_pylist())):
-                total += np.bincount((chunk_words([x for _, x in chunk])[0] % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                total += np.bincount(bucket(chunk_words([x for _, x in chunk])[0]), minlength=SKETCH)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "c"])
 
@@ -63,11 +72,11 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.log2(np.maximum(counts / max(np.median(counts), 1.0), 1.0)), 0, 15).astype(np.uint64)
 
 
-_LINES = "doc_id bigint, text_key bigint, line int, k bigint, n int, sig binary, tokens binary"
+_LINES = "doc_id bigint, text_key bigint, line int, k bigint, n int, s0 bigint, s1 bigint, prefix binary"
 
 
-def describe(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per line with MIN_WORDS words or more: its place, class key and size; words and signature once per class and task."""
+def describe(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """Per line with MIN_WORDS words or more: its place, class key, size and signature; its prefix once per class and task."""
     shared = docs.sparkSession.sparkContext.broadcast(levels(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,89 +86,174 @@ def describe(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             for chunk in chunks(lines_of(batch.column(2).to_pylist())):
                 rows, numbers = np.array([at for at, _ in chunk]).T
                 h, owner = chunk_words([x for _, x in chunk])
-                line, size, key, first, word = packed_sets(h, owner, shared.value[(h % np.uint64(SKETCH)).astype(np.int64)])
+                line, size, key, first, word = packed_sets(h, owner, shared.value[bucket(h)])
                 long = np.flatnonzero(size >= MIN_WORDS)
                 if not len(long):
                     continue
-                raw, sig = token_bytes(word), signatures(word, size, SIGNATURE_BITS)
-                sigs, tokens = [], []
+                raw, sig = token_bytes(word), signatures(word, size, SIGNATURE_BITS).view(np.int64)
+                length = size - (-(-percent * size // 100)) + 1
+                prefix = []
                 for i in long.tolist():
                     k = int(key[i])
-                    new = k not in seen
+                    prefix.append(None if k in seen else raw[first[i]:first[i] + length[i]].tobytes())
                     seen.add(k)
-                    sigs.append(sig[i].tobytes() if new else None)
-                    tokens.append(raw[first[i]:first[i] + size[i]].tobytes() if new else None)
                 at = pa.array(rows[line[long]])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), keys.take(at), pa.array(numbers[line[long]].astype(np.int32)), pa.array(key[long]),
-                     pa.array(size[long].astype(np.int32)), pa.array(sigs, pa.binary()), pa.array(tokens, pa.binary())],
-                    names=["doc_id", "text_key", "line", "k", "n", "sig", "tokens"])
+                     pa.array(size[long].astype(np.int32)), pa.array(sig[long, 0]), pa.array(sig[long, 1]), pa.array(prefix, pa.binary())],
+                    names=["doc_id", "text_key", "line", "k", "n", "s0", "s1", "prefix"])
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(run, _LINES)
 
 
-def prefixes(described: DataFrame, percent: int) -> DataFrame:
-    """(token, k, n, pos) of every class' prefix; a class may come once per task."""
+#: ``np``: size and position.
+_PREFIXES = "token bigint, k bigint, np bigint, s0 bigint, s1 bigint, hot boolean"
+_COLUMNS = ["token", "bi", "bj", "block", "k", "np", "s0", "s1"]
+_MET = "token bigint, bi int, bj int, block int, k bigint, np bigint, s0 bigint, s1 bigint"
+_LAST = (1 << 63) - 1
+
+
+def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
+    """The prefix rows of every class; a class may come once per task."""
+    shared = described.sparkSession.sparkContext.broadcast(counts > BLOCK)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            if not len(k):
+            if not batch.num_rows:
                 continue
-            word = tokens_from(b"".join(batch.column(2).to_pylist())).view(np.int64)
-            pos = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-            chosen = pos < np.repeat(n - (-(-percent * n // 100)) + 1, n)
+            k, n, s0, s1 = (batch.column(i).to_numpy() for i in range(4))
+            word = tokens_from(b"".join(batch.column(4).to_pylist())).view(np.int64)
+            length = np.diff(np.frombuffer(batch.column(4).buffers()[1], np.int32, batch.num_rows + 1, 4 * batch.column(4).offset)) // TOKEN_BYTES
+            pos = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word[chosen]), pa.array(np.repeat(k, n)[chosen]),
-                 pa.array(np.repeat(n, n)[chosen].astype(np.int32)), pa.array(pos[chosen].astype(np.int32))], names=["token", "k", "n", "pos"])
+                [pa.array(word), *[pa.array(x) for x in (np.repeat(k, length), np.repeat(n.astype(np.int64) << 32, length) | pos,
+                                                         np.repeat(s0, length), np.repeat(s1, length))],
+                 pa.array(shared.value[word % SKETCH])], names=["token", "k", "np", "s0", "s1", "hot"])
 
-    return described.where(F.col("tokens").isNotNull()).select("k", "n", "tokens").mapInArrow(run, "token bigint, k bigint, n int, pos int")
+    return described.where(F.col("prefix").isNotNull()).select("k", "n", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
 
 
-def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_key, line) of the lines that go; ``docs`` has doc_id, text_key and text."""
-    by_token = Window.partitionBy("token")
-    described = written(describe(docs, sketch(docs)), "line-sets")
-    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key", "line")
-    classes = written(described.groupBy("k").agg(F.min(place).alias("first"), F.count("*").alias("times")), "line-classes")
-
-    rows = prefixes(described, percent).repartition("token").distinct()
-    rows = rows.withColumn("group", F.count("*").over(by_token)).where("group > 1")
-    rows = written(rows.join(classes.select("k", "first"), "k"), "line-prefixes")
-    nodes = written(rows.select("k").distinct(), "line-nodes")
-    sets = written(described.where(F.col("tokens").isNotNull()).select("k", "n", "sig", "tokens").join(bounded(nodes), "k", "left_semi")
-                   .dropDuplicates(["k"]), "line-shared-sets")
-
-    earliest = F.min(F.struct("first", "k", "n")).over(by_token)
-    led = rows.withColumn("lead", earliest).where("k <> lead.k").where(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * percent) \
-        .select(F.col("k").alias("u"), F.col("lead.k").alias("v")).distinct()
-    gone = written(verified(led, sets, percent).select(F.col("u").alias("k")).distinct(), "lines-gone")
-
-    # Those still standing against every earlier class under a prefix word.
-    rest = rows.join(gone.withColumn("gone", F.lit(True)), "k", "left").withColumn("standing", F.col("gone").isNull())
-    rest = rest.withColumn("any", F.max("standing").over(by_token)).where("any") \
-        .withColumn("rank", F.rank().over(by_token.orderBy("first")))
-    rest = in_blocks(rest.join(sets.select("k", "sig"), "k")).select("token", "bi", "bj", "block", "k", "n", "pos", "rank", "standing", "sig")
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in in_groups(batches, ["token", "bi", "bj"]):
-            k, rank, standing = (group[c].to_numpy() for c in ("k", "rank", "standing"))
-            first = rank == 1                      # verified in the first round
-
-            def allowed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-                later = rank[x][:, None] > rank[y][None, :]
-                return np.where(later, standing[x][:, None] & ~first[y][None, :], standing[y][None, :] & ~first[x][:, None])
-
-            i, j = block_pairs(group, percent, allowed)
+def _within(text_key: str, line: str) -> Column:
+    """Order of lines with one doc_id: by text, then line number."""
+    return F.shiftleft(F.shiftright(F.col(text_key), 24), 24) + F.col(line)
+
+
+def compared(number: np.ndarray, table: pa.Table, percent: int, standing: bool = False) -> tuple:
+    """(rows, i, j): rows, one per class and group, and the pairs that pass the filters.
+
+    With ``standing`` only pairs whose class of the later place stands.
+    """
+    packed = table.column("np").to_numpy()
+    order = by_group_and_size(number, table, packed >> 32)
+    packed = packed[order]
+    rows = {"n": packed >> 32, "pos": packed & 0xFFFFFFFF, "block": table.column("block").to_numpy()[order],
+            "cut": (table.column("bi").to_numpy() != table.column("bj").to_numpy())[order]}
+    sig = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
+    if not standing:
+        return order, *pairs_in_groups(number[order], rows, sig, percent)
+    stands, place = np.asarray(table.column("standing").to_numpy(), bool)[order], places(table)[order]
+    return order, *pairs_in_groups(number[order], rows, sig, percent, lambda x, y: stands[np.where(place[x] > place[y], x, y)])
+
+
+def places(table: pa.Table) -> np.ndarray:
+    """Rank of each row's first line among the table's rows (classes have different places, but for equal ids and texts)."""
+    k, o0, o1 = (table.column(c).to_numpy() for c in ("k", "o0", "o1"))
+    rank = np.empty(len(k), np.int64)
+    rank[np.lexsort((k, o1, o0))] = np.arange(len(k))
+    return rank
+
+
+def partnered(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of classes that have a partner passing all filters under that word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent)
+            if len(i):
+                used = np.unique(np.concatenate((i, j)))
+                yield from table.take(pa.array(order[used])).select(_COLUMNS).combine_chunks().to_batches()
+
+    return in_blocks(rows).mapInArrow(run, _MET)
+
+
+def earliest_partners(placed: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each class with its earliest earlier partner under each word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent)
+            if not len(i):
+                continue
+            k, place = table.column("k").to_numpy()[order], places(table)[order]
+            swap = place[i] > place[j]
+            later, earlier = np.where(swap, i, j), np.where(swap, j, i)
+            best = np.lexsort((place[earlier], later))
+            best = best[np.diff(later[best], prepend=-1) != 0]
+            yield pa.RecordBatch.from_arrays([pa.array(k[later[best]]), pa.array(k[earlier[best]])], names=["u", "v"])
+
+    return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "u bigint, v bigint").distinct()
+
+
+def partners_of_standing(placed: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each class that still stands with all its earlier partners."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent, True)
             if len(i):
-                swap = rank[i] < rank[j]
-                yield pd.DataFrame({"u": np.where(swap, k[j], k[i]), "v": np.where(swap, k[i], k[j])})
+                k, place = table.column("k").to_numpy()[order], places(table)[order]
+                swap = place[i] > place[j]
+                yield pa.RecordBatch.from_arrays([pa.array(k[np.where(swap, i, j)]), pa.array(k[np.where(swap, j, i)])], names=["u", "v"])
 
-    met = rest.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(meet, "u bigint, v bigint").distinct()
-    gone = gone.unionByName(verified(met, sets, percent).select(F.col("u").alias("k"))).distinct()
+    return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "u bigint, v bigint").distinct()
 
-    marked = classes.join(gone.withColumn("gone", F.lit(True)), "k", "left").where("gone or times > 1").select("k", "first", "gone")
+
+def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(k, tokens) of the classes ``nodes``, from the line of one document each."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels(counts))
+    one = described.where(F.col("prefix").isNotNull()).join(bounded(nodes), "k", "left_semi") \
+        .groupBy("k").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("at")).select("at.*")
+    wanted = one.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_list("line").alias("want"))
+    wanted = bounded(written(wanted, "line-wanted"))
+    joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__id"]) & (docs["text_key"] == wanted["__key"])).select("text", "want")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def lines() -> Iterator[tuple[int, bytes]]:
+                for text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    split = text.split("\n")
+                    for number in want:
+                        yield number, split[number].encode("utf-8", "surrogatepass")
+
+            for chunk in chunks(lines()):
+                h, owner = chunk_words([x for _, x in chunk])
+                _, size, key, first, word = packed_sets(h, owner, shared.value[bucket(h)])
+                raw = token_bytes(word)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([raw[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary())],
+                                                 names=["k", "tokens"])
+
+    return joined.mapInArrow(run, "k bigint, tokens binary").dropDuplicates(["k"])
+
+
+def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, text_key, line) of the lines that go; ``docs`` has doc_id, text_key and text."""
+    counts = sketch(docs)
+    described = written(describe(docs, counts, percent), "line-sets")
+    met = written(partnered(prefixes(described, counts), percent), "line-partners")
+    nodes = written(met.select("k").distinct(), "line-nodes")
+    sets = written(sets_of(docs, described, nodes, counts), "line-shared-sets")
+
+    place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("o0"), _within("text_key", "line").alias("o1"))
+    classes = written(described.groupBy("k").agg(F.min(place).alias("first"), F.count("*").alias("times"))
+                      .select("k", "first.*", "times"), "line-classes")
+    placed = written(met.join(classes.select("k", "o0", "o1"), "k"), "line-placed")
+    gone = written(verified(earliest_partners(placed.repartition(*GROUP), percent), sets, percent).select(F.col("u").alias("k")).distinct(), "lines-gone")
+
+    # Groups with classes that still stand, against all their partners.
+    rest = placed.join(gone.withColumn("gone", F.lit(True)), "k", "left").withColumn("standing", F.col("gone").isNull()).drop("gone")
+    rest = rest.withColumn("any", F.max("standing").over(Window.partitionBy(*GROUP))).where("any").drop("any")
+    gone = gone.unionByName(verified(partners_of_standing(rest, percent), sets, percent).select(F.col("u").alias("k"))).distinct()
+
+    marked = classes.join(gone.withColumn("gone", F.lit(True)), "k", "left").where("gone or times > 1")
     lines = described.select("doc_id", "text_key", "line", "k").join(marked, "k")
-    is_first = F.col("first").eqNullSafe(place)
+    is_first = (F.col("o0") == place["o0"]) & (F.col("o1") == place["o1"])
     return lines.where(F.col("gone").isNotNull() | ~is_first).select("doc_id", "text_key", "line").distinct()
 
 

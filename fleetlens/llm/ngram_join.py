@@ -13,213 +13,226 @@ prefix tokens are shared widely take longer prefixes.
 Only links between *different* sets matter for components:
 
 * equal sets fall together by a 64-bit key of the set;
-* *leader rounds*: under every prefix token, each document is verified
-  against one leader only (another one each round), and what links is
-  contracted.  A group of thousands of near copies costs thousands of
+* rows that meet under a prefix token carry size, position and a parity
+  signature (the bits in which two signatures differ never outnumber the tokens
+  in which the sets do), so what cannot be similar goes no further;
+* *first*, each document is verified against one partner per token, and what
+  links is contracted: a group of thousands of near copies costs thousands of
   verifications, not all its pairs;
-* the *last round* meets documents of different components under each prefix
-  token.  Token groups are cut into blocks of ``BLOCK`` rows, block pairs are
-  compared inside tasks in chunks, by sizes, positions and a parity signature
-  (``popcount(sig_a ^ sig_b)`` never exceeds the symmetric difference, so the
-  filter loses nothing); the survivors that met often enough are verified
-  exactly on the sets.
+* *then* documents of different components that met under l prefix tokens are
+  verified, exactly, on the sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fleetlens.llm.common import bounded, keep, mix, read, shingle_hashes, word_hashes, written
+from fleetlens.llm.common import (TOKEN_BITS, bounded, chunk_words, chunks, keep, mix, packed_sets, read, shingle_hashes, signatures,
+                                   token_bytes, written)
 from fleetlens.llm.components import components
+from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pairs_in_groups, plausible, verified, whole_groups
 
 SKETCH = 1 << 18
 MAX_MATCHES = 4
 VERIFY_COST = 4.0
-LEADER_ROUNDS = 2
-BLOCK = 4096
+#: Words of the signature kept with the set, and of the shorter one in prefix rows.
 SIGNATURE_WORDS = 8
-#: Bytes kept of each shingle hash in a written set.
-HASH_BYTES = 6
+ROW_SIGNATURE_WORDS = 2
 #: Node lists up to this many (32 MB) are broadcast to filter the sets; longer ones are joined by shuffle.
 MAX_BROADCAST_NODES = 4_000_000
 
 
-def shingle_set(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text (empty without words)."""
-    if not text:
-        return np.empty(0, np.uint64)
-    return np.unique(shingle_hashes(word_hashes(text.encode("utf-8", "surrogatepass"))[0], n) >> np.uint64(64 - 8 * HASH_BYTES))
+def shingle_chunk(texts: list[tuple[int, bytes]], n: int) -> tuple[np.ndarray, ...]:
+    """(hash, text number, first word, last word) of the shingles of some texts, and the word hashes."""
+    words, owner = chunk_words([x for _, x in texts])
+    if not len(words):
+        return words, owner, owner, owner, words
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    counts = np.diff(np.append(starts, len(owner)))
+    first = np.arange(max(len(words) - n + 1, 0))
+    first = first[owner[first] == owner[first + n - 1]]
+    hashes = np.zeros(len(first), np.uint64)
+    for i in range(n):
+        hashes = mix(hashes ^ words[first + i])
+    short = np.flatnonzero(counts < n)             # texts of fewer words are one shingle
+    if len(short):
+        more = np.concatenate([shingle_hashes(words[starts[i]:starts[i] + counts[i]], n) for i in short])
+        hashes, first = np.concatenate((hashes, more)), np.concatenate((first, starts[short]))
+    last = np.minimum(first + n - 1, (starts + counts - 1)[np.searchsorted(starts, first, side="right") - 1])
+    return hashes, owner[first], first, last, words
+
+
+def texts_of(texts: list[str | None]) -> Iterator[tuple[int, bytes]]:
+    for row, text in enumerate(texts):
+        if text:
+            yield row, text.encode("utf-8", "surrogatepass")
+
+
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    """Sketch bucket of 64-bit hashes (that of the token kept of them)."""
+    return ((hashes >> np.uint64(64 - TOKEN_BITS)) % np.uint64(SKETCH)).astype(np.int64)
 
 
 def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many documents hold a shingle of each of ``SKETCH`` hash buckets."""
+    """Occurrences of words (first SKETCH numbers) and shingles (next SKETCH) by hash bucket, over all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, dtype=np.int64)
+        total = np.zeros(2 * SKETCH, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(total, (shingle_set(text, n) % np.uint64(SKETCH)).astype(np.int64), 1)
+            for chunk in chunks(texts_of(batch.column(0).to_pylist())):
+                hashes, _, _, _, words = shingle_chunk(chunk, n)
+                total[:SKETCH] += np.bincount(bucket(words), minlength=SKETCH)
+                total[SKETCH:] += np.bincount(bucket(hashes), minlength=SKETCH)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "c"])
 
     table = docs.select(F.col("text").cast("string")).mapInArrow(count, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
-    out = np.zeros(SKETCH, dtype=np.int64)                    # at most SKETCH rows
+    out = np.zeros(2 * SKETCH, dtype=np.int64)                # at most 2 * SKETCH rows
     out[table["b"].to_numpy()] = table["c"].to_numpy()
     return out
 
 
-def required(a, b, percent: int):
-    """Smallest intersection of sets of ``a`` and ``b`` elements with Jaccard >= percent / 100."""
-    return -(-percent * (a + b) // (100 + percent))
+class Rarity:
+    """The common order of shingles: by frequency as far as the sketch shows it, else by that of their words.
 
+    A shingle that occurs no more often than its bucket's noise is placed by
+    the frequency it would have if its words were independent.
+    """
 
-def prefix_of(tokens: np.ndarray, counts: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
-    """(matches required, prefix tokens rarest first) of one set."""
-    size = len(tokens)
-    seen = counts[(tokens % np.uint64(SKETCH)).astype(np.int64)]
-    mean = counts.mean()
-    noise = mean + 3 * np.sqrt(mean)
-    level = np.floor(4 * np.log2(np.maximum(seen / max(noise, 1.0), 1.0))).astype(np.int64)
-    order = np.argsort(level, kind="stable")
-    least = -(-percent * size // 100)
-    excess = np.cumsum(np.maximum(seen[order] - noise, 0.0))
-    best = min((size - least + m + VERIFY_COST * excess[size - least + m - 1] / m, m) for m in range(1, min(MAX_MATCHES, least) + 1))
-    return best[1], tokens[order[:size - least + best[1]]]
+    def __init__(self, counts: np.ndarray):
+        words, self.seen = counts[:SKETCH], counts[SKETCH:]
+        self.total = max(int(words.sum()), 2)
+        # In whole 1/1024ths, so that sums do not depend on where in a chunk a shingle stands.
+        self.log_words = np.round(1024 * np.log2(self.total / np.maximum(words, 1))).astype(np.int64)
+        mean = self.seen.mean()
+        self.noise = mean + 3 * np.sqrt(mean)
 
+    def measure(self, hashes: np.ndarray, first: np.ndarray, last: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Level, 0 (rarest) to 15, of each shingle."""
+        sums = np.concatenate(([0], np.cumsum(self.log_words[bucket(words)])))
+        expected = np.log2(self.total) - (sums[last + 1] - sums[first]) / 1024
+        hot = np.log2(np.maximum(self.seen[bucket(hashes)] / max(self.noise, 1.0), 1.0))
+        return np.clip(np.maximum((expected + 24) // 2.5, np.where(hot > 1, 8 + hot, 0)), 0, 15).astype(np.uint64)
 
-def set_key(tokens: np.ndarray) -> int:
-    """64-bit key of a set (its order does not matter)."""
-    parts = np.array([np.bitwise_xor.reduce(mix(tokens)), np.add.reduce(tokens), len(tokens)], np.uint64)
-    return int(mix(np.add.reduce(mix(parts), keepdims=True)).view(np.int64)[0])
 
+_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, s0 bigint, s1 bigint, sig binary, tokens binary"
 
-_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, sig binary, tokens binary"
+
+def choose_matches(size: np.ndarray, first: np.ndarray, excess: np.ndarray, percent: int) -> np.ndarray:
+    """Prefix tokens to be shared, for each set: the number with the least estimated cost."""
+    least = -(-percent * size // 100)
+    sums = np.concatenate(([0.0], np.cumsum(excess)))
+    best, cost = np.ones(len(size), np.int64), np.full(len(size), np.inf)
+    for m in range(1, MAX_MATCHES + 1):
+        length = size - least + m
+        new = np.where(m <= least, length + VERIFY_COST * (sums[first + np.minimum(length, size)] - sums[first]) / m, np.inf)
+        best, cost = np.where(new < cost, m, best), np.minimum(cost, new)
+    return best
 
 
 def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
     """Per row: set key ``k`` (null for empty sets) and size; prefix, signature and tokens once per key and task."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
+    names = ["doc_id", "text_key", "k", "n", "matches", "prefix", "s0", "s1", "sig", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        table = shared.value
+        rarity = Rarity(shared.value)
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text_key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                tokens = shingle_set(text, n)
-                if not len(tokens):
-                    rows.append((doc_id, text_key, None, 0, None, None, None, None))
-                    continue
-                key = set_key(tokens)
-                if key in seen:
-                    rows.append((doc_id, text_key, key, len(tokens), None, None, None, None))
+            texts, with_words = batch.column(2).to_pylist(), np.zeros(batch.num_rows, bool)
+            for chunk in chunks(texts_of(texts)):
+                rows = np.array([row for row, _ in chunk])
+                hashes, owner, begin, end, words = shingle_chunk(chunk, n)
+                owner, size, key, first, token = packed_sets(hashes, owner, rarity.measure(hashes, begin, end, words))
+                if not len(size):
                     continue
-                seen.add(key)
-                matches, prefix = prefix_of(tokens, table, percent)
-                bits = np.bincount((mix(tokens) % np.uint64(64 * SIGNATURE_WORDS)).astype(np.int64), minlength=64 * SIGNATURE_WORDS) & 1
-                raw = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()
-                rows.append((doc_id, text_key, key, len(tokens), matches, prefix.view(np.int64), np.packbits(bits.astype(np.uint8)).tobytes(), raw))
-            if rows:
-                c = list(zip(*rows))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, types)],
-                                                 names=["doc_id", "text_key", "k", "n", "matches", "prefix", "sig", "tokens"])
+                with_words[rows[owner]] = True
+                excess = np.maximum(rarity.seen[(token % np.uint64(SKETCH)).astype(np.int64)] - rarity.noise, 0.0)
+                matches = choose_matches(size, first, excess, percent)
+                raw, sig = token_bytes(token), signatures(token, size, 64 * SIGNATURE_WORDS)
+                short = signatures(token, size, 64 * ROW_SIGNATURE_WORDS).view(np.int64)
+                prefix, sigs, sets = [], [], []
+                for i, k in enumerate(key.tolist()):
+                    a, b = first[i], first[i] + size[i]
+                    new = k not in seen
+                    seen.add(k)
+                    prefix.append(token[a:b - (-(-percent * size[i] // 100)) + matches[i]].view(np.int64) if new else None)
+                    sigs.append(sig[i].tobytes() if new else None)
+                    sets.append(raw[a:b].tobytes() if new else None)
+                at = pa.array(rows[owner])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(key), pa.array(size.astype(np.int32)), pa.array(matches.astype(np.int32)),
+                     pa.array(prefix, pa.list_(pa.int64())), pa.array(short[:, 0]), pa.array(short[:, 1]), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=names)
+            none = pa.array(np.flatnonzero(~with_words))
+            if len(none):
+                nulls = [pa.nulls(len(none), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(none), batch.column(1).take(none), pa.nulls(len(none), pa.int64()),
+                                                  pa.array(np.zeros(len(none), np.int32)), *nulls], names=names)
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text), text).mapInArrow(run, _DESCRIBED)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) of ``pairs`` whose sets are similar enough, by exact intersection."""
-    left = sets.select(F.col("k").alias("u"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("k").alias("v"), F.col("tokens").alias("y"))
-    both = pairs.select("u", "v").join(left, "u").join(right, "v")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            us, vs, xs, ys = (batch.column(i) for i in range(4))
-            ok = []
-            for x, y in zip(xs, ys):
-                x, y = _tokens(x.as_buffer()), _tokens(y.as_buffer())
-                same = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-                ok.append(100 * same >= percent * (len(x) + len(y) - same))
-            mask = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([us.filter(mask), vs.filter(mask)], names=["u", "v"])
-
-    return both.select("u", "v", "x", "y").mapInArrow(run, "u bigint, v bigint")
-
-
-def _tokens(raw) -> np.ndarray:
-    wide = np.zeros((len(raw) // HASH_BYTES, 8), np.uint8)
-    wide[:, :HASH_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, HASH_BYTES)
-    return wide.view("<u8").ravel()
+#: ``np``: size, position in the prefix and matches required, packed.
+_PREFIXES = "token bigint, k bigint, np bigint, s0 bigint, s1 bigint, hot boolean"
+_MET = "token bigint, bi int, bj int, block int, k bigint, np bigint, s0 bigint, s1 bigint, v bigint"
 
 
-def block_pairs(rows: pd.DataFrame, percent: int, allowed: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of one token group (or block pair): indexes of rows whose sizes, positions and signatures agree.
+def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
+    """The prefix rows of every set; a set may come once per task."""
+    shared = described.sparkSession.sparkContext.broadcast(counts[SKETCH:] > BLOCK)
 
-    ``rows``: bi, bj, block, n, pos, sig.  ``allowed(i, j)`` says which of the
-    rows ``i`` may pair with which of the rows ``j`` (a matrix).
-    """
-    n, pos, block = (rows[c].to_numpy() for c in ("n", "pos", "block"))
-    sig = np.frombuffer(b"".join(rows["sig"]), np.uint64).reshape(len(rows), -1)
-    across = rows["bi"].iloc[0] != rows["bj"].iloc[0]
-    order = np.argsort(n, kind="stable")
-    limit = np.searchsorted(n[order], -(-n[order].astype(np.int64) * percent // 100), side="left")
-    left, right = [], []
-    for at in range(0, len(order), 64):
-        chunk = order[at:at + 64]
-        others = order[limit[at]:at + len(chunk)]
-        for lo in range(0, len(others), 8192):
-            part = others[lo:lo + 8192]
-            a, b = n[chunk][:, None].astype(np.int64), n[part][None, :].astype(np.int64)
-            need = required(a, b, percent)
-            p, q = pos[chunk][:, None], pos[part][None, :]
-            ok = allowed(chunk, part) & (np.minimum(p, q) + np.minimum(a - p, b - q) >= need)
-            # A pair whose both rows lie in this chunk is met once.
-            ok &= np.arange(at, at + len(chunk))[:, None] > np.arange(limit[at] + lo, limit[at] + lo + len(part))[None, :]
-            if across:
-                ok &= block[chunk][:, None] != block[part][None, :]
-            i, j = np.nonzero(ok)
-            if len(i):
-                differ = np.bitwise_count(sig[chunk[i]] ^ sig[part[j]]).sum(axis=1, dtype=np.int64)
-                good = differ <= (a + b - 2 * need)[i, j]
-                left.append(chunk[i[good]])
-                right.append(part[j[good]])
-    none = np.empty(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
-
-
-def in_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The groups of sorted batches, whole, one after the other."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        tail = (batch[keys] == batch[keys].iloc[-1]).all(axis=1)
-        if held and not (held[-1][keys].iloc[-1] == batch[keys].iloc[0]).all():
-            yield from (g for _, g in pd.concat(held, ignore_index=True).groupby(keys, sort=False))
-            held = []
-        if not tail.all():
-            yield from (g for _, g in pd.concat([*held, batch[~tail]], ignore_index=True).groupby(keys, sort=False))
-            held = []
-        held.append(batch[tail])
-    if held:
-        yield from (g for _, g in pd.concat(held, ignore_index=True).groupby(keys, sort=False))
-
-
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (token, group = its size, k) with block, bi, bj: every pair of blocks of a token group meets once."""
-    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
-    return rows.withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
-        .withColumn("bi", F.least("block", "other")).withColumn("bj", F.greatest("block", "other")).drop("other", "group")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, n, m, s0, s1 = (batch.column(i).to_numpy() for i in range(5))
+            lists = batch.column(5)
+            length = np.diff(lists.offsets.to_numpy())
+            token = lists.flatten().to_numpy()
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length)
+            packed = np.repeat(n.astype(np.int64) << 32 | m, length) | pos << 8
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(k, length)), pa.array(packed), pa.array(np.repeat(s0, length)),
+                                              pa.array(np.repeat(s1, length)), pa.array(shared.value[token % SKETCH])],
+                                             names=["token", "k", "np", "s0", "s1", "hot"])
+
+    return described.where(F.col("prefix").isNotNull()).select("k", "n", "matches", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
+
+
+def compared(number: np.ndarray, table: pa.Table, percent: int, component: np.ndarray | None = None) -> tuple:
+    """(rows, i, j): the rows, one per set and group, and the pairs i < j (of different components) that pass the filters."""
+    k, packed = (table.column(x).to_numpy() for x in ("k", "np"))
+    order = by_group_and_size(number, table, packed >> 32)
+    packed = packed[order]
+    rows = {"n": packed >> 32, "pos": packed >> 8 & 0xFFFFFF, "block": table.column("block").to_numpy()[order],
+            "cut": (table.column("bi").to_numpy() != table.column("bj").to_numpy())[order]}
+    sig = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
+    c = None if component is None else component[order]
+    i, j = pairs_in_groups(number[order], rows, sig, percent, None if c is None else lambda x, y: c[x] != c[y])
+    return order, i, j
+
+
+def joined_under_tokens(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of sets that have a partner passing all filters; ``v`` is one of them (null for the first of a group)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent)
+            if not len(i):
+                continue
+            best = np.full(len(order), len(order), np.int64)
+            np.minimum.at(best, j, i)
+            used = np.unique(np.concatenate((i, j)))
+            k = table.column("k").to_numpy()[order]
+            none = best[used] == len(order)
+            v = pa.array(k[np.where(none, 0, best[used])], mask=none)
+            out = table.take(pa.array(order[used])).select(["token", "bi", "bj", "block", "k", "np", "s0", "s1"]).append_column("v", v)
+            yield from out.combine_chunks().to_batches()
+
+    return in_blocks(rows).mapInArrow(run, _MET)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -233,44 +246,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    described = written(describe(docs, sketch(docs, n), n, percent), "ngram-sets")
-    rows = described.where(F.col("prefix").isNotNull()).select("k", "n", "matches", F.posexplode("prefix").alias("pos", "token"))
-    rows = rows.repartition("token").distinct()
-    rows = rows.withColumn("group", F.count("*").over(_by_token())).where("group > 1")
-    rows = written(rows, "ngram-prefixes")
-    nodes = written(rows.select("k").distinct(), "ngram-nodes")
+    counts = sketch(docs, n)
+    described = written(describe(docs, counts, n, percent), "ngram-sets")
+    met = written(joined_under_tokens(prefixes(described, counts), percent), "ngram-partners")
+    nodes = written(met.select("k").distinct(), "ngram-nodes")
     sets = written(described.where(F.col("tokens").isNotNull()).select("k", "n", "sig", "tokens").join(bounded(nodes, MAX_BROADCAST_NODES), "k", "left_semi")
                    .dropDuplicates(["k"]), "ngram-shared-sets")
+    first = met.where(F.col("v").isNotNull()).select(F.greatest("k", "v").alias("u"), F.least("k", "v").alias("v")).distinct()
+    links = written(verified(plausible(first, sets, percent), sets, percent), "ngram-links")
+    roots = written(components(links), "ngram-roots")
 
-    roots = None
-    links = None
-    for turn in range(LEADER_ROUNDS):
-        labelled = _labelled(rows, roots)
-        lead = F.min(F.struct(F.xxhash64("k", F.lit(turn)).alias("h"), "k", "c", F.col("n").alias("m"))).over(_by_token())
-        pairs = labelled.withColumn("lead", lead).where("c <> lead.c") \
-            .where(F.least("n", "lead.m") * 100 >= F.greatest("n", "lead.m") * percent) \
-            .select(F.greatest("k", "lead.k").alias("u"), F.least("k", "lead.k").alias("v")).distinct()
-        new = verified(pairs, sets, percent)
-        links = written(new if links is None else new.unionByName(links), "ngram-links")
-        roots = written(components(links), "ngram-roots")
-
-    labelled = _labelled(rows, roots)
-    mixed = labelled.withColumn("low", F.min("c").over(_by_token())).withColumn("high", F.max("c").over(_by_token())).where("low <> high")
-    mixed = in_blocks(mixed.join(sets.select("k", "sig"), "k")).select("token", "bi", "bj", "block", "k", "n", "pos", "c", "sig")
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in in_groups(batches, ["token", "bi", "bj"]):
-            c, k = group["c"].to_numpy(), group["k"].to_numpy()
-            i, j = block_pairs(group, percent, lambda x, y: c[x][:, None] != c[y][None, :])
+    by_group = Window.partitionBy(*GROUP)
+    mixed = met.drop("v").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("root", "k")).drop("root") \
+        .withColumn("low", F.min("c").over(by_group)).withColumn("high", F.max("c").over(by_group)).where("low <> high").drop("low", "high")
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent, table.column("c").to_numpy())
             if len(i):
-                yield pd.DataFrame({"u": np.maximum(k[i], k[j]), "v": np.minimum(k[i], k[j])})
-
-    met = mixed.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(meet, "u bigint, v bigint")
-    often = met.groupBy("u", "v").agg(F.count("*").alias("times"))
-    least = rows.select("k", "matches").distinct()
-    pairs = often.join(least.withColumnRenamed("k", "u").withColumnRenamed("matches", "mu"), "u") \
-        .join(least.withColumnRenamed("k", "v").withColumnRenamed("matches", "mv"), "v").where("times >= least(mu, mv)")
-    links = written(verified(pairs, sets, percent).unionByName(links), "ngram-links")
+                k, m = (table.column(x).to_numpy()[order] for x in ("k", "np"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(k[i], k[j])), pa.array(np.minimum(k[i], k[j])),
+                                                  pa.array((np.minimum(m[i] & 0xFF, m[j] & 0xFF)).astype(np.int32))], names=["u", "v", "least"])
+
+    often = mixed.sortWithinPartitions(*GROUP).mapInArrow(across, "u bigint, v bigint, least int") \
+        .groupBy("u", "v").agg(F.count("*").alias("times"), F.min("least").alias("least")).where("times >= least")
+    links = written(verified(plausible(often, sets, percent), sets, percent).unionByName(links), "ngram-links")
     roots = components(links)
 
     ids = described.groupBy("k").agg(F.min("doc_id").alias("low"), F.max("n").alias("n_")).where(F.col("k").isNotNull())
@@ -284,16 +284,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .select("doc_id", "text_key", "n_shingles", "set_key", "component", "component_id")
 
 
-def _by_token() -> WindowSpec:
-    return Window.partitionBy("token")
-
-
-def _labelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return rows.withColumn("c", F.col("k"))
-    return rows.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("root", "k")).drop("root")
-
-
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component (the smallest doc_id; null ids come last) and every row with an empty set."""
     keyed = written(jaccard_components(docs, n, percent), "ngram-groups")
