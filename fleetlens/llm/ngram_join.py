@@ -4,11 +4,11 @@ A document is the set of its distinct word shingles (hashes).  Two sets with
 Jaccard similarity t or more share l tokens among their first
 ``size - ceil(t * size) + l`` tokens in any common order, for every l.  Tokens
 are ordered rarest first, by a count sketch over all documents.  Each
-document picks its own l in 1..MAX_MATCHES: the prefix grows by one token per
+document picks its own l: the prefix grows by one token per
 step, and a pair has to be met under l prefix tokens (the smaller l of the
 two) before it is verified.  The choice minimises
-``prefix length + VERIFY_COST * estimated candidates / l``, so documents whose
-prefix tokens are shared widely take longer prefixes.
+``prefix length + estimated candidates / l * cost of verifying one``, so long
+documents and those whose prefix tokens are shared widely take longer prefixes.
 
 Only links between *different* sets matter for components:
 
@@ -16,8 +16,8 @@ Only links between *different* sets matter for components:
 * rows that meet under a prefix token carry size, position and a parity
   signature (the bits in which two signatures differ never outnumber the tokens
   in which the sets do), so what cannot be similar goes no further;
-* *first*, each document is verified against one partner per token, and what
-  links is contracted: a group of thousands of near copies costs thousands of
+* *first*, each document is verified against the partner it met most often, and
+  what links is contracted: a group of thousands of near copies costs thousands of
   verifications, not all its pairs;
 * *then* documents of different components that met under l prefix tokens are
   verified, exactly, on the sets.
@@ -38,8 +38,12 @@ from fleetlens.llm.components import components
 from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pairs_in_groups, plausible, verified, whole_groups
 
 SKETCH = 1 << 18
-MAX_MATCHES = 4
-VERIFY_COST = 4.0
+#: Matches that may be required, besides a 128th, 64th and 32nd of a set's size.
+MATCHES = (1, 2, 3, 4, 8)
+#: Tokens verified at the cost of one prefix token.
+VERIFY_TOKENS = 50
+#: Documents that a rare token is expected to meet by chance.
+CHANCE = 0.5
 #: Words of the signature kept with the set, and of the shorter one in prefix rows.
 SIGNATURE_WORDS = 8
 ROW_SIGNATURE_WORDS = 2
@@ -119,25 +123,32 @@ class Rarity:
         return np.clip(np.maximum((expected + 24) // 2.5, np.where(hot > 1, 8 + hot, 0)), 0, 15).astype(np.uint64)
 
 
-_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, s0 bigint, s1 bigint, sig binary, tokens binary"
+_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, s0 bigint, s1 bigint"
 
 
 def choose_matches(size: np.ndarray, first: np.ndarray, excess: np.ndarray, percent: int) -> np.ndarray:
-    """Prefix tokens to be shared, for each set: the number with the least estimated cost."""
+    """Prefix tokens to be shared, for each set: the number with the least estimated cost.
+
+    The cost is the prefix' length, and the estimated candidates (documents met
+    under the prefix tokens, over the matches required) times that of a
+    verification, which grows with the set.
+    """
     least = -(-percent * size // 100)
     sums = np.concatenate(([0.0], np.cumsum(excess)))
     best, cost = np.ones(len(size), np.int64), np.full(len(size), np.inf)
-    for m in range(1, MAX_MATCHES + 1):
+    for m in [np.full(len(size), x) for x in MATCHES] + [size // x for x in (128, 64, 32)]:
+        m = np.maximum(m, 1)
         length = size - least + m
-        new = np.where(m <= least, length + VERIFY_COST * (sums[first + np.minimum(length, size)] - sums[first]) / m, np.inf)
+        met = sums[first + np.minimum(length, size)] - sums[first]
+        new = np.where(m <= least, length + size / VERIFY_TOKENS * met / m, np.inf)
         best, cost = np.where(new < cost, m, best), np.minimum(cost, new)
     return best
 
 
 def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Per row: set key ``k`` (null for empty sets) and size; prefix, signature and tokens once per key and task."""
+    """Per row: set key ``k`` (null for empty sets) and size; signature; prefix once per key and task."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    names = ["doc_id", "text_key", "k", "n", "matches", "prefix", "s0", "s1", "sig", "tokens"]
+    names = ["doc_id", "text_key", "k", "n", "matches", "prefix", "s0", "s1"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -151,25 +162,22 @@ def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
                 if not len(size):
                     continue
                 with_words[rows[owner]] = True
-                excess = np.maximum(rarity.seen[(token % np.uint64(SKETCH)).astype(np.int64)] - rarity.noise, 0.0)
+                excess = np.maximum(rarity.seen[(token % np.uint64(SKETCH)).astype(np.int64)] - rarity.noise, 0.0) + CHANCE
                 matches = choose_matches(size, first, excess, percent)
-                raw, sig = token_bytes(token), signatures(token, size, 64 * SIGNATURE_WORDS)
                 short = signatures(token, size, 64 * ROW_SIGNATURE_WORDS).view(np.int64)
-                prefix, sigs, sets = [], [], []
+                prefix = []
                 for i, k in enumerate(key.tolist()):
                     a, b = first[i], first[i] + size[i]
                     new = k not in seen
                     seen.add(k)
                     prefix.append(token[a:b - (-(-percent * size[i] // 100)) + matches[i]].view(np.int64) if new else None)
-                    sigs.append(sig[i].tobytes() if new else None)
-                    sets.append(raw[a:b].tobytes() if new else None)
                 at = pa.array(rows[owner])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(key), pa.array(size.astype(np.int32)), pa.array(matches.astype(np.int32)),
-                     pa.array(prefix, pa.list_(pa.int64())), pa.array(short[:, 0]), pa.array(short[:, 1]), pa.array(sigs, pa.binary()), pa.array(sets, pa.binary())], names=names)
+                     pa.array(prefix, pa.list_(pa.int64())), pa.array(short[:, 0]), pa.array(short[:, 1])], names=names)
             none = pa.array(np.flatnonzero(~with_words))
             if len(none):
-                nulls = [pa.nulls(len(none), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+                nulls = [pa.nulls(len(none), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(none), batch.column(1).take(none), pa.nulls(len(none), pa.int64()),
                                                   pa.array(np.zeros(len(none), np.int32)), *nulls], names=names)
 
@@ -177,7 +185,7 @@ def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
     return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text), text).mapInArrow(run, _DESCRIBED)
 
 
-#: ``np``: size, position in the prefix and matches required, packed.
+#: ``np``: size and position in the prefix.
 _PREFIXES = "token bigint, k bigint, np bigint, s0 bigint, s1 bigint, hot boolean"
 _MET = "token bigint, bi int, bj int, block int, k bigint, np bigint, s0 bigint, s1 bigint, v bigint"
 
@@ -190,17 +198,17 @@ def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, n, m, s0, s1 = (batch.column(i).to_numpy() for i in range(5))
-            lists = batch.column(5)
+            k, n, s0, s1 = (batch.column(i).to_numpy() for i in range(4))
+            lists = batch.column(4)
             length = np.diff(lists.offsets.to_numpy())
             token = lists.flatten().to_numpy()
             pos = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length)
-            packed = np.repeat(n.astype(np.int64) << 32 | m, length) | pos << 8
+            packed = np.repeat(n.astype(np.int64) << 32, length) | pos
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(k, length)), pa.array(packed), pa.array(np.repeat(s0, length)),
                                               pa.array(np.repeat(s1, length)), pa.array(shared.value[token % SKETCH])],
                                              names=["token", "k", "np", "s0", "s1", "hot"])
 
-    return described.where(F.col("prefix").isNotNull()).select("k", "n", "matches", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
+    return described.where(F.col("prefix").isNotNull()).select("k", "n", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
 
 
 def compared(number: np.ndarray, table: pa.Table, percent: int, component: np.ndarray | None = None) -> tuple:
@@ -208,7 +216,7 @@ def compared(number: np.ndarray, table: pa.Table, percent: int, component: np.nd
     k, packed = (table.column(x).to_numpy() for x in ("k", "np"))
     order = by_group_and_size(number, table, packed >> 32)
     packed = packed[order]
-    rows = {"n": packed >> 32, "pos": packed >> 8 & 0xFFFFFF, "block": table.column("block").to_numpy()[order],
+    rows = {"n": packed >> 32, "pos": packed & 0xFFFFFFFF, "block": table.column("block").to_numpy()[order],
             "cut": (table.column("bi").to_numpy() != table.column("bj").to_numpy())[order]}
     sig = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
     c = None if component is None else component[order]
@@ -235,6 +243,33 @@ def joined_under_tokens(rows: DataFrame, percent: int) -> DataFrame:
     return in_blocks(rows).mapInArrow(run, _MET)
 
 
+def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.ndarray, n: int) -> DataFrame:
+    """(k, n, sig, tokens) of the sets ``nodes``, from the text of one document each."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    one = described.where(F.col("prefix").isNotNull()).join(bounded(nodes, MAX_BROADCAST_NODES), "k", "left_semi") \
+        .groupBy("k").agg(F.min(F.struct("doc_id", "text_key")).alias("at"))
+    wanted = bounded(written(one.select(F.col("at.doc_id").alias("__id"), F.col("at.text_key").alias("__key")).distinct(), "ngram-wanted"))
+    text = F.col("text").cast("string")
+    joined = docs.select(F.col("doc_id").cast("bigint"), text.alias("text")) \
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_semi").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity = Rarity(shared.value)
+        seen: set[int] = set()
+        for batch in batches:
+            for chunk in chunks(texts_of(batch.column(0).to_pylist())):
+                hashes, owner, begin, end, words = shingle_chunk(chunk, n)
+                _, size, key, first, token = packed_sets(hashes, owner, rarity.measure(hashes, begin, end, words))
+                new = [i for i, k in enumerate(key.tolist()) if k not in seen and not seen.add(k)]
+                raw, sig = token_bytes(token), signatures(token, size, 64 * SIGNATURE_WORDS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[new]), pa.array(size[new].astype(np.int32)), pa.array([sig[i].tobytes() for i in new], pa.binary()),
+                     pa.array([raw[first[i]:first[i] + size[i]].tobytes() for i in new], pa.binary())], names=["k", "n", "sig", "tokens"])
+
+    # Equal rows in several tasks give a set several times, and then a pair; that changes no component.
+    return joined.mapInArrow(run, "k bigint, n int, sig binary, tokens binary")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, ``text_key`` (hash of the text), ``n_shingles``,
     ``set_key``, ``component`` (a set key) and ``component_id``.
@@ -249,11 +284,23 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     counts = sketch(docs, n)
     described = written(describe(docs, counts, n, percent), "ngram-sets")
     met = written(joined_under_tokens(prefixes(described, counts), percent), "ngram-partners")
-    nodes = written(met.select("k").distinct(), "ngram-nodes")
-    sets = written(described.where(F.col("tokens").isNotNull()).select("k", "n", "sig", "tokens").join(bounded(nodes, MAX_BROADCAST_NODES), "k", "left_semi")
-                   .dropDuplicates(["k"]), "ngram-shared-sets")
-    first = met.where(F.col("v").isNotNull()).select(F.greatest("k", "v").alias("u"), F.least("k", "v").alias("v")).distinct()
-    links = written(verified(plausible(first, sets, percent), sets, percent), "ngram-links")
+    matches = written(described.where(F.col("prefix").isNotNull()).select("k", "matches").distinct(), "ngram-matches")
+
+    def linked(met_often: DataFrame) -> DataFrame:
+        """The similar ones of the pairs (u, v, times) that met often enough."""
+        enough = met_often.join(matches.select(F.col("k").alias("u"), F.col("matches").alias("mu")), "u") \
+            .join(matches.select(F.col("k").alias("v"), F.col("matches").alias("mv")), "v").where("times >= least(mu, mv)").select("u", "v", "times")
+        # Only the sets that a pair asks for are built.
+        pairs = written(enough, "ngram-pairs")
+        nodes = written(pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct(), "ngram-nodes")
+        sets = written(sets_of(docs, described, nodes, counts, n), "ngram-shared-sets")
+        return verified(plausible(pairs, sets, percent), sets, percent)
+
+    # Each set against the partner it met most often.
+    first = met.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("times")) \
+        .groupBy("k").agg(F.max(F.struct("times", "v")).alias("best")) \
+        .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times")
+    links = written(linked(first), "ngram-links")
     roots = written(components(links), "ngram-roots")
 
     by_group = Window.partitionBy(*GROUP)
@@ -264,13 +311,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         for number, table in whole_groups(batches):
             order, i, j = compared(number, table, percent, table.column("c").to_numpy())
             if len(i):
-                k, m = (table.column(x).to_numpy()[order] for x in ("k", "np"))
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(k[i], k[j])), pa.array(np.minimum(k[i], k[j])),
-                                                  pa.array((np.minimum(m[i] & 0xFF, m[j] & 0xFF)).astype(np.int32))], names=["u", "v", "least"])
+                k = table.column("k").to_numpy()[order]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(k[i], k[j])), pa.array(np.minimum(k[i], k[j]))], names=["u", "v"])
 
-    often = mixed.sortWithinPartitions(*GROUP).mapInArrow(across, "u bigint, v bigint, least int") \
-        .groupBy("u", "v").agg(F.count("*").alias("times"), F.min("least").alias("least")).where("times >= least")
-    links = written(verified(plausible(often, sets, percent), sets, percent).unionByName(links), "ngram-links")
+    often = mixed.sortWithinPartitions(*GROUP).mapInArrow(across, "u bigint, v bigint").groupBy("u", "v").agg(F.count("*").alias("times"))
+    links = written(linked(often).unionByName(links), "ngram-links")
     roots = components(links)
 
     ids = described.groupBy("k").agg(F.min("doc_id").alias("low"), F.max("n").alias("n_")).where(F.col("k").isNotNull())
