@@ -42,6 +42,8 @@ SKETCH = 1 << 18
 MATCHES = (1, 2, 3, 4, 8)
 #: Tokens verified at the cost of one prefix token.
 VERIFY_TOKENS = 50
+#: Rounds of one partner each, before all pairs of different components.
+PARTNER_ROUNDS = 3
 #: Documents that a rare token is expected to meet by chance.
 CHANCE = 0.5
 #: Words of the signature kept with the set, and of the shorter one in prefix rows.
@@ -270,6 +272,27 @@ def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.
     return joined.mapInArrow(run, "k bigint, n int, sig binary, tokens binary")
 
 
+def _of_mixed_groups(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of groups in which several components meet, with their component ``c``."""
+    by_group = Window.partitionBy(*GROUP)
+    return met.drop("v").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("root", "k")).drop("root") \
+        .withColumn("low", F.min("c").over(by_group)).withColumn("high", F.max("c").over(by_group)).where("low <> high").drop("low", "high")
+
+
+def partnered_across(mixed: DataFrame, percent: int) -> DataFrame:
+    """(k, v): each row with its first partner of another component under that token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, i, j = compared(number, table, percent, table.column("c").to_numpy())
+            if len(i):
+                k = table.column("k").to_numpy()[order]
+                first = np.flatnonzero(np.diff(j[np.lexsort((i, j))], prepend=-1))
+                at = np.lexsort((i, j))[first]
+                yield pa.RecordBatch.from_arrays([pa.array(k[j[at]]), pa.array(k[i[at]])], names=["k", "v"])
+
+    return mixed.sortWithinPartitions(*GROUP).mapInArrow(run, "k bigint, v bigint")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, ``text_key`` (hash of the text), ``n_shingles``,
     ``set_key``, ``component`` (a set key) and ``component_id``.
@@ -296,16 +319,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         sets = written(sets_of(docs, described, nodes, counts, n), "ngram-shared-sets")
         return verified(plausible(pairs, sets, percent), sets, percent)
 
-    # Each set against the partner it met most often.
-    first = met.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("times")) \
-        .groupBy("k").agg(F.max(F.struct("times", "v")).alias("best")) \
-        .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times")
-    links = written(linked(first), "ngram-links")
-    roots = written(components(links), "ngram-roots")
-
-    by_group = Window.partitionBy(*GROUP)
-    mixed = met.drop("v").join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("c", F.coalesce("root", "k")).drop("root") \
-        .withColumn("low", F.min("c").over(by_group)).withColumn("high", F.max("c").over(by_group)).where("low <> high").drop("low", "high")
+    # Rounds in which each set is verified against one partner of another component, the one it met most often.
+    links, roots = None, None
+    for turn in range(PARTNER_ROUNDS):
+        one = met if turn == 0 else partnered_across(_of_mixed_groups(met, roots), percent)
+        best = one.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("times")) \
+            .groupBy("k").agg(F.max(F.struct("times", "v")).alias("best")) \
+            .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times").distinct()
+        new = linked(best)
+        links = written(new if links is None else new.unionByName(links), "ngram-links")
+        roots = written(components(links), "ngram-roots")
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
@@ -314,6 +337,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
                 k = table.column("k").to_numpy()[order]
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(k[i], k[j])), pa.array(np.minimum(k[i], k[j]))], names=["u", "v"])
 
+    mixed = _of_mixed_groups(met, roots)
     often = mixed.sortWithinPartitions(*GROUP).mapInArrow(across, "u bigint, v bigint").groupBy("u", "v").agg(F.count("*").alias("times"))
     links = written(linked(often).unionByName(links), "ngram-links")
     roots = components(links)
