@@ -61,7 +61,7 @@ _BASE_INV = np.uint64(pow(0x2545F4914F6CDD1D, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Text per vectorised step.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 

@@ -12,7 +12,7 @@ Equal sets form a class, whose first line alone can stay.  Classes are joined,
 not lines.  The rows that meet under a word carry size, position and signature,
 so all filters work where they meet, and only classes with a partner that
 passes them go on: first each is verified against its earliest such partner per
-word, then those still standing against all of theirs.  Their sets are built
+word, then those still standing against all of theirs, where they meet.  Their sets are built
 again from their lines; the sets of all lines are never written.  Words with
 more than ``BLOCK`` prefix rows are cut into blocks, every pair of blocks in a
 task of its own.
@@ -192,17 +192,31 @@ def earliest_partners(placed: DataFrame, percent: int) -> DataFrame:
     return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "u bigint, v bigint").distinct()
 
 
-def partners_of_standing(placed: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each class that still stands with all its earlier partners."""
+def similar_to_earlier(placed: DataFrame, percent: int) -> DataFrame:
+    """(k): the standing classes that are similar to an earlier class; rows carry their ``tokens`` and are verified where they meet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
             order, i, j = compared(number, table, percent, True)
-            if len(i):
-                k, place = table.column("k").to_numpy()[order], places(table)[order]
-                swap = place[i] > place[j]
-                yield pa.RecordBatch.from_arrays([pa.array(k[np.where(swap, i, j)]), pa.array(k[np.where(swap, j, i)])], names=["u", "v"])
+            if not len(i):
+                continue
+            k, place, tokens = table.column("k").to_numpy()[order], places(table)[order], table.column("tokens")
+            swap = place[i] > place[j]
+            later, earlier = np.where(swap, i, j), np.where(swap, j, i)
+            gone: set[int] = set()
+            tried: set[tuple[int, int]] = set()
+            for x, y in zip(later.tolist(), earlier.tolist()):
+                pair = (int(k[x]), int(k[y]))
+                if pair[0] in gone or pair in tried:
+                    continue
+                tried.add(pair)
+                a, b = (tokens_from(tokens[int(order[r])].as_buffer()) for r in (x, y))
+                same = len(a) + len(b) - len(np.unique(np.concatenate((a, b))))
+                if 100 * same >= percent * (len(a) + len(b) - same):
+                    gone.add(pair[0])
+            if gone:
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(gone), pa.int64())], names=["k"])
 
-    return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "u bigint, v bigint").distinct()
+    return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "k bigint").distinct()
 
 
 def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -229,7 +243,8 @@ def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([raw[a:a + n].tobytes() for a, n in zip(first, size)], pa.binary())],
                                                  names=["k", "tokens"])
 
-    return joined.mapInArrow(run, "k bigint, tokens binary").dropDuplicates(["k"])
+    # Equal rows in several tasks give a set several times, and then a pair; that changes nothing.
+    return joined.mapInArrow(run, "k bigint, tokens binary")
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -248,8 +263,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # Groups with classes that still stand, against all their partners.
     rest = placed.join(gone.withColumn("gone", F.lit(True)), "k", "left").withColumn("standing", F.col("gone").isNull()).drop("gone")
-    rest = rest.withColumn("any", F.max("standing").over(Window.partitionBy(*GROUP))).where("any").drop("any")
-    gone = gone.unionByName(verified(partners_of_standing(rest, percent), sets, percent).select(F.col("u").alias("k"))).distinct()
+    rest = written(rest.withColumn("any", F.max("standing").over(Window.partitionBy(*GROUP))).where("any").drop("any"), "line-standing")
+    gone = gone.unionByName(similar_to_earlier(rest.join(sets, "k").repartition(*GROUP), percent)).distinct()
 
     marked = classes.join(gone.withColumn("gone", F.lit(True)), "k", "left").where("gone or times > 1")
     lines = described.select("doc_id", "text_key", "line", "k").join(marked, "k")

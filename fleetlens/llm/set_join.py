@@ -14,7 +14,7 @@ from fleetlens.llm.common import bounded, tokens_from, written
 #: Rows of a block; a token with more prefix rows is cut into blocks, every pair of blocks a group of its own.
 BLOCK = 4096
 #: Rows compared at a time.
-STEP_ROWS = 100_000
+STEP_ROWS = 60_000
 GROUP = ["token", "bi", "bj"]
 
 
