@@ -114,18 +114,19 @@ LIUGONG_MACHINES = [
     ("2024-01-01", "LG1", "Loader old", "CLG856"),
     ("2024-02-01", "lg2 ", "Loader 2", "CLG856 "),
     ("2024-02-01", "LG3", "Loader 3", "CLG835"),
+    ("2024-02-01", "LG8", "Loader 8", "CLG835"),
 ]
 
 LIUGONG_WORK_HOURS = [
     # overall_unit_sn, extract_date, working_hours, idle_hours, idle fuel, job fuel, total fuel
     ("LG1", "2024-01-10", "5", "1", "2", "10", "12"),
-    ("LG1", "2024-01-10", "0", "0", "1", "1", "2"),     # two rows on one day: n * n
+    ("LG1", "2024-01-10", "0", "0", "1", "1", "2"),     # two rows on one day: one flag for both
     ("LG1", "2024-01-11", "bad", "1", "x", "3", "4"),   # lenient / strict parses
     ("LG2", "2024-01-10", "2", "", "1", "2", "3"),      # matches 'lg2 ' only after UPPER(TRIM())
     ("LG9", "2024-01-10", "1", "1", "1", "1", "2"),     # no machine-list row
-    ("LG3", "2024-01-10", "NaN", "0", "NaN", "1", "2"),  # NaN hours and litres
-    ("LG3", "2024-01-11", "Infinity", "1", "1", "1", "2"),
-    ("LG3", "2024-01-12", "1e17", "0", "1", "1", "2"),
+    ("LG8", "2024-01-10", "NaN", "0", "NaN", "1", "2"),  # NaN hours and litres
+    ("LG8", "2024-01-11", "Infinity", "1", "1", "1", "2"),
+    ("LG8", "2024-01-12", "1e17", "0", "1", "1", "2"),
     (None, "2024-01-12", "1", "0", "1", "1", "2"),       # NULL unit: no activity flag
 ]
 
