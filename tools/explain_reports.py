@@ -24,6 +24,21 @@ from fleetlens.sources.catalog import derive_from_driver_tables  # noqa: E402
 REPORTS = ("fleet_list", "utilization", "hours", "fuel")
 
 
+def final_only(plan: str, width: int = 160) -> str:
+    """The plan without the initial plans (of itself and of its subqueries), long lines cut."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        if skip is not None and depth > skip:
+            continue
+        skip = None
+        if "== Initial Plan ==" in line:
+            skip = depth
+        else:
+            out.append(line[:width])
+    return "\n".join(out) + "\n"
+
+
 def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     out = Path(argv[2] if len(argv) > 2 else "docs/plans")
@@ -37,7 +52,8 @@ def main(argv: list[str]) -> None:
         df = build()
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        (out / f"{key}.txt").write_text(re.sub(r"file:/[^\s,\]]*/", "", plan))
+        plan = final_only(re.sub(r"file:/[^\s,\]]*/", "", plan))
+        (out / f"{key}.txt").write_text(plan)
         print(key, len(plan.splitlines()), "lines")
 
 
