@@ -5,12 +5,8 @@ in the reports.  Executed as one sort-merge outer join, a unit holding a
 third of the fact rows lands in one task, and AQE cannot split the fact side
 of a left outer join, nor a join that reuses the unit list's window
 partitioning.  ``keep_left_join`` counts the facts per key (map-side sums of
-the keys alone) and runs
-
-    (units INNER JOIN facts ON key, salt)  UNION ALL  (units without facts)
-
-A key with more than ``HOT_ROWS`` facts gets one salt per ``HOT_ROWS`` of them,
-and only its unit is repeated, once per salt; every other key has the one salt
+the keys alone) and joins on the key and a salt.  A key with more than
+``HOT_ROWS`` facts gets one salt per ``HOT_ROWS`` of them, and only its unit is repeated, once per salt; every other key has the one salt
 0 and takes a plain join, which Spark plans as it sees fit.  The list of hot
 keys has at most facts / HOT_ROWS rows, which bounds its broadcast.  Nothing is
 counted on the driver, and the output equals the left outer join row for row.
@@ -42,20 +38,32 @@ def _on(df: DataFrame, keys: Sequence[str], counts: DataFrame) -> Column:
     return _and([df[k] == counts[f"__key{i}"] for i, k in enumerate(keys)])
 
 
+def _salts(counts: DataFrame, hot_rows: int) -> DataFrame:
+    """The hot keys with their number of salts."""
+    return counts.where(F.col("__n") > hot_rows).withColumn("__salts", F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")).drop("__n")
+
+
+def _salted(facts: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Facts with ``__salt_f``.
+
+    Equal facts differ in their partition, so they spread as well; a retried
+    task gives its rows the same salts.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns], F.spark_partition_id()), F.coalesce(F.col("__salts"), F.lit(1))).cast("int")
+    return facts.join(F.broadcast(hot), _on(facts, keys, hot), "left").select(*facts.columns, salt.alias("__salt_f"))
+
+
 def split_inner_join(units: DataFrame, facts: DataFrame, unit_keys: Sequence[str], fact_keys: Sequence[str],
                      counts: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``units INNER JOIN facts`` with hot keys spread over salts (columns of both sides)."""
     if counts is None:
         counts = _key_counts(facts, fact_keys)
-    hot = counts.where(F.col("__n") > hot_rows).withColumn("__salts", F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int")).drop("__n")
-    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    hot = _salts(counts, hot_rows)
     left = units.join(F.broadcast(hot), _on(units, unit_keys, hot), "left") \
-        .withColumn("__salt_u", F.explode(F.sequence(F.lit(0), salts - 1)))
-    # Equal facts differ in their partition, so they spread as well; a retried task gives its rows the same salts.
-    right = facts.join(F.broadcast(hot), _on(facts, fact_keys, hot), "left") \
-        .withColumn("__salt_f", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns], F.spark_partition_id()), salts).cast("int"))
+        .withColumn("__salt_u", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+    right = _salted(facts, fact_keys, hot)
     cond = _and([F.col(u) == F.col(f) for u, f in zip(unit_keys, fact_keys)] + [F.col("__salt_u") == F.col("__salt_f")])
-    return left.select(*units.columns, "__salt_u").join(right.select(*facts.columns, "__salt_f"), cond).select(*units.columns, *facts.columns)
+    return left.select(*units.columns, "__salt_u").join(right, cond).select(*units.columns, *facts.columns)
 
 
 def _without_facts(units: DataFrame, facts: DataFrame) -> DataFrame:
@@ -72,8 +80,14 @@ def keep_left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     """``left LEFT JOIN right ON left_keys = right_keys``, balanced on ``right``; column names must be distinct."""
     _check(left, right)
     counts = _key_counts(right, right_keys)
-    matched = split_inner_join(left, right, left_keys, right_keys, counts, hot_rows)
-    return matched.unionByName(_without_facts(left.join(counts, _on(left, left_keys, counts), "left_anti"), right))
+    hot = _salts(counts, hot_rows)
+    units = left.join(counts, _on(left, left_keys, counts), "left").select(
+        *left.columns, F.col("__n").isNull().alias("__alone"),
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int"), F.lit(1)) - 1)).alias("__salt_u"))
+    facts = _salted(right, right_keys, hot)
+    cond = _and([F.col(u) == F.col(f) for u, f in zip(left_keys, right_keys)] + [F.col("__salt_u") == F.col("__salt_f")])
+    # A salt of a hot unit may have drawn no fact: only units without any fact keep a row of NULLs.
+    return units.join(facts, cond, "left").where(F.col("__salt_f").isNotNull() | F.col("__alone")).select(*left.columns, *right.columns)
 
 
 def self_dim_left_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
