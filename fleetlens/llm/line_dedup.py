@@ -9,7 +9,8 @@ parity signature before their sets are verified exactly.
 A line goes if *any* earlier line (by doc_id, then text, then line number) is
 similar, removed or not; so the result does not depend on any order of work.
 Equal sets form a class, whose first line alone can stay.  Classes are joined,
-not lines.  The rows that meet under a word carry size, position and signature,
+not lines; sets so small that only equal ones are similar (three words or fewer
+at 80 percent) need the class alone.  The rows that meet under a word carry size, position and signature,
 so all filters work where they meet, and only classes with a partner that
 passes them go on: first each is verified against its earliest such partner per
 word, then those still standing against all of theirs, where they meet.  Their sets are built
@@ -33,8 +34,8 @@ from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, p
 
 SKETCH = 1 << 18
 SIGNATURE_BITS = 128
-#: Lines with fewer distinct words are neither removed nor compared.
-MIN_WORDS = 4
+#: Lines with fewer distinct words (those without any) are neither removed nor compared.
+MIN_WORDS = 1
 PERCENT = 80
 
 
@@ -76,7 +77,10 @@ _LINES = "doc_id bigint, text_key bigint, line int, k bigint, n int, s0 bigint,
 
 
 def describe(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """Per line with MIN_WORDS words or more: its place, class key, size and signature; its prefix once per class and task."""
+    """Per line with MIN_WORDS words or more: its place, class key, size and signature; its prefix once per class and task.
+
+    Sets that one more word would take below ``percent`` are similar to equal ones only: they have no prefix.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(levels(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,9 +96,13 @@ def describe(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                     continue
                 raw, sig = token_bytes(word), signatures(word, size, SIGNATURE_BITS).view(np.int64)
                 length = size - (-(-percent * size // 100)) + 1
+                alone = 100 * size < percent * (size + 1)
                 prefix = []
                 for i in long.tolist():
                     k = int(key[i])
+                    if alone[i]:
+                        prefix.append(None)
+                        continue
                     prefix.append(None if k in seen else raw[first[i]:first[i] + length[i]].tobytes())
                     seen.add(k)
                 at = pa.array(rows[line[long]])
@@ -277,8 +285,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, text_col: str = "text")
     ``n_lines`` and ``n_removed``.
 
     Lines are ``\\\\n``-separated.  Null texts stay null with 0 lines; an empty
-    text is one empty line.  Lines with fewer than ``MIN_WORDS`` distinct words
-    stay.  Rows that agree in doc_id and text are one document and fare alike;
+    text is one empty line.  Lines without words stay.  Rows that agree in doc_id and text are one document and fare alike;
     a null doc_id comes after all others.  An empty table gives an empty one.
     Columns called like an output are replaced.
     """

@@ -131,6 +131,23 @@ def test_line_dedup_equals_brute_force(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_removes_repeats_of_short_lines(spark):
+    """Lines of one to three distinct words, at any length, go like all others; lines without words stay."""
+    long = "la " * 40 + "di da"
+    rows = [(1, "Les.\nAnd ornd.\none two three\n \n" + long), (2, "les.\nornd. And\none two\n \n" + long), (3, "Les.\none two three four\n\nLes."),
+            (4, "three two one\none two three four five\n" + "da di la"), (None, "Les.")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got} == {
+        1: (rows[0][1], 5, 0), 2: ("one two\n ", 5, 3), 3: ("one two three four\n", 4, 2), 4: ("", 3, 3), None: ("", 1, 1)}
+
+
+def test_small_line_sets_match_at_any_percent(spark):
+    """At 60 percent, two words of three are enough: the bound for sets without a prefix follows the percentage."""
+    rows = [(1, "a b"), (2, "a b c"), (3, "a"), (4, "b"), (5, "a")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), percent=60).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
+
+
 def _removed(texts):
     seen = {}
     for t in texts:
