@@ -2,12 +2,17 @@
 
 1. *Language model*: character trigrams of all documents are counted in
    ``LM_BUCKETS`` hash buckets (numpy counts per task, summed by Spark).
-2. *Decoder*: a token in which letters mix with digits or symbols, a letter
-   repeats three times or more, or single letters stand spaced out becomes a
-   lattice: each input character offers the letters it may stand for, a run
-   offers one, two or all copies, a separator offers nothing.  Viterbi over
-   (last two letters) finds the cheapest path under channel costs and the
-   language model.  Plain tokens have a one-path lattice, themselves.
+2. *Decoder*: a token in which letters mix with digits or symbols, or a letter
+   repeats three times or more, becomes a lattice: each input character offers
+   the letters it may stand for, a run offers one, two or all copies, a
+   separator offers nothing.  Viterbi over (last two letters) finds the cheapest
+   path under channel costs and the language model.  Plain tokens have a
+   one-path lattice, themselves.  The gap beside a token of at most ``SHORT``
+   characters is a symbol of the lattice too, dropped or kept as the end of a
+   word, so a run of tokens is segmented by the same Viterbi ('a m o r o n',
+   'id iot').  Between two tokens that face each other with two plain letters
+   each, the choice depends on those four letters alone: it is looked up, and
+   runs are cut where such a gap is kept.
 3. *Lexicon*: each restored word has features (the word, its prefixes of three
    to six letters) in ``FEATURES`` hash buckets; a feature's evidence is the
    lower bound of its log odds between toxic and other labelled documents.
@@ -27,6 +32,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +62,8 @@ _DOUBLE = re.compile(r"(.)\1+")
 
 # Channel costs in nats.
 SUBSTITUTE, LITERAL, DROP, COLLAPSE, KEEP_RUN = 0.7, 14.0, 0.7, 0.7, 3.0
+#: A gap can be dropped if a token beside it has at most so many characters.
+SHORT = 3
 
 
 def _trigram(a, b, c):
@@ -107,6 +115,8 @@ class Decoder:
     def __init__(self, counts: np.ndarray):
         self.tri, self.pair = counts[:LM_BUCKETS], counts[LM_BUCKETS:]
         self.memo: dict[tuple[str, str, str], float] = {}
+        self.gaps: dict[str, bool | None] = {}
+        self.lattices: dict[str, list[list[tuple[str, float]]]] = {}
 
     def cost(self, a: str, b: str, c: str) -> float:
         key = (a, b, c)
@@ -143,20 +153,63 @@ class Decoder:
         return out
 
     def restore(self, token: str) -> str:
-        states: dict[tuple[str, str], tuple[float, str]] = {("", ""): (0.0, "")}
-        for options in self.lattice(token):
-            reached: dict[tuple[str, str], tuple[float, str]] = {}
-            for (a, b), (paid, path) in states.items():
-                for letters, price in options:
-                    x, y, total = a, b, paid + price
-                    for c in letters:
-                        letter = c if c.isalpha() else ""
-                        total += self.cost(x, y, letter) if letter else 0.0
-                        x, y = (y, letter) if letter else ("", "")
-                    if (x, y) not in reached or total < reached[x, y][0]:
-                        reached[x, y] = (total, path + letters)
-            states = reached
-        return min((paid + self.cost(a, b, ""), path) for (a, b), (paid, path) in states.items())[1]
+        """The cheapest reading of a token, or of tokens with a blank in every gap."""
+        states: dict[tuple[str, str], tuple[float, tuple | None]] = {("", ""): (0.0, None)}
+        for number, part in enumerate(token.split(" ")):
+            if number:
+                # Dropped: the word goes on.  Kept: it ends, and the next one starts.
+                kept = min(((paid + (self.cost(a, b, "") if b else 0.0), path) for (a, b), (paid, path) in states.items()), key=lambda s: s[0])
+                states = {at: (paid + DROP, path) for at, (paid, path) in states.items() if at != ("", "")}
+                states["", ""] = (kept[0], (kept[1], " "))
+            steps = self.lattices.get(part)
+            if steps is None:
+                if len(self.lattices) > 50_000:
+                    self.lattices.clear()
+                steps = self.lattices[part] = self.lattice(part)
+            for options in steps:
+                c = options[0][0]
+                if len(options) == 1 and len(c) == 1 and c.isalpha():        # a plain letter, at no price
+                    nearer: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+                    for (a, b), (paid, path) in states.items():
+                        paid += self.cost(a, b, c)
+                        if (b, c) not in nearer or paid < nearer[b, c][0]:
+                            nearer[b, c] = (paid, (path, c))
+                    states = nearer
+                    continue
+                reached: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+                for (a, b), (paid, path) in states.items():
+                    for letters, price in options:
+                        x, y, total = a, b, paid + price
+                        for c in letters:
+                            letter = c if c.isalpha() else ""
+                            total += self.cost(x, y, letter) if letter else 0.0
+                            x, y = (y, letter) if letter else ("", "")
+                        if (x, y) not in reached or total < reached[x, y][0]:
+                            reached[x, y] = (total, (path, letters))
+                states = reached
+        return min((paid + self.cost(a, b, ""), _spelled(path)) for (a, b), (paid, path) in states.items())[1]
+
+    def drops(self, left: str, right: str) -> bool | None:
+        """Whether the gap between two tokens is dropped; None if more than two letters on either side decide."""
+        key = left[-2:] + right[:2]
+        if len(left) < 2 or len(right) < 2:
+            return None
+        if key not in self.gaps:
+            a, b, c, d = key
+            plain = key.isalpha() and a != b and c != d
+            kept = self.cost(a, b, "") + self.cost("", "", c) + self.cost("", c, d) if plain else 0.0
+            if len(self.gaps) > 500_000:
+                self.gaps.clear()
+            self.gaps[key] = DROP + self.cost(a, b, c) + self.cost(b, c, d) < kept if plain else None
+        return self.gaps[key]
+
+
+def _spelled(path: tuple | None) -> str:
+    out = []
+    while path:
+        path, letters = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 def core(token: str) -> str:
@@ -175,24 +228,59 @@ class Restorer:
 
     def __init__(self, counts: np.ndarray):
         self.decoder = Decoder(counts)
+        self.pieces: dict[str, str] = {}
 
     def forms(self, token: str) -> list[str]:
-        """The word that a token stands for, and its form without doubled letters."""
+        """The word that a token stands for (the words, if it is a run), and its form without doubled letters."""
+        if " " in token:
+            words = [core(w) for w in self.decoder.restore(token).split()]
+            return list(dict.fromkeys(f for w in words for f in (w, _DOUBLE.sub(r"\1", w))))
         word = core(token)
         if len(word) > 2 and _ODD.search(word) and _LETTER.search(word):
             word = core(self.decoder.restore(word))
         single = _DOUBLE.sub(r"\1", word)
         return [word] if single == word else [word, single]
 
-    @staticmethod
-    def tokens(text: str) -> set[str]:
-        """Distinct tokens; three or more single characters in a row also count as one token."""
+    def tokens(self, text: str) -> set[str]:
+        """Distinct tokens, and the runs of tokens whose gaps may be dropped, joined by blanks."""
         words = text.lower().split()
         found = set(words)
-        shape = "".join(["1" if len(w) == 1 else "2" for w in words])
-        for m in re.finditer("111+", shape):
-            found.add("".join(words[m.start():m.end()]))
-        return found
+        pieces, drops = self.pieces, self.decoder.drops
+        if len(pieces) >= CACHED:
+            pieces.clear()
+        run: list[str] = []
+        last = ""
+        for w in words:
+            p = pieces.get(w)
+            if p is None:
+                # A single character and a token of nothing but marks stand for themselves.
+                p = pieces[w] = w if len(w) == 1 else core(w) or w
+            if last and (len(p) <= SHORT or len(last) <= SHORT):
+                going = drops(last, p)
+                if going or going is None and not _is_number(p) and not _is_number(last):
+                    run.append(p)
+                    last = p
+                    continue
+            if len(run) > 1:
+                found.update(_read_as(run))
+            run, last = [p], p
+        if len(run) > 1:
+            found.update(_read_as(run))
+        return {t for t in found if " " not in t or _LETTER.search(t)}
+
+
+def _read_as(run: list[str]) -> Iterator[str]:
+    """A run as it stands, and its short tokens without the longer ones beside them (whose own reading may pull letters over)."""
+    yield " ".join(run)
+    for short, part in groupby(run, lambda p: len(p) <= SHORT):
+        part = list(part)
+        if short and 1 < len(part) < len(run):
+            yield " ".join(part)
+
+
+def _is_number(token: str) -> bool:
+    """Too long to be a piece of a word, and without a letter."""
+    return len(token) > SHORT and not _LETTER.search(token)
 
 
 class Scorer(Restorer):

@@ -139,3 +139,25 @@ def test_toxicity_held_out_and_obfuscated(spark, empty):
     for word in ("1d1ot", "i d i o t", "m0r0n", "iiidiooot", "$cum", "l-o-s-e-r"):
         assert scorer.score(f"{clean} {word} {clean} {word}") > scorer.score(f"{clean} river {clean} stone")
     assert toxicity.score_toxicity(empty, model).count() == 0
+
+
+def test_toxicity_segments_runs_of_short_tokens():
+    """A gap is dropped or kept by the language model, with one-letter words beside it and in pieces of any length."""
+    said = "you are a friend and he is an idiot or such a moron, a scum and a loser are here "
+    tri, pair = toxicity.char_counts("".join(said + prose(i, 20).replace("w", " ") + " " for i in range(60)))
+    restorer = toxicity.Restorer(toxicity.np.concatenate((tri, pair)))
+    for text, want in (("you are a m o r o n", "moron"), ("y o u i d i o t", "idiot"), ("he is an id iot here", "idiot"), ("such a mo r on", "moron"),
+                       ("a lose r", "loser"), ("river m 0 r o n, stone", "moron"), ("a s c u m.", "scum")):
+        words = {f for t in restorer.tokens(text) for f in restorer.forms(t)}
+        assert want in words, (text, words)
+    words = {f for t in restorer.tokens("you are a friend and he is an idiot") for f in restorer.forms(t)}
+    assert words == {"you", "are", "a", "friend", "and", "he", "is", "an", "idiot"}
+
+
+def test_toxicity_gaps_cut_early_leave_the_same_segments():
+    """Cutting runs at kept gaps changes nothing: the whole text as one lattice has the same words."""
+    tri, pair = toxicity.char_counts(" ".join(prose(i, 200, 50) for i in range(20)) + " the cat sat on a mat of an old inn to be in it")
+    restorer = toxicity.Restorer(toxicity.np.concatenate((tri, pair)))
+    for text in ("the cat sat on a mat", "in it to be of an old a in", "o f the c at sa t on", "inn all of ss as a s", "a " * 300):
+        whole = set(restorer.decoder.restore(" ".join(text.split())).split())
+        assert whole <= {w for t in restorer.tokens(text) for w in ([t] if " " not in t else restorer.decoder.restore(t).split())}
