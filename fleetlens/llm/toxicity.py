@@ -22,8 +22,9 @@
 4. *Score*: logistic function of a document's three strongest distinct words
    and its size.
 
-The driver holds the two models only: ``LM_BUCKETS`` and ``FEATURES`` numbers,
-and three numbers for each of at most ``train_rows`` documents.  Tasks keep
+The driver holds the two models only: ``LM_BUCKETS`` and ``FEATURES`` numbers;
+the calibration's Newton steps take their gradient and Hessian as sums from
+Spark, so an id with many texts brings no row to the driver.  Tasks keep
 the evidence of up to ``CACHED`` tokens; a full cache is emptied.
 """
 
@@ -331,7 +332,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")) \
         .agg(F.max("toxic").alias("__y")).withColumn("__part", bucket5(F.col("__id"))).where("__part <> 0") \
         .orderBy(F.xxhash64("__id"), "__id").limit(train_rows)
-    train = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]).select("__y", "__part", F.col("text").cast("string"))
+    train = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["__id"]) \
+        .select("__id", "__y", "__part", F.col("text").cast("string")).distinct()          # a repeated row counts once
     train = written(train, "toxicity-train")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,21 +375,38 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
             got = [(float(y), *scorer.measure(t)) for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in (zip(*got) if got else [[]] * 5)], names=list("yabcn"))
 
-    got = second.mapInArrow(measure, "y double, a double, b double, c double, n double").toPandas().to_numpy()   # at most train_rows
-    return model | {"weights": _logistic(got)}
+    measured = written(second.mapInArrow(measure, "y double, a double, b double, c double, n double"), "toxicity-measured")
+    return model | {"weights": _logistic(measured)}
 
 
-def _logistic(rows: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; classes weigh as they occur."""
-    x = np.column_stack((np.ones(len(rows)), rows[:, 1:])) if len(rows) else np.zeros((0, 5))
-    y = rows[:, 0] if len(rows) else np.zeros(0)
+def _slopes(measured: DataFrame, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the log loss at ``w``, summed by Spark: one row of 30 numbers."""
+    names = [f"s{i}" for i in range(30)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(30)
+        for batch in batches:
+            rows = np.column_stack([batch.column(i).to_numpy() for i in range(5)])
+            x = np.column_stack((np.ones(len(rows)), rows[:, 1:]))
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            total[:5] += x.T @ (p - rows[:, 0])
+            total[5:] += ((x * (p * (1 - p))[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names=names)
+
+    sums = measured.mapInArrow(run, ", ".join(f"{c} double" for c in names)).agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in names]).first()
+    return np.array(sums[:5]), np.array(sums[5:]).reshape(5, 5)
+
+
+def _logistic(measured: DataFrame) -> np.ndarray:
+    """Ridge logistic regression of y on (a, b, c, n) by Newton steps; classes weigh as they occur."""
     w = np.zeros(5)
     w[0] = -1.0
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + 0.1 * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(5)
-        w = w - np.linalg.solve(hess, grad)
+        grad, hess = _slopes(measured, w)
+        step = np.linalg.solve(hess + 0.1 * np.eye(5), grad + 0.1 * w)
+        w = w - step
+        if np.abs(step).max() < 1e-9:
+            break
     return w
 
 

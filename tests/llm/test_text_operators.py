@@ -161,3 +161,14 @@ def test_toxicity_gaps_cut_early_leave_the_same_segments():
     for text in ("the cat sat on a mat", "in it to be of an old a in", "o f the c at sa t on", "inn all of ss as a s", "a " * 300):
         whole = set(restorer.decoder.restore(" ".join(text.split())).split())
         assert whole <= {w for t in restorer.tokens(text) for w in ([t] if " " not in t else restorer.decoder.restore(t).split())}
+
+
+def test_toxicity_fit_counts_repeated_rows_once_and_keeps_them_off_the_driver(spark, monkeypatch):
+    rows = [(i, prose(1000 + i, 30) + (" idiot scum" if i % 4 == 0 else "")) for i in range(120)]
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    again = next(r for r in rows if __import__("zlib").crc32(str(r[0]).encode()) % 5 == 4)
+    once, often = (spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows + [again] * 60))
+    monkeypatch.setattr(toxicity, "char_model", lambda docs, counts=toxicity.char_model(once): counts)
+    monkeypatch.delattr(type(once), "toPandas")
+    a, b = toxicity.fit(once, marks), toxicity.fit(often, marks)
+    assert (a["evidence"] == b["evidence"]).all() and abs(a["weights"] - b["weights"]).max() < 1e-9
