@@ -64,6 +64,40 @@ def test_template_inside_the_root_needs_support():
     assert html_extract.main_text(pages[3], tree, few) == prose(3, 20) + "\nRead our terms"
 
 
+def site(i: int, inside: str = "", outer: str = "story") -> str:
+    return f"<nav>{prose(i, 3)}</nav><div class='{outer}'><h2>{prose(400 + i, 4)}</h2><p>{prose(500 + i, 40)}</p>{inside}</div><div class=end>end {i}</div>"
+
+
+def _texts(spark, htmls):
+    rows = [(i, "http://a.example.com/x", h) for i, h in enumerate(htmls)]
+    return {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def _own(i: int) -> str:
+    return prose(400 + i, 4) + "\n" + prose(500 + i, 40)
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    """What only the copies of one page have is article text, whichever page is the reference."""
+    rows, want = [], {}
+    for copied in range(10):                                # ten hosts, a different page copied on each
+        for i in [*range(10), *[copied] * 30]:
+            inside = "<blockquote>words of the copied page</blockquote>" if i == copied else ""
+            rows.append((len(rows), f"http://h{copied}.example.com/x", site(i, inside)))
+            want[rows[-1][0]] = _own(i) + ("\nwords of the copied page" if inside else "")
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extract.extract_main_text(table).collect()} == want
+
+
+def test_second_layouts_and_deviating_pages_have_their_template(spark):
+    """Constant blocks go on pages of another layout or with a block the reference lacks, and one deviating page changes nothing."""
+    notice = "<section>Read our terms</section>"
+    htmls = [site(i, notice if i % 2 else "", "story" if i % 4 < 2 else "other") for i in range(60)] + [site(61, "<section>My own section</section>")]
+    got = _texts(spark, htmls)
+    assert {i: got[i] for i in range(60)} == {i: _own(i) for i in range(60)}
+    assert got[60] == _own(61) + "\nMy own section"
+
+
 URLS = ["http://WWW.Example.com/en/1?x=1#y", "https://m.example.com/en/2", "http://a.net/es/3", "http://a.net/de/3", "http://net/fr/", "x.com/en/", None, "",
         "ftp://example.com", "http://example.com?q=/en/", "http://notexample.com/en/", "http://a.org/en/9/", "http://h://k/en"]
 
