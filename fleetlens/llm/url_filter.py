@@ -1,9 +1,10 @@
 """URL filters by association rules.
 
 A URL is a set of tokens: the labels of its host, the words of its path and its
-query's pairs.  Labelled URLs become transactions with one more item when
-their document is unwanted; Spark's FP-growth mines frequent combinations, and
-the rules ``tokens -> unwanted`` that reach the confidence and support stay.
+query's pairs.  Labelled URLs are transactions.  Spark's FP-growth mines the
+combinations that ``MIN_COUNT`` unwanted ones share, a number that does not grow
+with the input; each is then counted over all transactions, and the rules
+``tokens -> unwanted`` that reach the confidence stay.
 Rules are matched by an inverted index: each rule stands under its rarest
 token, a URL's tokens look their rules up, and a rule fires when the URL has
 all its tokens.  Listed rules (host and path) go before mined ones; the
@@ -12,6 +13,8 @@ longest that fits wins.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +30,9 @@ LISTED = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-UNWANTED = "unwanted"
-#: A combination counts as frequent in this share of the transactions, and in at least MIN_COUNT of them.
-MIN_SUPPORT = 0.001
+#: A combination counts as frequent in so many unwanted transactions (and in a share of all transactions, if one is asked for).
 MIN_COUNT = 20
+MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.6
 
 
@@ -61,20 +63,27 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
     named = pages.where(F.col("url").isNotNull()).select(url_tokens(url).alias("tokens"), document_of(url).alias("number")) \
         .where("number <> ''").withColumn("__id", F.col("number").cast("bigint")).drop("number")
     joined = named.join(wanted, "__id")
-    items = written(joined.select(F.when(F.col("__bad") == 1, F.concat("tokens", F.array(F.lit(UNWANTED)))).otherwise(F.col("tokens")).alias("items"))
-                    .where(F.size("items") > 0), "url-transactions")
+    items = written(joined.select("tokens", "__bad").where("size(tokens) > 0"), "url-transactions")
     spark = pages.sparkSession
-    n = items.count()
-    if not n:
+    n, bad = items.agg(F.count("*"), F.coalesce(F.sum("__bad"), F.lit(0))).first()
+    need = max(MIN_COUNT, math.ceil(min_support * n))
+    if bad < need:
         return spark.createDataFrame([], "rule long, tokens array<string>, key string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_COUNT / n)), minConfidence=min_confidence,
-                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items)
-    rules = model.associationRules.where(F.element_at("consequent", 1) == UNWANTED) \
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), "freq")
-    spread = rules.select("*", F.explode("tokens").alias("token")).join(single, "token")
-    return spread.groupBy("tokens", "confidence", "support").agg(F.min(F.struct("freq", "token"))["token"].alias("key")) \
-        .select(F.xxhash64("tokens").alias("rule"), "tokens", "key", "confidence", "support")
+    # Half a page less: FP-growth rounds the share times the rows up, which must give ``need``.
+    model = FPGrowth(itemsCol="tokens", minSupport=(need - 0.5) / bad,
+                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(items.where("__bad = 1").select("tokens"))
+    sets = written(model.freqItemsets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("hits")), "url-itemsets")
+    # Equal token sets together; each frequent set stands under its token that is rarest among all transactions.
+    have = written(items.groupBy(F.array_sort("tokens").alias("have")).agg(F.count("*").alias("times")), "url-token-sets")
+    spread = have.select("have", "times", F.explode("have").alias("token"))
+    frequent = sets.where("size(tokens) = 1").select(F.element_at("tokens", 1).alias("token"))
+    single = spread.join(bounded(frequent), "token", "left_semi").groupBy("token").agg(F.sum("times").alias("freq"))
+    keyed = written(sets.select("*", F.explode("tokens").alias("token")).join(single, "token").groupBy("tokens", "hits")
+                    .agg(F.min(F.struct("freq", "token"))["token"].alias("key")), "url-keyed-itemsets")
+    met = spread.join(bounded(keyed), F.col("token") == F.col("key")).where(F.size(F.array_except("tokens", "have")) == 0)
+    counted = met.groupBy("tokens", "hits", "key").agg((F.col("hits") / F.sum("times")).alias("confidence"))
+    return counted.where(F.col("confidence") >= min_confidence) \
+        .select(F.xxhash64("tokens").alias("rule"), "tokens", "key", "confidence", (F.col("hits") / n).alias("support"))
 
 
 def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -149,3 +149,13 @@ def test_mined_rules_equal_brute_force(spark):
     assert mined.keys() == want.keys() and all(abs(mined[k] - want[k]) < 1e-9 for k in want)
     verdicts = {r.page_id: r.verdict for r in url_filter.judge(pages, marks, min_support=0.05).collect()}
     assert verdicts == {i: "block" if any(set(c) <= tokens[i] for c in want) else "allow" for i in tokens}
+
+
+def test_a_rule_does_not_vanish_as_the_tables_grow(spark):
+    """Twenty-five unwanted pages of a host block it among 200 labelled pages and among 40,000."""
+    for n in (200, 40_000):
+        pages = spark.range(n).select(F.col("id").alias("page_id"), F.when(F.col("id") < 25, F.concat(F.lit("http://casino.net/win/"), "id"))
+                                      .otherwise(F.concat(F.lit("http://news.org/en/"), "id")).alias("url"))
+        marks = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 25, 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+        more = pages.unionByName(spark.createDataFrame([(-1, "http://casino.net/win/x")], "page_id long, url string"))
+        assert {r.page_id for r in url_filter.judge(more, marks).where("verdict = 'block'").collect()} == {-1, *range(25)}
