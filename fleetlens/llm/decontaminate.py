@@ -3,7 +3,9 @@
 Texts become lower-case runs of letters and digits.  A seed is the hash of the
 tokens at the 1s of a fixed mask; the 0s are ignored, so a substituted token
 there does not matter.  Every position of every benchmark item and every
-document has a seed for each of ``MASKS``.  The seeds of the documents meet
+document has a seed for each of ``MASKS``.  An item too short for any mask has
+one seed over all its tokens, and documents have one for every run of such a
+length, so a short item is found where it stands word for word.  The seeds of the documents meet
 those of the benchmark in an equi-join.  Around each hit, document and item
 are laid over each other along the hit's diagonal, equal tokens count 1,
 others ``-MISMATCH``, and the best stretch must reach ``min_score`` (or the
@@ -18,6 +20,7 @@ over them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,8 @@ from fleetlens.llm.common import bounded, others, read, written
 
 #: Masks of three token pairs, as offsets of the pairs: 11011011, 1101100011, 1100011011.
 MASKS = ((0, 3, 6), (0, 3, 8), (0, 5, 8))
+#: Tokens of the narrowest mask; shorter items are compared whole.
+NARROWEST = min(map(max, MASKS)) + 2
 MISMATCH = 3
 MIN_SCORE = 10
 
@@ -40,8 +45,11 @@ def tokens(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), ""), lambda w: F.xxhash64(w))
 
 
-def seeds(df: DataFrame) -> DataFrame:
-    """``df`` with ``__h`` (token hashes), and ``__pos``, ``__seed`` for every position and mask (null without any)."""
+def seeds(df: DataFrame, lengths: Sequence[int] = (), whole: bool = False) -> DataFrame:
+    """``df`` with ``__h`` (token hashes), and ``__pos``, ``__seed`` for every position and mask (null without any).
+
+    Every run of ``lengths`` tokens has a seed as well; with ``whole`` only a run that is the whole text.
+    """
     df = df.withColumn("__h", tokens(F.coalesce(F.col("__text"), F.lit("")))) \
         .withColumn("__pairs", F.transform("__h", lambda x, i: F.xxhash64(x, F.get(F.col("__h"), i + 1))))
 
@@ -51,8 +59,13 @@ def seeds(df: DataFrame) -> DataFrame:
             x, F.get(F.col("__pairs"), i + b), F.get(F.col("__pairs"), i + c), F.lit(k)))
         return F.slice(every, 1, F.greatest(F.size("__h") - (c + 1), F.lit(0)))
 
+    def of_run(n: int) -> Column:
+        every = F.transform("__h", lambda x, i: F.xxhash64(x, *[F.get(F.col("__h"), i + j) for j in range(1, n)], F.lit(-n)))
+        starts = F.when(F.size("__h") == n, 1).otherwise(0) if whole else F.greatest(F.size("__h") - (n - 1), F.lit(0))
+        return F.slice(every, 1, starts)
+
     # One array per mask, so the index within an array is the position.
-    df = df.select(*df.columns, F.array(*[of_mask(k) for k in range(len(MASKS))]).alias("__masks"))
+    df = df.select(*df.columns, F.array(*[of_mask(k) for k in range(len(MASKS))], *[of_run(n) for n in lengths]).alias("__masks"))
     df = df.select(*[c for c in df.columns if c not in ("__masks", "__pairs", "__text")], F.explode_outer("__masks").alias("__of"))
     return df.select(*[c for c in df.columns if c != "__of"], F.posexplode_outer("__of").alias("__pos", "__seed"))
 
@@ -71,18 +84,24 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_S
 
     ``text_key`` (hash of the text) tells rows with one doc_id apart; ids may
     be null.  ``n_hits`` is the number of seed hits
-    on one diagonal, the largest.  Null, empty and shorter
-    texts than a mask have no seeds and match nothing.  Repeated documents or
+    on one diagonal, the largest (1 for an item shorter than ``NARROWEST``
+    tokens, which must stand there whole).  Null and empty texts have no seeds
+    and match nothing.  Repeated documents or
     items each match; an empty table on either side gives an empty result.
     """
     items = benchmark.select(F.col("item_id").alias("__item"), F.col("text").cast("string").alias("__text"))
-    known = written(seeds(items).select(F.col("__item"), F.size("__h").alias("__n"), F.col("__pos").alias("__at"),
+    size = F.size(tokens(F.coalesce("__text", F.lit(""))))
+    lengths = sorted(r[0] for r in items.select(size.alias("n")).where(F.col("n").between(1, NARROWEST - 1)).distinct().collect())
+    known = written(seeds(items, lengths, whole=True).select(F.col("__item"), F.size("__h").alias("__n"), F.col("__pos").alias("__at"),
                                         F.col("__seed").alias("__key")).where(F.col("__key").isNotNull()).distinct(), "benchmark-seeds")
     text = F.col(f"`{text_col}`").cast("string")
     wanted = docs.select(F.col("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("__text"))
-    met = seeds(wanted).select("doc_id", "text_key", "__pos", "__seed").join(bounded(known), F.col("__seed") == F.col("__key"))
+    met = seeds(wanted, lengths).select("doc_id", "text_key", "__pos", "__seed").join(bounded(known), F.col("__seed") == F.col("__key"))
     # Diagonals with a hit, gathered per document (few: a document's length bounds them).
-    laid = met.groupBy("doc_id", "text_key", "__item", "__n", (F.col("__pos") - F.col("__at")).alias("__shift")).agg(F.count("*").alias("__hits"))
+    # A short item is there or not: its first place is enough.
+    shift, short = F.col("__pos") - F.col("__at"), F.col("__n") < NARROWEST
+    laid = met.groupBy("doc_id", "text_key", "__item", "__n", F.when(~short, shift).alias("__diagonal")) \
+        .agg(F.min(shift).alias("__shift"), F.count("*").alias("__hits")).withColumn("__hits", F.when(short, F.lit(1).cast("bigint")).otherwise(F.col("__hits")))
     per_doc = laid.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__tk")) \
         .agg(F.collect_list(F.struct("__item", "__n", "__shift", "__hits")).alias("__laid"))
     per_doc = written(per_doc, "benchmark-diagonals")

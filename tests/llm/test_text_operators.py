@@ -172,3 +172,11 @@ def test_toxicity_fit_counts_repeated_rows_once_and_keeps_them_off_the_driver(sp
     monkeypatch.delattr(type(once), "toPandas")
     a, b = toxicity.fit(once, marks), toxicity.fit(often, marks)
     assert (a["evidence"] == b["evidence"]).all() and abs(a["weights"] - b["weights"]).max() < 1e-9
+
+
+def test_decontamination_finds_short_items_word_for_word(spark):
+    rows = [(1, "He said: Too short!"), (2, "too very short"), (3, "a b c d e f g h"), (4, "b c d e f x g"), (5, "word " * 50), (6, "中文句子。好"), (7, "too"), (8, None)]
+    items = [(1, "too short"), (2, "b c d e f g"), (3, "word"), (4, "中文句子"), (5, "a b c d e f g h"), (6, ""), (7, None)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score, r.n_hits) for r in decontaminate.benchmark_hits(docs, bench).collect()}
+    assert got == {(1, 1, 2, 1), (3, 2, 6, 1), (5, 3, 1, 1), (6, 4, 1, 1), (3, 5, 8, 1)}
