@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, suffix_dedup, toxicity, url_filter
+from fleetlens.llm import bpe, decontaminate, html_extract, line_dedup, ngram_join, quality, sharding, source_audit, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_html": html_extract.op9_html,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_source_audit": source_audit.op11_source_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding.SQL}
+    return {"op2_sharding": sharding.SQL, "op11_source_audit": source_audit.SQL}
