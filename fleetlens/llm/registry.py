@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fleetlens.llm import bpe, decontaminate, fingerprints, html_extract, line_dedup, ngram_join, quality, sharding, source_audit, suffix_dedup, toxicity, url_filter
+from fleetlens.llm import bpe, decontaminate, fingerprints, hard_negatives, html_extract, line_dedup, ngram_join, quality, sharding, source_audit, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,9 +24,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html": html_extract.op9_html,
         "op10_decontaminate": decontaminate.op10_decontaminate,
         "op11_source_audit": source_audit.op11_source_audit,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
         "op13_fingerprint": fingerprints.op13_fingerprint,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_sharding": sharding.SQL, "op11_source_audit": source_audit.SQL}
+    return {"op2_sharding": sharding.SQL, "op11_source_audit": source_audit.SQL, "op12_hard_negatives": hard_negatives.SQL}
