@@ -1,8 +1,8 @@
 """Active days per unit over a trailing window (utilization input).
 
 A day counts when its work_hour (drive/working + idle) is > 0; the count is
-over *rows*, not distinct days.  Each maker's fact rows are reduced to one
-count per unit key with a partial (map-side) aggregate before they meet the
+over *rows*, not distinct days.  Fact rows are reduced to one count per
+(maker, unit key) with a partial (map-side) aggregate before they meet the
 unit list, so a unit that owns a large share of the facts never reaches the
 join as more than one row per map task.
 """
@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.numeric import lenient_double, round_half_up
 from fleetlens.functions.temporal import day_of_prefix
 from fleetlens.functions.text import trim_ws
-from fleetlens.operators.units import (
-    CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
-    jd_latest_machines, liugong_latest_machines,
-)
+from fleetlens.operators.units import CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, unit_table
 
 SECONDS_PER_HOUR = 3600.0
 
@@ -32,87 +29,67 @@ def _present(c: Column) -> Column:
     return c.isNotNull() & (trim_ws(c) != F.lit(""))
 
 
-def _active_counts(facts: DataFrame, key: Column, text: Column, day: Column, work_hour: Column, since: Column,
-                   name: str) -> DataFrame:
-    """Active rows per key in the window.
+def activity_facts(src) -> DataFrame:
+    """(fact_maker, fact_key, day_text, _date, is_active): one row per daily row of every maker; active means work_hour > 0."""
+    hour = F.lit(SECONDS_PER_HOUR)
 
-    Day columns are text that starts with an ISO date (source contract), so the
-    window's first day also bounds the text itself; that bound reaches the scan
+    def pick(df, maker, key, text, day, work):
+        return df.select(F.lit(maker).alias("fact_maker"), F.col(key).alias("fact_key"), F.col(text).alias("day_text"),
+                         day.alias("_date"), (work > 0).alias("is_active"))
+    fuso_work = (round_half_up(lenient_double("long_drive") / hour, 2) + round_half_up(lenient_double("long_idle") / hour, 2))
+    jd = src.jd_measurement.where(F.col("_name") == F.lit("Machine Utilization"))
+    jd_work = F.col("idle") / hour + F.col("working") / hour
+    lg_work = lenient_double("working_hours") + lenient_double("idle_hours")
+    cat_work = lenient_double("working_time_hours") + lenient_double("idle_time_hours")
+    return (pick(src.fuso_daily_summary, MITSUBISHI, "imei", "_date", day_of_prefix("_date"), fuso_work)
+            .unionByName(pick(jd, JOHN_DEERE, "serial_number", "intervalEndDate", F.col("intervalEndDate").cast("date"), jd_work))
+            .unionByName(pick(src.liugong_work_hours, LIUGONG, "overall_unit_sn", "extract_date", F.col("extract_date").cast("date"), lg_work))
+            .unionByName(pick(src.cat_asset_utilization, CATERPILLAR, "asset_serial_number", "extract_date",
+                              F.col("extract_date").cast("date"), cat_work)))
+
+
+def _in_window(since: Column) -> Column:
+    """Rows since a day.  Day columns are text that starts with an ISO date (source contract), so the
+    window's first day also bounds the text itself; that bound reaches the scans
     and skips row groups (or partitions) of older days.
     """
-    return (facts.where((text >= F.date_format(since, "yyyy-MM-dd")) & (day >= since))
-                 .groupBy(key.alias(f"{name}_key"))
-                 .agg(F.count_if(work_hour > 0).alias(f"{name}_active")))
-
-
-def _unit_active(units: DataFrame, counts: DataFrame, unit_key: str, name: str,
-                 id_c: str, name_c, type_c: str, maker: str) -> DataFrame:
-    joined = units.join(counts, units[unit_key] == counts[f"{name}_key"], "left")
-    return (joined.groupBy(F.col(id_c).alias("idNumber"), name_c.alias("vehicleName"),
-                           F.col(type_c).alias("vehicleType"))
-                  .agg(F.sum(F.coalesce(F.col(f"{name}_active"), F.lit(0))).cast("bigint")
-                        .alias("total_active_days"))
-                  .select("idNumber", "vehicleName", "vehicleType", F.lit(maker).alias("manufacture"),
-                          "total_active_days"))
+    return (F.col("day_text") >= F.date_format(since, "yyyy-MM-dd")) & (F.col("_date") >= since)
 
 
-def _fuso_units(src) -> DataFrame:
-    return fuso_latest_devices(src.fuso_devices).where(_present(F.col("chassis_number")))
+def daily_active_counts(src) -> DataFrame:
+    """(fact_maker, fact_key, _date, active_rows): active rows of every unit and day.
 
+    Days are closed once loaded, so this table can be stored by ``_date`` and
+    extended by each new day; ``active_days`` then sums days instead of reading facts.
+    """
+    return activity_facts(src).where(F.col("_date").isNotNull()).groupBy("fact_maker", "fact_key", "_date") \
+        .agg(F.count_if("is_active").alias("active_rows"))
 
-def _jd_units(src) -> DataFrame:
-    return jd_latest_machines(src.jd_equipment).where(_present(F.col("serialNumber")))
 
+def activity_units(src, units: DataFrame | None = None) -> DataFrame:
+    """The unit table without blank ids, as the utilization report counts units."""
+    return (unit_table(src) if units is None else units).where(_present(F.col("idNumber")))
 
-def _lg_units(src) -> DataFrame:
-    return liugong_latest_machines(src.liugong_machines).where(_present(F.col("serialNumber")))
 
+def unit_catalog(src, units: DataFrame | None = None) -> DataFrame:
+    """(idNumber, vehicleType, manufacture) of every unit the utilization
+    report counts; no daily rows are read."""
+    return activity_units(src, units).select("idNumber", "vehicleType", "manufacture")
 
-def _cat_units(src) -> DataFrame:
-    return cat_latest_assets(src.cat_asset_utilization).where(_present(F.col("asset_serial_number")))
 
+def active_days(src, as_of: str | None = None, window_days: int = 30, units: DataFrame | None = None,
+                counts: DataFrame | None = None) -> DataFrame:
+    """(idNumber, vehicleName, vehicleType, manufacture, total_active_days) for all makers.
 
-def unit_catalog(src) -> DataFrame:
-    """(idNumber, vehicleType, manufacture) of every unit the utilization
-    report counts; no fact table is read."""
-    def pick(df, id_c, type_c, maker):
-        return df.select(F.col(id_c).alias("idNumber"), F.col(type_c).alias("vehicleType"),
-                         F.lit(maker).alias("manufacture"))
-    return (pick(_fuso_units(src), "chassis_number", "vehicle_type", MITSUBISHI)
-            .unionByName(pick(_jd_units(src), "serialNumber", "fleet_type", JOHN_DEERE))
-            .unionByName(pick(_lg_units(src), "serialNumber", "equipmentModel", LIUGONG))
-            .unionByName(pick(_cat_units(src), "asset_serial_number", "model", CATERPILLAR)))
-
-
-def active_days(src, as_of: str | None = None, window_days: int = 30) -> DataFrame:
-    """(idNumber, vehicleName, vehicleType, manufacture, total_active_days) for all makers."""
+    The facts of all makers are counted in one aggregate by (maker, key), or,
+    given stored ``counts`` (``daily_active_counts``), the days of the window are summed.
+    """
     since = window_start(as_of, window_days)
-    hour = F.lit(SECONDS_PER_HOUR)
-
-    ds = src.fuso_daily_summary
-    fuso_work = (round_half_up(lenient_double(ds["long_drive"]) / hour, 2)
-                 + round_half_up(lenient_double(ds["long_idle"]) / hour, 2))
-    fuso_counts = _active_counts(ds, ds["imei"], ds["_date"], day_of_prefix(ds["_date"]), fuso_work, since, "fuso")
-    fuso = _unit_active(_fuso_units(src), fuso_counts, "imei", "fuso", "chassis_number", F.col("vehicle_name"),
-                        "vehicle_type", MITSUBISHI)
-
-    m = src.jd_measurement.where(F.col("_name") == F.lit("Machine Utilization"))
-    jd_work = (m["idle"] / hour) + (m["working"] / hour)
-    jd_counts = _active_counts(m, m["serial_number"], m["intervalEndDate"], m["intervalEndDate"].cast("date"), jd_work, since, "jd")
-    jd = _unit_active(_jd_units(src), jd_counts, "serialNumber", "jd", "serialNumber", F.col("_name"),
-                      "fleet_type", JOHN_DEERE)
-
-    wh = src.liugong_work_hours
-    lg_work = lenient_double(wh["working_hours"]) + lenient_double(wh["idle_hours"])
-    lg_counts = _active_counts(wh, wh["overall_unit_sn"], wh["extract_date"], wh["extract_date"].cast("date"), lg_work, since, "lg")
-    lg = _unit_active(_lg_units(src), lg_counts, "serialNumber", "lg", "serialNumber", F.col("productName"),
-                      "equipmentModel", LIUGONG)
-
-    ca = src.cat_asset_utilization
-    cat_work = lenient_double(ca["working_time_hours"]) + lenient_double(ca["idle_time_hours"])
-    cat_counts = _active_counts(ca, ca["asset_serial_number"], ca["extract_date"], ca["extract_date"].cast("date"), cat_work, since,
-                                "cat")
-    cat = _unit_active(_cat_units(src), cat_counts, "asset_serial_number", "cat", "asset_serial_number",
-                       F.lit(None).cast("string"), "model", CATERPILLAR)
-
-    return fuso.unionByName(jd).unionByName(lg).unionByName(cat)
+    if counts is None:
+        active = activity_facts(src).where(_in_window(since)).groupBy("fact_maker", "fact_key").agg(F.count_if("is_active").alias("active"))
+    else:
+        active = counts.where(F.col("_date") >= since).groupBy("fact_maker", "fact_key").agg(F.sum("active_rows").alias("active"))
+    units = activity_units(src, units)
+    joined = units.join(active, (units["manufacture"] == active["fact_maker"]) & (units["unit_key"] == active["fact_key"]), "left")
+    return joined.groupBy("idNumber", "vehicleName", "vehicleType", "manufacture") \
+        .agg(F.sum(F.coalesce("active", F.lit(0))).cast("bigint").alias("total_active_days"))

@@ -27,10 +27,7 @@ from fleetlens.functions.text import CAT_PREFIX, norm
 from fleetlens.operators.hours import SECONDS_PER_HOUR, lenient_active
 from fleetlens.operators.joins import self_dim_left_join, split_inner_join
 from fleetlens.operators.latest import latest_per_key
-from fleetlens.operators.units import (
-    CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
-    jd_latest_machines, liugong_latest_machines,
-)
+from fleetlens.operators.units import CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, unit_table, units_of
 
 
 def fuel_readings_clean(reports: DataFrame, fuel_max: float = 300.0, bucket_minutes: int = 30) -> DataFrame:
@@ -98,7 +95,12 @@ def _fuel_row(id_c, name_c, type_c, maker: str, date_c, idle_c, work_c, transpor
             total_c.cast("double").alias("fuel_consumed_total"), active_c.cast("int").alias("is_active_day")]
 
 
-def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30) -> DataFrame:
+def _units(src, units: DataFrame | None, maker: str) -> DataFrame:
+    return units_of(unit_table(src) if units is None else units, maker)
+
+
+def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
+                    units: DataFrame | None = None) -> DataFrame:
     """Per (chassis, device name, device type, day): idle, working, total litres.
 
     Every reading row is joined to each device whose chassis matches after
@@ -112,8 +114,9 @@ def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_min
     per_day = (steps.groupBy(F.col("idNumber").alias("f_id"), F.col("_date").alias("f_date"))
                     .agg(F.sum("fuel_used_liters").alias("f_used"), F.sum("idle_fuel_consumption").alias("f_idle"))
                     .withColumn("f_key", norm("f_id")))
-    dev = fuso_latest_devices(src.fuso_devices).select(
-        F.col("imei").alias("d_imei"), norm("chassis_number").alias("d_key"), "vehicle_name", "vehicle_type")
+    dev = _units(src, units, MITSUBISHI).select(
+        F.col("unit_key").alias("d_imei"), norm("idNumber").alias("d_key"), F.col("vehicleName").alias("vehicle_name"),
+        F.col("vehicleType").alias("vehicle_type"))
     act = (fuso_active(src.fuso_daily_summary)
            .groupBy(F.col("imei").alias("a_imei"), F.col("_date").alias("a_date"))
            .agg(F.count(F.lit(1)).alias("a_rows"), F.max("is_active_day").alias("a_active")))
@@ -131,7 +134,7 @@ def fuso_fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_min
                                    F.col("f_date"), idle, total - idle, F.lit(None), total, F.col("active")))
 
 
-def jd_fuel_daily(src) -> DataFrame:
+def jd_fuel_daily(src, units: DataFrame | None = None) -> DataFrame:
     """Latest machines with their 'Fuel Consumed' days (kept without fuel, NULL day).
 
     Fuel and activity come from the same long table; one pass groups it by
@@ -157,10 +160,10 @@ def jd_fuel_daily(src) -> DataFrame:
                    # a NULL day never equals the activity side's day: flag 0
                    .withColumn("fc_active", F.when(F.col("fc_date").isNotNull() & (F.col("mu_seconds") / hour > 0),
                                                    F.lit(1)).otherwise(F.lit(0))))
-    eq = jd_latest_machines(src.jd_equipment)
+    eq = _units(src, units, JOHN_DEERE)
     # one row per (serial, day) on the right: a unit adds at most a row per day
-    rows = eq.join(fuel, eq["serialNumber"] == fuel["fc_serial"], "left")
-    return rows.select(*_fuel_row(F.col("serialNumber"), F.col("_name"), F.col("fleet_type"), JOHN_DEERE,
+    rows = eq.join(fuel, eq["unit_key"] == fuel["fc_serial"], "left")
+    return rows.select(*_fuel_row(F.col("unit_key"), F.col("vehicleName"), F.col("vehicleType"), JOHN_DEERE,
                                   F.col("fc_date"), F.col("fc_idle"), F.col("fc_working"), F.col("fc_transport"),
                                   F.col("fc_total"), F.coalesce(F.col("fc_active"), F.lit(0))))
 
@@ -172,15 +175,15 @@ def liugong_active(work_hours: DataFrame) -> DataFrame:
                              F.when(s > 0, F.lit(1)).otherwise(F.lit(0)).alias("is_active_day"))
 
 
-def liugong_fuel_daily(src) -> DataFrame:
+def liugong_fuel_daily(src, units: DataFrame | None = None) -> DataFrame:
     """Every work-hours row with the machine list's name and model, and its unit-day's activity flag.
 
     The flag of a unit-day is the MAX over its rows, so each fuel row comes out
     once.  (The reports' own query pairs every row of a unit-day with every
     other one; that multiplies litres and grows with the square of a day's
     rows, so it is not reproduced, see SURVEY Q6.)  The flags are one row per
-    unit-day; a unit-day with very many rows is split by ``keep_left_join``'s
-    salting.
+    unit-day, and the same aggregate counts its rows: a unit-day with very many
+    is split over salts.
     """
     wh = src.liugong_work_hours
     rows = wh.select(F.col("overall_unit_sn").alias("serialNumber"),
@@ -190,13 +193,14 @@ def liugong_fuel_daily(src) -> DataFrame:
                      F.col("oil_consumes").cast("double").alias("fuel_total"))
     flags = (liugong_active(wh).where(F.col("serialNumber").isNotNull() & F.col("_date").isNotNull())
              .groupBy(F.col("serialNumber").alias("la_serial"), F.col("_date").alias("la_date"))
-             .agg(F.max("is_active_day").alias("la_flag")))
+             .agg(F.max("is_active_day").alias("la_flag"), F.count("*").alias("la_rows")))
     # Every row with both keys has a flag (its own row gave one); the others have none.
     keyed = F.col("serialNumber").isNotNull() & F.col("_date").isNotNull()
-    flagged = split_inner_join(flags, rows.where(keyed), ["la_serial", "la_date"], ["serialNumber", "_date"])
+    counted = flags.select(F.col("la_serial").alias("__key0"), F.col("la_date").alias("__key1"), F.col("la_rows").alias("__n"))
+    flagged = split_inner_join(flags, rows.where(keyed), ["la_serial", "la_date"], ["serialNumber", "_date"], counted)
     rows = flagged.unionByName(rows.where(~keyed), allowMissingColumns=True)
-    lg = liugong_latest_machines(src.liugong_machines).select(
-        norm("serialNumber").alias("lg_key"), "productName", "equipmentModel")
+    lg = _units(src, units, LIUGONG).select(
+        norm("unit_key").alias("lg_key"), F.col("vehicleName").alias("productName"), F.col("vehicleType").alias("equipmentModel"))
     keyed_rows = rows.withColumn("r_key", norm("serialNumber"))
     rows = keyed_rows.join(lg, keyed_rows["r_key"] == lg["lg_key"], "left")
     return rows.select(*_fuel_row(F.col("serialNumber"), F.col("productName"), F.col("equipmentModel"), LIUGONG,
@@ -204,10 +208,10 @@ def liugong_fuel_daily(src) -> DataFrame:
                                   F.col("fuel_total"), F.coalesce(F.col("la_flag"), F.lit(0))))
 
 
-def cat_fuel_allocation(src) -> DataFrame:
+def cat_fuel_allocation(src, units: DataFrame | None = None) -> DataFrame:
     """Latest assets with their days; total fuel split by the idle / working hour shares."""
     ca = src.cat_asset_utilization
-    assets = cat_latest_assets(ca)
+    assets = _units(src, units, CATERPILLAR).select(F.col("unit_key").alias("asset_serial_number"), F.col("vehicleType").alias("model"))
     facts = ca.select(F.col("asset_serial_number").alias("cf_serial"),
                       F.col("extract_date").cast("date").alias("cf_date"),
                       lenient_double("working_time_hours").alias("cf_work"),
@@ -223,8 +227,10 @@ def cat_fuel_allocation(src) -> DataFrame:
                                   idle_fuel, work_fuel, F.lit(None), total, lenient_active(work, idle)))
 
 
-def fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30) -> DataFrame:
-    return (fuso_fuel_daily(src, fuel_max, drop_cap, bucket_minutes)
-            .unionByName(jd_fuel_daily(src))
-            .unionByName(liugong_fuel_daily(src))
-            .unionByName(cat_fuel_allocation(src)))
+def fuel_daily(src, fuel_max: float = 300.0, drop_cap: int = 50, bucket_minutes: int = 30,
+               units: DataFrame | None = None) -> DataFrame:
+    """All makers' fuel days; ``units`` is a ``unit_table``, by default that of ``src``."""
+    return (fuso_fuel_daily(src, fuel_max, drop_cap, bucket_minutes, units)
+            .unionByName(jd_fuel_daily(src, units))
+            .unionByName(liugong_fuel_daily(src, units))
+            .unionByName(cat_fuel_allocation(src, units)))

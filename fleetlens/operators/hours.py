@@ -11,11 +11,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.numeric import lenient_double, round_half_up
 from fleetlens.functions.temporal import day_of_prefix
-from fleetlens.operators.joins import keep_left_join, self_dim_left_join
-from fleetlens.operators.units import (
-    CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, cat_latest_assets, fuso_latest_devices,
-    jd_latest_machines, liugong_latest_machines,
-)
+from fleetlens.operators.joins import keep_left_join
+from fleetlens.operators.units import CATERPILLAR, JOHN_DEERE, LIUGONG, MITSUBISHI, unit_table
 
 SECONDS_PER_HOUR = 3600.0
 
@@ -69,55 +66,42 @@ def cat_daily(assets: DataFrame) -> DataFrame:
                          lenient_double("idle_time_hours").alias("cd_idle"))
 
 
-def hour_units(src) -> DataFrame:
-    """(unit_key, idNumber, vehicleName, vehicleType, manufacture) of every unit in ``daily_hours``.
+def hour_facts(src) -> DataFrame:
+    """(fact_maker, fact_key, _date, work_hour, idle_hour, is_active_day): the daily rows of all makers, each under its flag rule."""
+    def pick(df, maker, key, date, work, idle, active):
+        w, i = F.col(work), F.col(idle)
+        return df.select(F.lit(maker).alias("fact_maker"), F.col(key).alias("fact_key"), F.col(date).alias("_date"),
+                         w.cast("double").alias("work_hour"), i.cast("double").alias("idle_hour"), active(w, i).alias("is_active_day"))
+    return (pick(fuso_daily_summary(src.fuso_daily_summary), MITSUBISHI, "ds_imei", "date_record", "long_drive", "long_idle",
+                 lambda w, i: strict_active(w, i, 2))
+            .unionByName(pick(jd_machine_utilization(src.jd_measurement), JOHN_DEERE, "mu_serial", "mu_date", "mu_working", "mu_idle",
+                              lambda w, i: strict_active(w, i, 4)))
+            .unionByName(pick(liugong_daily(src.liugong_work_hours), LIUGONG, "ld_serial", "ld_date", "ld_work", "ld_idle", lenient_active))
+            .unionByName(pick(cat_daily(src.cat_asset_utilization), CATERPILLAR, "cd_serial", "cd_date", "cd_work", "cd_idle", lenient_active)))
 
-    ``unit_key`` is what the maker's facts call the unit.  Each unit appears in
-    the report at least once (left joins from the unit lists).
-    """
-    def pick(df, key_c, id_c, name_c, type_c, maker):
-        return df.select(F.col(key_c).alias("unit_key"), F.col(id_c).alias("idNumber"), name_c.alias("vehicleName"),
-                         F.col(type_c).alias("vehicleType"), F.lit(maker).alias("manufacture"))
-    return (pick(fuso_latest_devices(src.fuso_devices), "imei", "chassis_number", F.col("vehicle_name"), "vehicle_type", MITSUBISHI)
-            .unionByName(pick(jd_latest_machines(src.jd_equipment), "serialNumber", "serialNumber", F.col("_name"), "fleet_type", JOHN_DEERE))
-            .unionByName(pick(liugong_latest_machines(src.liugong_machines), "serialNumber", "serialNumber", F.col("productName"),
-                              "equipmentModel", LIUGONG))
-            .unionByName(pick(cat_latest_assets(src.cat_asset_utilization), "asset_serial_number", "asset_serial_number",
-                              F.lit(None).cast("string"), "model", CATERPILLAR)))
+
+def hour_fact_keys(src) -> DataFrame:
+    """(fact_maker, fact_key) of the daily rows, unaggregated; without Caterpillar, whose unit list comes from its facts."""
+    def keys(df, maker, key):
+        return df.select(F.lit(maker).alias("fact_maker"), F.col(key).alias("fact_key"))
+    return (keys(src.fuso_daily_summary, MITSUBISHI, "imei")
+            .unionByName(keys(src.jd_measurement.where(F.col("_name") == F.lit("Machine Utilization")), JOHN_DEERE, "serial_number"))
+            .unionByName(keys(src.liugong_work_hours, LIUGONG, "overall_unit_sn")))
 
 
 def daily_hours(src, units: DataFrame | None = None) -> DataFrame:
     """All makers' unit-day rows; units without any day appear once with NULL date.
 
-    ``units`` may be ``hour_units`` with more columns (register attributes),
+    ``units`` may be a ``unit_table`` with more columns (register attributes),
     which the rows then carry: attributes join the unit list once, not every
-    fact row.
+    fact row.  All makers' rows meet the units in one join by (maker, key).
     """
-    units = hour_units(src) if units is None else units
+    units = unit_table(src) if units is None else units
     carried = [c for c in units.columns if c != "unit_key"]
-
-    def rows(maker, facts, key, date, work, idle, active, join=keep_left_join):
-        mine = units.where(F.col("manufacture") == F.lit(maker))
-        joined = join(mine, facts, ["unit_key"], [key])
-        w, i = F.col(work), F.col(idle)
-        return joined.select(*carried, F.col(date).alias("_date"), w.cast("double").alias("work_hour"),
-                             i.cast("double").alias("idle_hour"), active(w, i).alias("is_active_day"))
-
-    # JD facts are already one row per (serial, day): a unit adds at most one row per day.
-    def plain(left, right, left_keys, right_keys):
-        return left.join(right, left[left_keys[0]] == right[right_keys[0]], "left")
-
-    # The Caterpillar asset list is the latest row of each asset of the fact table itself.
-    def own(left, right, left_keys, right_keys):
-        return self_dim_left_join(left, right, left_keys[0], right_keys[0])
-
-    return (rows(MITSUBISHI, fuso_daily_summary(src.fuso_daily_summary), "ds_imei", "date_record", "long_drive", "long_idle",
-                 lambda w, i: strict_active(w, i, 2))
-            .unionByName(rows(JOHN_DEERE, jd_machine_utilization(src.jd_measurement), "mu_serial", "mu_date", "mu_working", "mu_idle",
-                              lambda w, i: strict_active(w, i, 4), plain))
-            .unionByName(rows(LIUGONG, liugong_daily(src.liugong_work_hours), "ld_serial", "ld_date", "ld_work", "ld_idle", lenient_active))
-            .unionByName(rows(CATERPILLAR, cat_daily(src.cat_asset_utilization), "cd_serial", "cd_date", "cd_work", "cd_idle",
-                              lenient_active, own)))
+    derived = F.col("manufacture") == F.lit(CATERPILLAR)
+    rows = keep_left_join(units, hour_facts(src), ["manufacture", "unit_key"], ["fact_maker", "fact_key"],
+                          derived=derived, keys_from=hour_fact_keys(src))
+    return rows.select(*carried, "_date", "work_hour", "idle_hour", F.coalesce("is_active_day", F.lit(0)).alias("is_active_day"))
 
 
 def work_idle_ratio(work, idle) -> tuple[Column, Column]:

@@ -126,7 +126,7 @@ def source_queries() -> dict[str, Callable[[FleetSources], DataFrame]]:
         "hours": reports.hours,
         "active_days_30d": lambda s: active_days(s, AS_OF),
         "impute_vehicle_master": _impute_vehicle_master,
-        "impute_utilization_master": reports.utilization_master,
+        "impute_utilization_master": lambda s: reports.utilization_master(s),
         "impute_fuel_master": reports.fuel_master,
         "utilization": lambda s: reports.utilization(s, AS_OF),
         "fuel_readings_clean": lambda s: fu.fuel_readings_clean(s.fuso_fuel_reports),

@@ -16,9 +16,9 @@ def register_views(src: FleetSources, as_of: str | None = None, prefix: str = ""
         getattr(src, f.name).createOrReplaceTempView(prefix + f.name)
         names.append(prefix + f.name)
     built = {
-        "fleet_list": reports.fleet_list(src, ordered=False),
-        "utilization": reports.utilization(src, as_of, ordered=False),
-        "hours": reports.hours(src, ordered=False),
+        "fleet_list": reports.fleet_list(src, ordered=False, materialize=False),
+        "utilization": reports.utilization(src, as_of, ordered=False, materialize=False),
+        "hours": reports.hours(src, ordered=False, materialize=False),
         "fuel": reports.fuel(src, ordered=False, materialize=False),
     }
     for name, df in built.items():
