@@ -24,6 +24,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str = "extract_dat
               .drop("__rn"))
 
 
+def merge_latest(stored: DataFrame | None, new: DataFrame, keys: Sequence[str], order: str = "extract_date",
+                 tiebreak: Sequence[str] = ()) -> DataFrame:
+    """(keys, order, tiebreak): the latest record per key of stored records and new ones.
+
+    ``stored`` is an earlier result (None at first), so each load reads only
+    its own rows and one record per key.  Ranking is by MAX of a struct, where NULL is
+    least: the record that ``latest_per_key`` picks from all rows loaded so far, in
+    whatever portions or order they came, and however often a portion is loaded again.
+    """
+    cols = [*keys, order, *tiebreak]
+    rows = new.select(*cols) if stored is None else stored.select(*cols).unionByName(new.select(*cols))
+    latest = rows.groupBy(*keys).agg(F.max(F.struct(order, *tiebreak)).alias("__latest"))
+    return latest.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in (order, *tiebreak)])
+
+
 def latest_snapshot(df: DataFrame, col: str = "extract_date") -> DataFrame:
     """Rows of the newest full snapshot: ``col = (SELECT MAX(col))``.
 

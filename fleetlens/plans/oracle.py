@@ -312,6 +312,8 @@ def _finals() -> dict[str, str]:
             f"FROM o_hours_joined j LEFT JOIN o_hours_master m "
             f"ON j.manufacture = m.manufacture AND j.vehicleType = m.vehicleType"),
         "active_days_30d": "SELECT * FROM o_util_units",
+        "active_days_by_day": "SELECT * FROM o_util_units",
+        "latest_cat_merged": "SELECT * FROM o_cat_latest",
         "impute_vehicle_master": "SELECT * FROM o_hours_master",
         "impute_utilization_master": "SELECT * FROM o_util_master",
         "impute_fuel_master": "SELECT * FROM o_fuel_master",

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from fleetlens.functions.text import clean_user
 from fleetlens.operators import fuel as fu
 from fleetlens.operators import hours as hr
-from fleetlens.operators.activity import active_days
+from fleetlens.operators.activity import active_days, daily_active_counts
+from fleetlens.operators.latest import merge_latest
 from fleetlens.operators.register import register_keys, register_latest
 from fleetlens.operators.units import (
     CATERPILLAR, LIUGONG, cat_latest_assets, fleet_units, fuso_latest_devices, jd_latest_machines,
@@ -101,6 +102,16 @@ def _impute_vehicle_master(src: FleetSources) -> DataFrame:
     return reports.hours_master(src)
 
 
+def _latest_cat_merged(src: FleetSources) -> DataFrame:
+    """The latest Caterpillar assets, loaded in three portions of the history, newest first."""
+    rows = src.cat_asset_utilization
+    day = F.substring("extract_date", 9, 2)
+    stored = None
+    for portion in (day >= "20", (day >= "10") & (day < "20"), (day < "10") | day.isNull()):
+        stored = merge_latest(stored, rows.where(portion), ["asset_serial_number"], tiebreak=["model"])
+    return stored.select("asset_serial_number", "model")
+
+
 def _last_reading(src: FleetSources) -> DataFrame:
     return fu.last_reading_per_bucket(fu.fuel_readings_clean(src.fuso_fuel_reports))
 
@@ -125,6 +136,8 @@ def source_queries() -> dict[str, Callable[[FleetSources], DataFrame]]:
         "work_idle_ratio": _work_idle_ratio,
         "hours": reports.hours,
         "active_days_30d": lambda s: active_days(s, AS_OF),
+        "active_days_by_day": lambda s: active_days(s, AS_OF, counts=daily_active_counts(s)),
+        "latest_cat_merged": _latest_cat_merged,
         "impute_vehicle_master": _impute_vehicle_master,
         "impute_utilization_master": lambda s: reports.utilization_master(s),
         "impute_fuel_master": reports.fuel_master,

@@ -105,6 +105,11 @@ def _utilization_attrs(rows: DataFrame, register: DataFrame) -> DataFrame:
                          "equipment_location", "egi_equipment_description", "model", "class", "user_company", *keep)
 
 
+def utilization_rows(src, as_of: str | None = None, window_days: int = 30) -> DataFrame:
+    """Units with active-day counts, register attributes, normalized maker/type."""
+    return _utilization_attrs(active_days(src, as_of, window_days), register_for(src.lark_fleet_master, "utilization"))
+
+
 def utilization_master(src, units: DataFrame | None = None, register: DataFrame | None = None) -> DataFrame:
     """Attribute master of the utilization report.
 

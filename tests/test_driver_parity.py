@@ -22,7 +22,7 @@ def duck():
 def test_entry_contract():
     import __spark_entry__ as e
     assert set(queries()) == set(oracle_sql())          # every key of the library has its SQL twin
-    assert len(queries()) == 30
+    assert len(queries()) == 32
     assert set(queries()) <= set(e.queries())           # corpus operators add theirs when they are present
     assert set(e.oracle_sql()) <= set(e.queries())
 

@@ -39,7 +39,7 @@ def test_latest_is_cut_before_the_shuffle(src):
 
 def test_scans_read_only_used_columns(src):
     import re
-    plan = _plan(reports.hours(src))
+    plan = _plan(reports.hours(src, materialize=False))
     # the hours report never reads the register's 'number' / 'user' / 'equipment_number'
     schemas = re.findall(r"lark_fleet_master\].*?ReadSchema: struct<([^>]*)>", plan)
     assert schemas
