@@ -24,6 +24,7 @@ full cache is emptied, which costs time and changes no result.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import unicodedata
@@ -210,7 +211,7 @@ def load_vocabulary(path: str) -> dict:
         return json.load(f)
 
 
-_ENCODERS: dict[int, Encoder] = {}      # one per vocabulary and Python worker
+_ENCODER: dict[str, Encoder] = {}       # the last vocabulary's, by its file's hash: workers outlive a task
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
@@ -221,7 +222,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Data
     gives an empty table.  Columns called like an output are replaced.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load_vocabulary(vocabulary))
+    loaded = load_vocabulary(vocabulary)
+    shared = spark.sparkContext.broadcast(loaded)
+    which = hashlib.sha256(json.dumps(loaded, sort_keys=True).encode()).hexdigest()
     names = ("n_tokens", "ids", "decoded")
     df = docs.withColumn("__text", F.col(f"`{text_col}`").cast("string"))
     out_cols = others(docs, names)
@@ -230,11 +233,10 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Data
                              T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.get(shared.id) if hasattr(shared, "id") else None
-        if encoder is None:
-            encoder = Encoder(shared.value)
-            if hasattr(shared, "id"):
-                _ENCODERS[shared.id] = encoder
+        if which not in _ENCODER:
+            _ENCODER.clear()
+            _ENCODER[which] = Encoder(shared.value)
+        encoder = _ENCODER[which]
         for batch in batches:
             done = list(encoder.encode_batch(batch.column(batch.num_columns - 1).to_pylist()))
             n, ids, text = zip(*done) if done else ((), (), ())

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.session import ensure_checkpoint_dir
+from fleetlens.session import delete_at_exit, ensure_checkpoint_dir
 
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,10 +27,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the cluster's shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, never a recomputation
-    of the stages before the write.
+    of the stages before the write.  The table is deleted when the driver ends.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

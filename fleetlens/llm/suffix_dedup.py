@@ -339,5 +339,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, then the kept bytes as text (a cut character becomes replacement characters)."""
     done = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return keep(done, ["text", "spans"]).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return keep(done, ["text", "spans"]).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                                                F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
