@@ -63,6 +63,12 @@ _DOUBLE = re.compile(r"(.)\1+")
 
 # Channel costs in nats.
 SUBSTITUTE, LITERAL, DROP, COLLAPSE, KEEP_RUN = 0.7, 14.0, 0.7, 0.7, 3.0
+#: Two letters in a row that stand for themselves: neither is part of a repetition.
+_FIXED = re.compile(r"(?=([^\W\d_])(?!\1)([^\W\d_])(?!\2))(?<!(?=\1).)..", re.S)
+#: Runs of so many characters are remembered like tokens.
+REMEMBERED = 14
+#: A gap of a run that is dropped whatever stands around the letters beside it.
+SURE = "\x1f"
 #: A gap can be dropped if a token beside it has at most so many characters.
 SHORT = 3
 
@@ -118,6 +124,7 @@ class Decoder:
         self.memo: dict[tuple[str, str, str], float] = {}
         self.gaps: dict[str, bool | None] = {}
         self.lattices: dict[str, list[list[tuple[str, float]]]] = {}
+        self.readings: dict[str, str] = {}
 
     def cost(self, a: str, b: str, c: str) -> float:
         key = (a, b, c)
@@ -205,6 +212,36 @@ class Decoder:
         return self.gaps[key]
 
 
+    def restored(self, run: str) -> str:
+        """``restore`` of a run (gaps are blanks, or ``SURE`` where ``drops`` has decided to drop them), piece by piece.
+
+        Two fixed letters in a row leave Viterbi a single state, so the readings before
+        and after them do not depend on each other.  A gap that ``drops`` decides has such letters on either side.
+        """
+        return "".join([self.piece(p) for p in run.split(SURE)])
+
+    def piece(self, piece: str) -> str:
+        """Reading of tokens with open gaps: what surrounds the gaps is cut off at the nearest fixed letters, read and remembered on its own."""
+        if " " not in piece:
+            return self.reading(piece)
+        first, last = piece[:piece.index(" ")], piece[piece.rindex(" ") + 1:]
+        cut = max((m.end() for m in _FIXED.finditer(first)), default=0)
+        back = _FIXED.search(last)
+        back = len(last) - back.start() if back else 0
+        window = piece[cut - 2 if cut else 0:len(piece) - (back - 2 if back else 0)]
+        out = self.reading(window)
+        return (self.reading(first[:cut]) + out[2:] if cut else out) + (self.reading(last[len(last) - back:])[2:] if back else "")
+
+    def reading(self, text: str) -> str:
+        """``restore``, remembered; letters without repetition stand for themselves."""
+        found = self.readings.get(text)
+        if found is None:
+            if len(self.readings) >= CACHED:
+                self.readings.clear()
+            found = self.readings[text] = text if text.isalpha() and not _DOUBLE.search(text) else self.restore(text)
+        return found
+
+
 def _spelled(path: tuple | None) -> str:
     out = []
     while path:
@@ -233,50 +270,67 @@ class Restorer:
 
     def forms(self, token: str) -> list[str]:
         """The word that a token stands for (the words, if it is a run), and its form without doubled letters."""
-        if " " in token:
-            words = [core(w) for w in self.decoder.restore(token).split()]
+        if " " in token or SURE in token:
+            words = [core(w) for w in self.decoder.restored(token).split()]
             return list(dict.fromkeys(f for w in words for f in (w, _DOUBLE.sub(r"\1", w))))
         word = core(token)
         if len(word) > 2 and _ODD.search(word) and _LETTER.search(word):
-            word = core(self.decoder.restore(word))
+            word = core(self.decoder.reading(word))
         single = _DOUBLE.sub(r"\1", word)
         return [word] if single == word else [word, single]
 
-    def tokens(self, text: str) -> set[str]:
-        """Distinct tokens, and the runs of tokens whose gaps may be dropped, joined by blanks."""
+    def scan(self, text: str) -> tuple[set[str], set[str]]:
+        """Distinct tokens of a text, and the runs of tokens whose gaps may be dropped, joined by blanks (``SURE`` where ``drops`` decides)."""
         words = text.lower().split()
-        found = set(words)
-        pieces, drops = self.pieces, self.decoder.drops
+        runs: set[str] = set()
+        pieces, gaps, drops = self.pieces, self.decoder.gaps, self.decoder.drops
         if len(pieces) >= CACHED:
             pieces.clear()
-        run: list[str] = []
-        last = ""
+        run: list[str] = []                              # tokens and the gaps between them
+        last, last_short, tail = "", False, ""
         for w in words:
-            p = pieces.get(w)
-            if p is None:
+            known = pieces.get(w)
+            if known is None:
                 # A single character and a token of nothing but marks stand for themselves.
-                p = pieces[w] = w if len(w) == 1 else core(w) or w
-            if last and (len(p) <= SHORT or len(last) <= SHORT):
-                going = drops(last, p)
+                p = w if len(w) == 1 else core(w) or w
+                known = pieces[w] = (p, len(p) <= SHORT, p[:2] if len(p) > 1 else None, p[-2:] if len(p) > 1 else None)
+            p, short, head, end = known
+            if last and (short or last_short):
+                if tail and head:
+                    going = gaps.get(tail + head, 0)
+                    if going == 0 and going is not False:
+                        going = drops(last, p)
+                else:
+                    going = None
                 if going or going is None and not _is_number(p) and not _is_number(last):
-                    run.append(p)
-                    last = p
+                    run += (SURE if going else " ", p)
+                    last, last_short, tail = p, short, end
                     continue
             if len(run) > 1:
-                found.update(_read_as(run))
-            run, last = [p], p
+                runs.update(_read_as(run))
+            run = [p]
+            last, last_short, tail = p, short, end
         if len(run) > 1:
-            found.update(_read_as(run))
-        return {t for t in found if " " not in t or _LETTER.search(t)}
+            runs.update(_read_as(run))
+        return set(words), {r for r in runs if _LETTER.search(r)}
+
+    def tokens(self, text: str) -> set[str]:
+        """Distinct tokens, and the runs of tokens whose gaps may be dropped, joined by blanks."""
+        found, runs = self.scan(text)
+        return found | {r.replace(SURE, " ") for r in runs}
 
 
 def _read_as(run: list[str]) -> Iterator[str]:
-    """A run as it stands, and its short tokens without the longer ones beside them (whose own reading may pull letters over)."""
-    yield " ".join(run)
-    for short, part in groupby(run, lambda p: len(p) <= SHORT):
-        part = list(part)
-        if short and 1 < len(part) < len(run):
-            yield " ".join(part)
+    """A run (tokens and gaps) as it stands, and its short tokens without the longer ones beside them (whose own reading may pull letters over)."""
+    yield "".join(run)
+    if max(map(len, run)) <= SHORT:
+        return
+    at = 0
+    for short, part in groupby(run[::2], lambda p: len(p) <= SHORT):
+        n = len(list(part))
+        if short and n > 1:
+            yield "".join(run[2 * at:2 * (at + n) - 1])
+        at += n
 
 
 def _is_number(token: str) -> bool:
@@ -287,25 +341,39 @@ def _is_number(token: str) -> bool:
 class Scorer(Restorer):
     def __init__(self, counts: np.ndarray, evidence: np.ndarray, weights: np.ndarray | None = None):
         super().__init__(counts)
-        self.evidence, self.weights = evidence, weights
+        self.evidence, self.weights = evidence.tolist(), weights
         self.known: dict[str, float] = {}
+        self.starts: dict[str, float] = {}
+
+    def of_word(self, word: str) -> float:
+        """The largest evidence of a word's features; that of its prefixes is remembered by the first seven letters."""
+        if not word:
+            return 0.0
+        start = word[:7]
+        most = self.starts.get(start)
+        if most is None:
+            if len(self.starts) >= CACHED:
+                self.starts.clear()
+            most = self.starts[start] = max([self.evidence[f] for f in features(start)[1:]], default=0.0)
+        return max(most, self.evidence[zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES])
 
     def measure(self, text: str | None) -> tuple[float, float, float, float]:
         """The three largest evidences of a text's words, and the log of their number."""
         if not text:
             return 0.0, 0.0, 0.0, 0.0
-        tokens, known = self.tokens(text), self.known
-        values = []
-        for t in tokens:
-            v = known.get(t)
-            if v is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                v = known[t] = max(float(self.evidence[features(w)].max()) if w else 0.0 for w in self.forms(t))
-            if v > 0:
-                values.append(v)
+        tokens, runs = self.scan(text)
+        known, of_word = self.known, self.of_word
+        if len(known) >= CACHED:
+            known.clear()
+        count = len(tokens) + len(runs)
+        # Long runs hardly ever come again.
+        tokens.update([r for r in runs if len(r) <= REMEMBERED])
+        for t in tokens.difference(known):
+            known[t] = max([of_word(w) for w in self.forms(t)], default=0.0)
+        values = [v for v in map(known.__getitem__, tokens) if v]
+        values += [max([of_word(w) for w in self.forms(r)], default=0.0) for r in runs if len(r) > REMEMBERED]
         values = sorted(values, reverse=True)[:3] + [0.0] * 3
-        return values[0], values[1], values[2], float(np.log1p(len(tokens)))
+        return values[0], values[1], values[2], float(np.log1p(count))
 
     def score(self, text: str | None) -> float:
         z = float(np.dot(self.weights, (1.0, *self.measure(text))))
@@ -344,10 +412,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
             memo: dict[str, list[int]] = {}
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found: set[int] = set()
-                for t in restorer.tokens(text or ""):
-                    if t not in memo:
-                        memo[t] = [f for w in restorer.forms(t) if w for f in features(w)]
-                    found.update(memo[t])
+                tokens, runs = restorer.scan(text or "")
+                for t in tokens.difference(memo):
+                    memo[t] = [f for w in restorer.forms(t) if w for f in features(w)]
+                found.update(*[memo[t] for t in tokens])
+                for r in runs:                          # they hardly ever come again
+                    found.update([f for w in restorer.forms(r) if w for f in features(w)])
                 seen[int(y)][list(found)] += 1
                 docs_seen[int(y)] += 1
             at = np.flatnonzero(seen[0] + seen[1])
