@@ -134,6 +134,11 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def bounded_lists(df: DataFrame, column: str, entries: int = BROADCAST_ROWS) -> DataFrame:
+    """As ``bounded``, by the rows and by the entries of an array column in all rows."""
+    return bounded(df, entries) if (df.agg(F.sum(F.size(column))).first()[0] or 0) <= entries else df
+
+
 #: Bits of a token hash in a packed set, and rows per packed chunk (their number takes 12 bits, a rarity level 4).
 TOKEN_BITS = 48
 TOKEN_BYTES = TOKEN_BITS // 8

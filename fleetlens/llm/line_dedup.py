@@ -11,12 +11,13 @@ similar, removed or not; so the result does not depend on any order of work.
 Equal sets form a class, whose first line alone can stay.  Classes are joined,
 not lines; sets so small that only equal ones are similar (three words or fewer
 at 80 percent) need the class alone.  The rows that meet under a word carry size, position and signature,
-so all filters work where they meet, and only classes with a partner that
-passes them go on: first each is verified against its earliest such partner per
-word, then those still standing against all of theirs, where they meet.  Their sets are built
-again from their lines; the sets of all lines are never written.  Words with
-more than ``BLOCK`` prefix rows are cut into blocks, every pair of blocks in a
-task of its own.
+so all filters work where they meet; a pair counts under its first shared word
+only, which bounds its overlap by what follows.  Only classes with a partner that
+passes go on: first each is verified against its earliest such partner per
+word, then those still standing against their other ones, where they meet.  Their sets are built
+again from their lines; the sets of all lines are never written.  Under a frequent word
+classes meet by size band, a class visiting the next band if it can have a partner there;
+bands with more than ``BLOCK`` rows are cut into blocks, every pair of blocks in a task of its own.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import TOKEN_BITS, TOKEN_BYTES, bounded, chunk_words, chunks, others, packed_sets, read, signatures, token_bytes, tokens_from, written
-from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pairs_in_groups, verified, whole_groups
+from fleetlens.llm.common import TOKEN_BITS, TOKEN_BYTES, bounded, bounded_lists, chunk_words, chunks, mix, others, packed_sets, read, signatures, token_bytes, tokens_from, written
+from fleetlens.llm.set_join import BLOCK, GROUP, band_of, by_group_and_size, in_blocks, largest_partner, pair_steps, verified, whole_groups
 
 SKETCH = 1 << 18
 SIGNATURE_BITS = 128
@@ -114,15 +115,15 @@ def describe(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     return docs.select("doc_id", "text_key", "text").mapInArrow(run, _LINES)
 
 
-#: ``np``: size and position.
+#: ``np``: size (high half), whether the row visits the next size band (bit 31) and position.
 _PREFIXES = "token bigint, k bigint, np bigint, s0 bigint, s1 bigint, hot boolean"
 _COLUMNS = ["token", "bi", "bj", "block", "k", "np", "s0", "s1"]
 _MET = "token bigint, bi int, bj int, block int, k bigint, np bigint, s0 bigint, s1 bigint"
 _LAST = (1 << 63) - 1
 
 
-def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The prefix rows of every class; a class may come once per task."""
+def prefixes(described: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """The prefix rows of every class; a class may come once per task.  The key of a frequent word includes the size band."""
     shared = described.sparkSession.sparkContext.broadcast(counts > BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +131,19 @@ def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
             if not batch.num_rows:
                 continue
             k, n, s0, s1 = (batch.column(i).to_numpy() for i in range(4))
-            word = tokens_from(b"".join(batch.column(4).to_pylist())).view(np.int64)
+            word = tokens_from(b"".join(batch.column(4).to_pylist()))
             length = np.diff(np.frombuffer(batch.column(4).buffers()[1], np.int32, batch.num_rows + 1, 4 * batch.column(4).offset)) // TOKEN_BYTES
             pos = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
+            row, hot = np.repeat(np.arange(len(k)), length), shared.value[(word % np.uint64(SKETCH)).astype(np.int64)]
+            size = n[row].astype(np.int64)
+            band = band_of(size, percent)
+            visits = np.flatnonzero(hot & (band_of(np.maximum(largest_partner(size, pos, percent), 1), percent) > band))
+            at = np.concatenate((np.arange(len(word)), visits))
+            guest = (np.arange(len(at)) >= len(word)).astype(np.int64)
+            token = np.where(hot[at], mix(word[at] ^ mix((band[at] + guest).astype(np.uint64))), word[at]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word), *[pa.array(x) for x in (np.repeat(k, length), np.repeat(n.astype(np.int64) << 32, length) | pos,
-                                                         np.repeat(s0, length), np.repeat(s1, length))],
-                 pa.array(shared.value[word % SKETCH])], names=["token", "k", "np", "s0", "s1", "hot"])
+                [pa.array(x) for x in (token, k[row[at]], size[at] << 32 | guest << 31 | pos[at], s0[row[at]], s1[row[at]], hot[at])],
+                names=["token", "k", "np", "s0", "s1", "hot"])
 
     return described.where(F.col("prefix").isNotNull()).select("k", "n", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
 
@@ -147,20 +154,20 @@ def _within(text_key: str, line: str) -> Column:
 
 
 def compared(number: np.ndarray, table: pa.Table, percent: int, standing: bool = False) -> tuple:
-    """(rows, i, j): rows, one per class and group, and the pairs that pass the filters.
+    """(rows, steps): rows, one per class and group, and the pairs that pass the filters (see ``pair_steps``).
 
     With ``standing`` only pairs whose class of the later place stands.
     """
     packed = table.column("np").to_numpy()
     order = by_group_and_size(number, table, packed >> 32)
     packed = packed[order]
-    rows = {"n": packed >> 32, "pos": packed & 0xFFFFFFFF, "block": table.column("block").to_numpy()[order],
+    rows = {"n": packed >> 32, "pos": packed & 0x7FFFFFFF, "home": (packed >> 31) & 1 == 0, "block": table.column("block").to_numpy()[order],
             "cut": (table.column("bi").to_numpy() != table.column("bj").to_numpy())[order]}
     sig = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
     if not standing:
-        return order, *pairs_in_groups(number[order], rows, sig, percent)
+        return order, pair_steps(number[order], rows, sig, percent)
     stands, place = np.asarray(table.column("standing").to_numpy(), bool)[order], places(table)[order]
-    return order, *pairs_in_groups(number[order], rows, sig, percent, lambda x, y: stands[np.where(place[x] > place[y], x, y)])
+    return order, pair_steps(number[order], rows, sig, percent, lambda x, y: stands[np.where(place[x] > place[y], x, y)])
 
 
 def places(table: pa.Table) -> np.ndarray:
@@ -175,54 +182,73 @@ def partnered(rows: DataFrame, percent: int) -> DataFrame:
     """The rows of classes that have a partner passing all filters under that word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent)
-            if len(i):
-                used = np.unique(np.concatenate((i, j)))
+            order, steps = compared(number, table, percent)
+            used = np.zeros(len(order), bool)
+            for i, j in steps:
+                used[i] = used[j] = True
+            if used.any():
                 yield from table.take(pa.array(order[used])).select(_COLUMNS).combine_chunks().to_batches()
 
     return in_blocks(rows).mapInArrow(run, _MET)
 
 
+def earliest(place: np.ndarray, steps: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(first, more): each row's earliest earlier partner (-1: none), and whether a row is in a pair besides those."""
+    first, more = np.full(len(place), -1), np.zeros(len(place), bool)
+    for i, j in steps:
+        for later, earlier in ((i, j), (j, i)):        # no row comes twice on one side
+            mine = place[later] > place[earlier]
+            later, earlier = later[mine], earlier[mine]
+            known = first[later]
+            better = (known < 0) | (place[earlier] < place[known])
+            second = np.where(better, known, earlier)
+            more[later[second >= 0]] = more[second[second >= 0]] = True
+            first[later[better]] = earlier[better]
+    return first, more
+
+
 def earliest_partners(placed: DataFrame, percent: int) -> DataFrame:
     """(u, v): each class with its earliest earlier partner under each word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent)
-            if not len(i):
-                continue
-            k, place = table.column("k").to_numpy()[order], places(table)[order]
-            swap = place[i] > place[j]
-            later, earlier = np.where(swap, i, j), np.where(swap, j, i)
-            best = np.lexsort((place[earlier], later))
-            best = best[np.diff(later[best], prepend=-1) != 0]
-            yield pa.RecordBatch.from_arrays([pa.array(k[later[best]]), pa.array(k[earlier[best]])], names=["u", "v"])
+            order, steps = compared(number, table, percent)
+            k = table.column("k").to_numpy()[order]
+            first, _ = earliest(places(table)[order], steps)
+            later = np.flatnonzero(first >= 0)
+            if len(later):
+                yield pa.RecordBatch.from_arrays([pa.array(k[later]), pa.array(k[first[later]])], names=["u", "v"])
 
     return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def contested(rest: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``rest`` in a pair whose later class stands and which is not that class's earliest under the word (that one is verified)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in whole_groups(batches):
+            order, steps = compared(number, table, percent, True)
+            _, more = earliest(places(table)[order], steps)
+            if more.any():
+                yield from table.take(pa.array(order[more])).combine_chunks().to_batches()
+
+    return rest.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(run, rest.schema)
+
+
 def similar_to_earlier(placed: DataFrame, percent: int) -> DataFrame:
     """(k): the standing classes that are similar to an earlier class; rows carry their ``tokens`` and are verified where they meet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent, True)
-            if not len(i):
-                continue
+            order, steps = compared(number, table, percent, True)
             k, place, tokens = table.column("k").to_numpy()[order], places(table)[order], table.column("tokens")
-            swap = place[i] > place[j]
-            later, earlier = np.where(swap, i, j), np.where(swap, j, i)
-            gone: set[int] = set()
-            tried: set[tuple[int, int]] = set()
-            for x, y in zip(later.tolist(), earlier.tolist()):
-                pair = (int(k[x]), int(k[y]))
-                if pair[0] in gone or pair in tried:
-                    continue
-                tried.add(pair)
-                a, b = (tokens_from(tokens[int(order[r])].as_buffer()) for r in (x, y))
-                same = len(a) + len(b) - len(np.unique(np.concatenate((a, b))))
-                if 100 * same >= percent * (len(a) + len(b) - same):
-                    gone.add(pair[0])
-            if gone:
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(gone), pa.int64())], names=["k"])
+            gone = np.zeros(len(k), bool)
+            for i, j in steps:
+                swap = place[i] > place[j]
+                later, earlier = np.where(swap, i, j), np.where(swap, j, i)
+                for x, y in zip(later[~gone[later]].tolist(), earlier[~gone[later]].tolist()):
+                    a, b = (tokens_from(tokens[int(order[r])].as_buffer()) for r in (x, y))
+                    same = len(a) + len(b) - len(np.unique(np.concatenate((a, b))))
+                    gone[x] |= 100 * same >= percent * (len(a) + len(b) - same)
+            if gone.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(k[gone]))], names=["k"])
 
     return placed.sortWithinPartitions(*GROUP).mapInArrow(run, "k bigint").distinct()
 
@@ -233,7 +259,7 @@ def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.
     one = described.where(F.col("prefix").isNotNull()).join(bounded(nodes), "k", "left_semi") \
         .groupBy("k").agg(F.min(F.struct("doc_id", "text_key", "line")).alias("at")).select("at.*")
     wanted = one.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_list("line").alias("want"))
-    wanted = bounded(written(wanted, "line-wanted"))
+    wanted = bounded_lists(written(wanted, "line-wanted"), "want")
     joined = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["__id"]) & (docs["text_key"] == wanted["__key"])).select("text", "want")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +285,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, line) of the lines that go; ``docs`` has doc_id, text_key and text."""
     counts = sketch(docs)
     described = written(describe(docs, counts, percent), "line-sets")
-    met = written(partnered(prefixes(described, counts), percent), "line-partners")
+    met = written(partnered(prefixes(described, counts, percent), percent), "line-partners")
     nodes = written(met.select("k").distinct(), "line-nodes")
     sets = written(sets_of(docs, described, nodes, counts), "line-shared-sets")
 
@@ -269,9 +295,9 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = written(met.join(classes.select("k", "o0", "o1"), "k"), "line-placed")
     gone = written(verified(earliest_partners(placed.repartition(*GROUP), percent), sets, percent).select(F.col("u").alias("k")).distinct(), "lines-gone")
 
-    # Groups with classes that still stand, against all their partners.
+    # Classes that still stand, against their other partners.
     rest = placed.join(gone.withColumn("gone", F.lit(True)), "k", "left").withColumn("standing", F.col("gone").isNull()).drop("gone")
-    rest = written(rest.withColumn("any", F.max("standing").over(Window.partitionBy(*GROUP))).where("any").drop("any"), "line-standing")
+    rest = written(contested(rest, percent), "line-standing")
     gone = gone.unionByName(similar_to_earlier(rest.join(sets, "k").repartition(*GROUP), percent)).distinct()
 
     marked = classes.join(gone.withColumn("gone", F.lit(True)), "k", "left").where("gone or times > 1")
@@ -293,7 +319,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, text_col: str = "text")
     keyed = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     going = removed_lines(keyed, percent).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")) \
         .agg(F.sort_array(F.collect_list("line")).alias("__going"))
-    going = bounded(written(going, "lines-going"))
+    going = bounded_lists(written(going, "lines-going"), "__going")
     out_cols = [c for c in others(docs, ("n_lines", "n_removed"))]
     joined = docs.select(*[F.col(f"`{c}`") for c in out_cols], text.alias("__text"), F.xxhash64(text).alias("__text_key")) \
         .join(going, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left") \

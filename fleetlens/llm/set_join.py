@@ -83,33 +83,49 @@ def by_group_and_size(number: np.ndarray, table: pa.Table, size: np.ndarray) ->
     return order[~again]
 
 
-def pairs_in_groups(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray, percent: int,
-                    allowed: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of one group that may be similar enough; rows stand in the order of ``by_group_and_size``.
+def band_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """Geometric size band; sets similar by ``percent`` lie in one band or in neighbouring ones."""
+    return (np.log(n) / (np.log(100 / percent) * (1 + 1e-9))).astype(np.int64)
+
+
+def largest_partner(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Largest similar set of one with ``n`` elements, of which the first ``pos`` are not shared (less than ``n``: none as large)."""
+    return (n - pos) * (100 + percent) // percent - n
+
+
+def pair_steps(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray, percent: int,
+               allowed: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j of one group that may be similar enough, some at a time; rows stand in the order of ``by_group_and_size``.
 
     ``rows``: n (set size), pos (position of the token in the set's order),
-    block, cut (whether the group pairs two different blocks).  ``sig``: parity
+    block, cut (whether the group pairs two different blocks); with ``home``
+    (false: the row only visits the group of the next size band), a pair needs a
+    row at home and counts under its first shared token only.  ``sig``: parity
     signature, 64-bit words.  Sizes, positions and signatures must agree and
     ``allowed(i, j)`` must hold.  All rows step through their neighbours
     together; a row drops out at the first neighbour that is too large for it.
+    Within one step no i and no j comes twice.
     """
     if not len(number):
-        return number, number
+        return
     n, pos, block, cut = (rows[c] for c in ("n", "pos", "block", "cut"))
+    home = rows.get("home")
     any_cut = bool(cut.any())
     end = np.searchsorted(number, number, side="right")
-    left, right = [], []
+    most = largest_partner(n, pos if home is not None else 0 * pos, percent)
     i = np.arange(len(number))
     step = 1
     i = i[i + step < end[i]]
     while len(i):
         j = i + step
-        a, b = n[i], n[j]
+        near = n[j] <= most[i]                         # larger neighbours are further away
+        i, j = i[near], j[near]
+        a, b, p, q = n[i], n[j], pos[i], pos[j]
         need = required(a, b, percent)
-        near = a >= need                               # a <= b: larger neighbours are further away
-        i, j, a, b, need = i[near], j[near], a[near], b[near], need[near]
-        p, q = pos[i], pos[j]
-        ok = np.minimum(p, q) + np.minimum(a - p, b - q) >= need
+        if home is None:
+            ok = np.minimum(p, q) + np.minimum(a - p, b - q) >= need
+        else:
+            ok = (np.minimum(a - p, b - q) >= need) & (home[i] | home[j])
         if any_cut:
             ok &= ~cut[i] | (block[i] != block[j])
         at = np.flatnonzero(ok)
@@ -121,12 +137,17 @@ def pairs_in_groups(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.nda
                 good = allowed(x, y)
                 x, y = x[good], y[good]
             if len(x):
-                left.append(x)
-                right.append(y)
+                yield x, y
         step += 1
         i = i[i + step < end[i]]
+
+
+def pairs_in_groups(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray, percent: int,
+                    allowed: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``pair_steps``."""
     none = np.empty(0, np.int64)
-    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+    steps = list(pair_steps(number, rows, sig, percent, allowed))
+    return tuple(np.concatenate(side) for side in zip(*steps)) if steps else (none, none)
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
