@@ -115,6 +115,31 @@ def test_decontamination_finds_edited_passages_and_no_others(spark, docs, empty)
     assert decontaminate.decontaminate(docs, bench.where("false")).count() == len(documents())
 
 
+def test_short_items_equal_a_scan_of_all_diagonals(spark):
+    """Items of 5 to 20 tokens, one token substituted at every place, and none, two or halves only, between other words."""
+    items, rows = [], []
+    for n in (5, 7, 8, 9, 10, 12, 13, 14, 20):
+        words = [f"b{n}x{i}" for i in range(n)]
+        items.append((None if n == 9 else n, " ".join(words)))
+        for wrong in [(), *[(i,) for i in range(n)], (1, n - 2), tuple(range(n // 2))]:
+            rows.append((len(rows), " ".join(["left words", *["zz" if i in wrong else w for i, w in enumerate(words)], "right words"])))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_hits(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                                       spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for doc_id, text in rows:
+        doc = text.split(" ")
+        for item_id, own in ((i, t.split(" ")) for i, t in items):
+            for shift in range(-len(own), len(doc)):
+                same = [0 <= shift + i < len(doc) and doc[shift + i] == w for i, w in enumerate(own)]
+                run = best = 0
+                for x in same:
+                    run = max(run + (1 if x else -decontaminate.MISMATCH), 0)
+                    best = max(best, run)
+                if best >= min(decontaminate.MIN_SCORE, len(own)) or len(own) >= 8 and sum(same) >= len(own) - 1:
+                    want.add((doc_id, item_id))
+    assert got == want and {i for _, i in got} == {i for i, _ in items}
+
+
 def test_toxicity_held_out_and_obfuscated(spark, empty):
     bad = ["idiot", "moron", "scum", "loser"]
     rows, labels = [], []
