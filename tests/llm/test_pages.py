@@ -98,6 +98,26 @@ def test_second_layouts_and_deviating_pages_have_their_template(spark):
     assert got[60] == _own(61) + "\nMy own section"
 
 
+def test_deep_and_wide_pages_end_quickly(spark):
+    """100,000 nested tags and 20,000 slots, aligned with another page of the host: no recursion, no quadratic table."""
+    deep = "<div>" * 100_000 + "deep words" + "</div>" * 100_000 + "<p>after</p>"
+    wide = "".join(f"<h2>h {i}</h2><p>p {i}</p>" for i in range(10_000))
+    other = "<section>other</section>" + "".join(f"<p>q {i}</p><h2>g {i}</h2>" for i in range(10_000)) + "<div>end</div>"
+    stray = "<div>" * 20_000 + "</section>" * 20_000 + "stray"
+    got = _texts(spark, [deep, wide, other, stray])
+    assert got[0] == "deep words\nafter" and got[3] == "stray"
+    assert got[1] == "\n".join(f"h {i}\np {i}" for i in range(10_000))
+    assert got[2] == "\n".join(["other", *(f"q {i}\ng {i}" for i in range(10_000)), "end"])
+
+
+def test_unequal_slots_are_matched_in_order():
+    tree = html_extract.shape(html_extract.parse("<h1>a</h1><div class=x>b</div><p>c</p><ul><li>d</ul><p>e</p><footer>f</footer>"))
+    found: dict[int, list] = {}
+    weight = html_extract.match(html_extract.parse("<h1>A</h1><p>C</p><table>t</table><p>E</p><footer>F</footer>"), tree, 0, found)
+    labels = [t[0] for _, t in html_extract.numbered(tree)]
+    assert weight == 5 and [labels[n] for n in sorted(found)] == ["html", "h1", "p", "p", "footer"]
+
+
 URLS = ["http://WWW.Example.com/en/1?x=1#y", "https://m.example.com/en/2", "http://a.net/es/3", "http://a.net/de/3", "http://net/fr/", "x.com/en/", None, "",
         "ftp://example.com", "http://example.com?q=/en/", "http://notexample.com/en/", "http://a.org/en/9/", "http://h://k/en"]
 
