@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens.llm import components, line_dedup, ngram_join, suffix_dedup
+from fleetlens.llm import components, line_dedup, ngram_join, set_join, suffix_dedup
 from tests.llm.data import SCHEMA, documents, edited, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -131,6 +131,23 @@ def test_line_dedup_equals_brute_force(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_frequent_words_meet_by_size_band_and_block(spark, monkeypatch):
+    """Every word is frequent and every band is cut: the same lines go as by comparing all pairs."""
+    for module in (line_dedup, set_join):
+        monkeypatch.setattr(module, "BLOCK", 3)
+    rnd, rows = random.Random(7), []
+    for i in range(120):
+        words = rnd.sample(range(60), rnd.choice((6, 9, 12, 15, 19, 24, 30)))
+        if i % 3 and rows:
+            words = [int(w[1:]) for w in rows[rnd.randrange(len(rows))][1].split(" ")]
+            words = [w for w in words if rnd.random() > 0.09] + [rnd.randrange(60) for _ in range(rnd.randrange(3))]
+        rows.append((i, " ".join(f"w{w}" for w in dict.fromkeys(words))))
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    sets = [frozenset(t.split(" ")) for _, t in rows]
+    want = {i: int(any(100 * len(a & b) >= 80 * len(a | b) for b in sets[:i])) for i, a in enumerate(sets)}
+    assert got == want and 20 < sum(want.values()) < 100
+
+
 def test_line_dedup_removes_repeats_of_short_lines(spark):
     """Lines of one to three distinct words, at any length, go like all others; lines without words stay."""
     long = "la " * 40 + "di da"
