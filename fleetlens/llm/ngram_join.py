@@ -19,31 +19,37 @@ Only links between *different* sets matter for components:
 * *first*, each document is verified against the partner it met most often, and
   what links is contracted: a group of thousands of near copies costs thousands of
   verifications, not all its pairs;
-* *then* documents of different components that met under l prefix tokens are
-  verified, exactly, on the sets.
+* *then* the rows that still meet a document of another component are dealt by
+  their tokens into buckets, and each bucket gets every set it needs once.  There a
+  pair that shares l prefix tokens is verified, exactly, unless links found in
+  the bucket already join its components.  A bucket gives only the links
+  that join components, so no list of pairs is ever made.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import (TOKEN_BITS, bounded, chunk_words, chunks, keep, mix, packed_sets, read, shingle_hashes, signatures,
-                                   token_bytes, written)
+from fleetlens.llm.common import (TOKEN_BITS, TOKEN_BYTES, bounded, chunk_words, chunks, keep, mix, packed_sets, read, shingle_hashes, signatures,
+                                   token_bytes, tokens_from, written)
 from fleetlens.llm.components import components
-from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pairs_in_groups, plausible, verified, whole_groups
+from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pair_steps, plausible, required, verified, whole_groups
 
 SKETCH = 1 << 18
 #: Matches that may be required, besides a 128th, 64th and 32nd of a set's size.
 MATCHES = (1, 2, 3, 4, 8)
 #: Tokens verified at the cost of one prefix token.
 VERIFY_TOKENS = 50
-#: Rounds of one partner each, before all pairs of different components.
-PARTNER_ROUNDS = 3
+#: Rows of a bucket in which pairs are verified, and bytes of its sets, as expected at most.
+BUCKET_ROWS = 40_000
+BUCKET_BYTES = 64 << 20
+#: Pairs found unlike that a bucket remembers; beyond that it forgets them and may look at one again.
+REMEMBERED = 1 << 20
 #: Documents that a rare token is expected to meet by chance.
 CHANCE = 0.5
 #: Words of the signature kept with the set, and of the shorter one in prefix rows.
@@ -125,7 +131,7 @@ class Rarity:
         return np.clip(np.maximum((expected + 24) // 2.5, np.where(hot > 1, 8 + hot, 0)), 0, 15).astype(np.uint64)
 
 
-_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, s0 bigint, s1 bigint"
+_DESCRIBED = "doc_id bigint, text_key bigint, k bigint, n int, matches int, prefix array<bigint>, s0 bigint, s1 bigint, sig binary"
 
 
 def choose_matches(size: np.ndarray, first: np.ndarray, excess: np.ndarray, percent: int) -> np.ndarray:
@@ -148,9 +154,9 @@ def choose_matches(size: np.ndarray, first: np.ndarray, excess: np.ndarray, perc
 
 
 def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Per row: set key ``k`` (null for empty sets) and size; signature; prefix once per key and task."""
+    """Per row: set key ``k`` (null for empty sets) and size; short signature; prefix and long signature once per key and task."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
-    names = ["doc_id", "text_key", "k", "n", "matches", "prefix", "s0", "s1"]
+    names = ["doc_id", "text_key", "k", "n", "matches", "prefix", "s0", "s1", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -167,19 +173,21 @@ def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
                 excess = np.maximum(rarity.seen[(token % np.uint64(SKETCH)).astype(np.int64)] - rarity.noise, 0.0) + CHANCE
                 matches = choose_matches(size, first, excess, percent)
                 short = signatures(token, size, 64 * ROW_SIGNATURE_WORDS).view(np.int64)
-                prefix = []
+                long = signatures(token, size, 64 * SIGNATURE_WORDS)
+                prefix, sig = [], []
                 for i, k in enumerate(key.tolist()):
                     a, b = first[i], first[i] + size[i]
                     new = k not in seen
                     seen.add(k)
                     prefix.append(token[a:b - (-(-percent * size[i] // 100)) + matches[i]].view(np.int64) if new else None)
+                    sig.append(long[i].tobytes() if new else None)
                 at = pa.array(rows[owner])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(key), pa.array(size.astype(np.int32)), pa.array(matches.astype(np.int32)),
-                     pa.array(prefix, pa.list_(pa.int64())), pa.array(short[:, 0]), pa.array(short[:, 1])], names=names)
+                     pa.array(prefix, pa.list_(pa.int64())), pa.array(short[:, 0]), pa.array(short[:, 1]), pa.array(sig, pa.binary())], names=names)
             none = pa.array(np.flatnonzero(~with_words))
             if len(none):
-                nulls = [pa.nulls(len(none), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64())]
+                nulls = [pa.nulls(len(none), t) for t in (pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(none), batch.column(1).take(none), pa.nulls(len(none), pa.int64()),
                                                   pa.array(np.zeros(len(none), np.int32)), *nulls], names=names)
 
@@ -213,29 +221,29 @@ def prefixes(described: DataFrame, counts: np.ndarray) -> DataFrame:
     return described.where(F.col("prefix").isNotNull()).select("k", "n", "s0", "s1", "prefix").mapInArrow(run, _PREFIXES)
 
 
-def compared(number: np.ndarray, table: pa.Table, percent: int, component: np.ndarray | None = None) -> tuple:
-    """(rows, i, j): the rows, one per set and group, and the pairs i < j (of different components) that pass the filters."""
+def compared(number: np.ndarray, table: pa.Table, percent: int, allowed: Callable[..., np.ndarray] | None = None) -> tuple:
+    """(rows, steps): the rows, one per set and group, and the pairs i < j that pass the filters (and ``allowed``), step by step."""
     k, packed = (table.column(x).to_numpy() for x in ("k", "np"))
     order = by_group_and_size(number, table, packed >> 32)
     packed = packed[order]
     rows = {"n": packed >> 32, "pos": packed & 0xFFFFFFFF, "block": table.column("block").to_numpy()[order],
             "cut": (table.column("bi").to_numpy() != table.column("bj").to_numpy())[order]}
     sig = np.column_stack([table.column(c).to_numpy()[order] for c in ("s0", "s1")]).view(np.uint64)
-    c = None if component is None else component[order]
-    i, j = pairs_in_groups(number[order], rows, sig, percent, None if c is None else lambda x, y: c[x] != c[y])
-    return order, i, j
+    return order, pair_steps(number[order], rows, sig, percent, None if allowed is None else lambda i, j: allowed(order[i], order[j]))
 
 
 def joined_under_tokens(rows: DataFrame, percent: int) -> DataFrame:
     """The rows of sets that have a partner passing all filters; ``v`` is one of them (null for the first of a group)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent)
-            if not len(i):
+            order, steps = compared(number, table, percent)
+            best, used = np.full(len(order), len(order), np.int64), np.zeros(len(order), bool)
+            for i, j in steps:                     # no row comes twice on one side
+                best[j] = np.minimum(best[j], i)
+                used[i] = used[j] = True
+            used = np.flatnonzero(used)
+            if not len(used):
                 continue
-            best = np.full(len(order), len(order), np.int64)
-            np.minimum.at(best, j, i)
-            used = np.unique(np.concatenate((i, j)))
             k = table.column("k").to_numpy()[order]
             none = best[used] == len(order)
             v = pa.array(k[np.where(none, 0, best[used])], mask=none)
@@ -279,18 +287,97 @@ def _of_mixed_groups(met: DataFrame, roots: DataFrame) -> DataFrame:
         .withColumn("low", F.min("c").over(by_group)).withColumn("high", F.max("c").over(by_group)).where("low <> high").drop("low", "high")
 
 
-def partnered_across(mixed: DataFrame, percent: int) -> DataFrame:
-    """(k, v): each row with its first partner of another component under that token."""
+def _long(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint64).reshape(table.num_rows, -1)
+
+
+def _may_link(table: pa.Table, label: Callable[[], np.ndarray], percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether rows stand under different labels and, if the table has it, their long signatures allow the similarity."""
+    n = table.column("np").to_numpy() >> 32
+    long = _long(table) if "sig" in table.column_names else None
+
+    def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        now = label()
+        ok = now[x] != now[y]
+        if long is not None:
+            x, y = x[ok], y[ok]
+            apart = np.bitwise_count(long[x] ^ long[y]).sum(axis=1, dtype=np.int64)
+            ok[ok] = apart <= n[x] + n[y] - 2 * required(n[x], n[y], percent)
+        return ok
+
+    return may
+
+
+def contested(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (together by GROUP) that have a partner of another component ``c`` passing all filters, the long signature's too if there is one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent, table.column("c").to_numpy())
-            if len(i):
-                k = table.column("k").to_numpy()[order]
-                first = np.flatnonzero(np.diff(j[np.lexsort((i, j))], prepend=-1))
-                at = np.lexsort((i, j))[first]
-                yield pa.RecordBatch.from_arrays([pa.array(k[j[at]]), pa.array(k[i[at]])], names=["k", "v"])
+            c = table.column("c").to_numpy()
+            order, steps = compared(number, table, percent, _may_link(table, lambda: c, percent))
+            used = np.zeros(len(order), bool)
+            for i, j in steps:
+                used[i] = used[j] = True
+            if used.any():
+                yield from table.take(pa.array(order[used])).combine_chunks().to_batches()
+
+    return rows.sortWithinPartitions(*GROUP).mapInArrow(run, rows.schema)
 
-    return mixed.sortWithinPartitions(*GROUP).mapInArrow(run, "k bigint, v bigint")
+
+def joining_links(table: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """(u, v): links between rows (``contested``, with ``matches``) of different components, as many as join what can be joined.
+
+    ``sets``: key and tokens (in prefix order) of every set among the rows.
+    """
+    table = table.sort_by([(c, "ascending") for c in GROUP])
+    keys = [table.column(c).to_numpy() for c in GROUP]
+    number = np.cumsum(np.any([np.diff(x, prepend=x[:1]) != 0 for x in keys], axis=0))
+    k, packed, matches = (table.column(x).to_numpy() for x in ("k", "np", "matches"))
+    n = packed >> 32
+    by_key = np.argsort(sets.column("key").to_numpy(), kind="stable")
+    at = by_key[np.searchsorted(sets.column("key").to_numpy(), k, sorter=by_key)].tolist()
+    tokens = sets.column("tokens")
+    _, parent = np.unique(table.column("c").to_numpy(), return_inverse=True)      # component of each row, as joined so far
+    links = []
+    order, steps = compared(number, table, percent, _may_link(table, lambda: parent, percent))
+    unlike: set[tuple[int, int]] = set()
+    length = n - -(-percent * n // 100) + matches
+    for i, j in steps:
+        for x, y in zip(order[i].tolist(), order[j].tolist()):
+            pair = at[x], at[y]
+            if pair in unlike or parent[x] == parent[y]:
+                continue
+            s, t = (tokens_from(tokens[r].as_buffer()) for r in pair)
+            met = len(np.intersect1d(s[:length[x]], t[:length[y]], assume_unique=True))
+            same = len(np.intersect1d(s, t, assume_unique=True)) if met >= min(matches[x], matches[y]) else 0
+            if 100 * same >= percent * (len(s) + len(t) - same):
+                links.append((k[x], k[y]))
+                parent[parent == parent[x]] = parent[y]
+            else:
+                if len(unlike) == REMEMBERED:
+                    unlike.clear()
+                unlike.add(pair)
+    u, v = (np.array([x[side] for x in links], np.int64) for side in (0, 1))
+    return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
+
+
+def links_across(met: DataFrame, roots: DataFrame, known: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """(u, v): links that join the components ``roots`` as far as any similar pairs do; ``sets(nodes)`` gives the sets of nodes,
+    ``known`` their ``matches`` and long signature.
+
+    Buckets are as many as keep the rows of one, and the bytes of its sets, near the bounds above.
+    """
+    near = written(contested(_of_mixed_groups(met, roots), percent), "ngram-mixed")
+    rows = near.join(known, "k").repartition(*GROUP)
+    rows = written(contested(rows, percent), "ngram-contested")
+    nodes = written(rows.select("k", F.shiftright("np", 32).alias("n")).distinct(), "ngram-nodes")
+    count, total = rows.agg(F.count("*"), F.coalesce(F.sum(F.shiftright("np", 32)), F.lit(0))).first()
+    whole = (nodes.agg(F.sum("n")).first()[0] or 0) * TOKEN_BYTES
+    buckets = max(1, -(-count // BUCKET_ROWS), -(-total * TOKEN_BYTES // BUCKET_BYTES) if whole > BUCKET_BYTES else 1)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*GROUP), F.lit(buckets)))
+    held = sets(nodes.select("k")).dropDuplicates(["k"]).select(F.col("k").alias("key"), "tokens")
+    asked = rows.select(F.col("bucket").alias("place"), F.col("k").alias("key")).distinct().join(held, "key")
+    return rows.groupBy("bucket").cogroup(asked.groupBy("place")) \
+        .applyInArrow(lambda x, y: joining_links(x, y, percent), "u bigint, v bigint")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -300,46 +387,33 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     ``component_id`` is the smallest doc_id among the rows that links reach
     from this row (null ids count for nothing; null if there is none).  Null,
     empty and blank texts have an empty set, a null ``set_key`` and link with
-    nothing.  Repeated rows have equal sets and share a component.  An empty
-    table gives an empty result.
+    nothing.  Repeated rows have equal sets and share a component.  Texts of
+    any length are read whole.  Columns beside doc_id and text do not matter.
+    An empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
     counts = sketch(docs, n)
     described = written(describe(docs, counts, n, percent), "ngram-sets")
     met = written(joined_under_tokens(prefixes(described, counts), percent), "ngram-partners")
-    matches = written(described.where(F.col("prefix").isNotNull()).select("k", "matches").distinct(), "ngram-matches")
-
-    def linked(met_often: DataFrame) -> DataFrame:
-        """The similar ones of the pairs (u, v, times) that met often enough."""
-        enough = met_often.join(matches.select(F.col("k").alias("u"), F.col("matches").alias("mu")), "u") \
-            .join(matches.select(F.col("k").alias("v"), F.col("matches").alias("mv")), "v").where("times >= least(mu, mv)").select("u", "v", "times")
-        # Only the sets that a pair asks for are built.
-        pairs = written(enough, "ngram-pairs")
-        nodes = written(pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct(), "ngram-nodes")
-        sets = written(sets_of(docs, described, nodes, counts, n), "ngram-shared-sets")
-        return verified(plausible(pairs, sets, percent), sets, percent)
-
-    # Rounds in which each set is verified against one partner of another component, the one it met most often.
-    links, roots = None, None
-    for turn in range(PARTNER_ROUNDS):
-        one = met if turn == 0 else partnered_across(_of_mixed_groups(met, roots), percent)
-        best = one.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("times")) \
-            .groupBy("k").agg(F.max(F.struct("times", "v")).alias("best")) \
-            .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times").distinct()
-        new = linked(best)
-        links = written(new if links is None else new.unionByName(links), "ngram-links")
-        roots = written(components(links), "ngram-roots")
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, table in whole_groups(batches):
-            order, i, j = compared(number, table, percent, table.column("c").to_numpy())
-            if len(i):
-                k = table.column("k").to_numpy()[order]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(k[i], k[j])), pa.array(np.minimum(k[i], k[j]))], names=["u", "v"])
-
-    mixed = _of_mixed_groups(met, roots)
-    often = mixed.sortWithinPartitions(*GROUP).mapInArrow(across, "u bigint, v bigint").groupBy("u", "v").agg(F.count("*").alias("times"))
-    links = written(linked(often).unionByName(links), "ngram-links")
+    known = written(described.where(F.col("prefix").isNotNull()).select("k", "matches", "sig").distinct(), "ngram-known")
+    matches = known.select("k", "matches")
+
+    # Only the sets that something asks for are built.
+    def sets(nodes: DataFrame) -> DataFrame:
+        return written(sets_of(docs, described, nodes, counts, n), "ngram-shared-sets")
+
+    # Each set is verified against the partner it met most often.
+    best = met.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("times")) \
+        .groupBy("k").agg(F.max(F.struct("times", "v")).alias("best")) \
+        .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times").distinct()
+    often = best.join(matches.select(F.col("k").alias("u"), F.col("matches").alias("mu")), "u") \
+        .join(matches.select(F.col("k").alias("v"), F.col("matches").alias("mv")), "v").where("times >= least(mu, mv)").select("u", "v")
+    pairs = written(often, "ngram-pairs")
+    of_pairs = sets(written(pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct(), "ngram-nodes"))
+    links = written(verified(plausible(pairs, of_pairs, percent), of_pairs, percent), "ngram-links")
+    roots = written(components(links), "ngram-roots")
+
+    links = written(links_across(met, roots, known, sets, percent).unionByName(links), "ngram-links")
     roots = components(links)
 
     ids = described.groupBy("k").agg(F.min("doc_id").alias("low"), F.max("n").alias("n_")).where(F.col("k").isNotNull())

@@ -142,14 +142,6 @@ def pair_steps(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray,
         i = i[i + step < end[i]]
 
 
-def pairs_in_groups(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray, percent: int,
-                    allowed: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of ``pair_steps``."""
-    none = np.empty(0, np.int64)
-    steps = list(pair_steps(number, rows, sig, percent, allowed))
-    return tuple(np.concatenate(side) for side in zip(*steps)) if steps else (none, none)
-
-
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` whose sizes and signatures (``sets``: k, n, sig) do not rule them out."""
     left = sets.select(F.col("k").alias("u"), F.col("n").alias("m"), F.col("sig").alias("x"))

@@ -71,6 +71,45 @@ def test_ngram_components_equal_brute_force(spark, docs, empty, n, percent):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
+def test_near_copies_are_never_all_paired(spark, monkeypatch):
+    """3,000 edits of one text, many pairs of them just below the limit: links stay in proportion to documents."""
+    counted = {}
+
+    def counting(df, name):
+        out = common_written(df, name)
+        counted[name] = max(counted.get(name, 0), out.count())
+        return out
+
+    common_written = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", counting)
+    rows = [(i, edited(prose(1, 60), 1000 + i, 0.02), "en", "s", 1) for i in range(3000)]
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), 3, 90).collect()}
+    sets = sorted(set(_sets(rows, 3)), key=sorted)
+    roots = dict(zip(sets, _components(sets, 90)))
+    low = {}
+    for r, s in zip(rows, _sets(rows, 3)):
+        low[roots[s]] = min(low.get(roots[s], r[0]), r[0])
+    assert got == {r[0]: low[roots[s]] for r, s in zip(rows, _sets(rows, 3))}
+    buckets = -(-counted["ngram-contested"] // ngram_join.BUCKET_ROWS)
+    assert counted["ngram-links"] <= len(sets) * (1 + max(buckets, 1))
+
+
+def test_buckets_of_any_number_give_the_same_components(spark, monkeypatch):
+    rows = [(i, edited(prose(1 + i % 3, 200), 300 + i, 0.02), "en", "s", 1) for i in range(120)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    one = sorted(ngram_join.jaccard_components(docs, 3, 80).select("doc_id", "component_id").collect())
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(ngram_join, "REMEMBERED", 3)
+    assert sorted(ngram_join.jaccard_components(docs, 3, 80).select("doc_id", "component_id").collect()) == one
+
+
+def test_near_duplicates_keep_clashing_columns(spark, docs):
+    clashing = docs.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(("k", "n", "component", "set_key", "text_key", "token", "bucket", "v"))])
+    kept = ngram_join.drop_near_duplicates(clashing)
+    assert kept.columns == clashing.columns
+    assert kept.count() == ngram_join.drop_near_duplicates(docs).count()
+
+
 def test_prefix_order_is_the_same_in_every_text():
     counts = np.random.default_rng(1).integers(0, 50, 2 * ngram_join.SKETCH)
     rarity = ngram_join.Rarity(counts)
