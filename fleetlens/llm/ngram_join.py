@@ -19,8 +19,8 @@ Only links between *different* sets matter for components:
 * *first*, each document is verified against the partner it met most often, and
   what links is contracted: a group of thousands of near copies costs thousands of
   verifications, not all its pairs;
-* *then* the rows that still meet a document of another component are dealt by
-  their tokens into buckets, and each bucket gets every set it needs once.  There a
+* *then* the rows that still meet a document of another component are dealt
+  into buckets, tokens with the same sets together, and each bucket gets every set it needs once.  There a
   pair that shares l prefix tokens is verified, exactly, unless links found in
   the bucket already join its components.  A bucket gives only the links
   that join components, so no list of pairs is ever made.
@@ -364,18 +364,26 @@ def links_across(met: DataFrame, roots: DataFrame, known: DataFrame, sets: Calla
     """(u, v): links that join the components ``roots`` as far as any similar pairs do; ``sets(nodes)`` gives the sets of nodes,
     ``known`` their ``matches`` and long signature.
 
-    Buckets are as many as keep the rows of one, and the bytes of its sets, near the bounds above.
+    Groups with the same smallest set go to one bucket, since they mostly have
+    the same sets: a set is copied once for each such smallest set, not for each
+    token.  Smallest sets with more than ``BUCKET_ROWS`` rows are salted.
+    Buckets are as many as keep their rows, and the bytes of their sets, near the bounds above.
     """
     near = written(contested(_of_mixed_groups(met, roots), percent), "ngram-mixed")
-    rows = near.join(known, "k").repartition(*GROUP)
-    rows = written(contested(rows, percent), "ngram-contested")
-    nodes = written(rows.select("k", F.shiftright("np", 32).alias("n")).distinct(), "ngram-nodes")
-    count, total = rows.agg(F.count("*"), F.coalesce(F.sum(F.shiftright("np", 32)), F.lit(0))).first()
-    whole = (nodes.agg(F.sum("n")).first()[0] or 0) * TOKEN_BYTES
-    buckets = max(1, -(-count // BUCKET_ROWS), -(-total * TOKEN_BYTES // BUCKET_BYTES) if whole > BUCKET_BYTES else 1)
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*GROUP), F.lit(buckets)))
-    held = sets(nodes.select("k")).dropDuplicates(["k"]).select(F.col("k").alias("key"), "tokens")
-    asked = rows.select(F.col("bucket").alias("place"), F.col("k").alias("key")).distinct().join(held, "key")
+    rows = contested(near.join(known, "k").repartition(*GROUP), percent)
+    rows = written(rows.withColumn("low", F.min("k").over(Window.partitionBy(*GROUP))), "ngram-contested")
+    many = rows.groupBy("low").count().where(F.col("count") > BUCKET_ROWS) \
+        .select(F.col("low").alias("__low"), F.ceil(F.col("count") / BUCKET_ROWS).alias("__salts"))
+    many = bounded(written(many, "ngram-hot-buckets"))
+    salt = F.pmod(F.xxhash64(*GROUP), F.coalesce("__salts", F.lit(1)))
+    rows = rows.join(many, F.col("low") == F.col("__low"), "left").withColumn("low", F.xxhash64("low", salt)).drop("__low", "__salts")
+    wanted = written(rows.groupBy("low", "k").agg(F.count("*").alias("rows"), F.max(F.shiftright("np", 32)).alias("n")), "ngram-wanted-sets")
+    count, total = wanted.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = max(1, -(-count // BUCKET_ROWS), -(-total * TOKEN_BYTES // BUCKET_BYTES))
+    bucket = F.pmod("low", F.lit(buckets))
+    rows = rows.withColumn("bucket", bucket)
+    held = sets(written(wanted.select("k").distinct(), "ngram-nodes")).dropDuplicates(["k"]).select(F.col("k").alias("key"), "tokens")
+    asked = wanted.select(bucket.alias("place"), F.col("k").alias("key")).distinct().join(held, "key")
     return rows.groupBy("bucket").cogroup(asked.groupBy("place")) \
         .applyInArrow(lambda x, y: joining_links(x, y, percent), "u bigint, v bigint")
 
