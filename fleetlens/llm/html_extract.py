@@ -6,7 +6,8 @@ of its own DOM tree, which it shares with the host's pages of the same layout.
 The alignment is simple tree matching (the largest order-keeping match of
 equally labelled nodes under matched parents); siblings in a row with one label
 count as one repeated slot.  Slots at both ends with equal labels are matched in turn, and the dynamic
-programme weighs only the rest.  Spark sums over all distinct pages (copies count
+programme weighs the whole rest, row by row (every so many rows are kept, those between are made again
+on the way back).  Spark sums over all distinct pages (copies count
 once), per reference, node and text hash: pages and length of the text.  The
 text that most pages have at a node is *template* there, if enough pages share
 it (``MIN_PAGES``, ``NODE_SHARE``, ``HOST_SHARE``).
@@ -24,10 +25,14 @@ from __future__ import annotations
 import html as html_lib
 import json
 import re
+import sys
 import zlib
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +52,14 @@ ROOT_SHARE = 0.6
 
 #: Elements nested deeper stand beside each other at this depth (their text stays).
 MAX_DEPTH = 200
-#: A rest of two nodes' slots with more pairs is matched in turn, each slot with the next of its label.
-WEIGHED_PAIRS = 10_000
+# A level of nested nodes takes some frames.
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))
+#: Rows of a dynamic programme that are kept at once, at least.
+KEPT_ROWS = 64
+#: Weights of one page that are remembered; beyond that they are forgotten and may be found again.
+REMEMBERED = 1 << 20
+#: Attributes up to so many characters are remembered with what they mean.
+SHORT_ATTRS = 200
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|$)|<(?=[a-zA-Z/])[^>]*$""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -69,15 +80,25 @@ _NEVER_WORDS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|ba
                           r"footer|header|masthead|pagination|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
 
 
+def named(tag: str, attrs: str) -> tuple[str, bool]:
+    """(label, whether it never holds an article) of an element."""
+    found = " ".join(f"{k.lower()}={v.strip(chr(34) + chr(39))}" for k, v in sorted(_ATTR.findall(attrs))) if "=" in attrs else ""
+    never = tag in NEVER or bool(found) and tag not in ("html", "body") and bool(_NEVER_WORDS.search(
+        " ".join(p.partition("=")[2] for p in found.split(" ") if "=" in p) or found))
+    return f"{tag} {found}" if found else tag, never
+
+
+_named = lru_cache(20_000)(named)
+
+
 class Node:
-    __slots__ = ("tag", "label", "never", "children")
+    __slots__ = ("tag", "label", "never", "children", "slots")
 
     def __init__(self, tag: str, attrs: str = ""):
-        found = " ".join(f"{k.lower()}={v.strip(chr(34) + chr(39))}" for k, v in sorted(_ATTR.findall(attrs))) if "=" in attrs else ""
-        self.tag, self.label = tag, f"{tag} {found}" if found else tag
-        self.never = tag in NEVER or bool(found) and tag not in ("html", "body") and bool(_NEVER_WORDS.search(
-            " ".join(p.partition("=")[2] for p in found.split(" ") if "=" in p) or found))
+        self.tag = tag
+        self.label, self.never = _named(tag, attrs) if len(attrs) <= SHORT_ATTRS else named(tag, attrs)
         self.children: list[Node | str] = []
+        self.slots: list[list[Node]] | None = None
 
 
 def parse(text: str) -> Node:
@@ -136,7 +157,9 @@ def parse(text: str) -> Node:
 
 
 def slots(node: Node) -> list[list[Node]]:
-    """Child elements, equally labelled neighbours together; inline elements are text."""
+    """Child elements of a parsed node, equally labelled neighbours together; inline elements are text."""
+    if node.slots is not None:
+        return node.slots
     out: list[list[Node]] = []
     for c in node.children:
         if isinstance(c, Node) and c.tag not in INLINE:
@@ -144,6 +167,7 @@ def slots(node: Node) -> list[list[Node]]:
                 out[-1].append(c)
             else:
                 out.append([c])
+    node.slots = out
     return out
 
 
@@ -167,63 +191,149 @@ def sizes(tree: list) -> int:
     return 1 + sum(map(sizes, tree[1]))
 
 
-def match(node: Node, tree: list, number: int, found: dict[int, list[Node]]) -> int:
+class Weights:
+    """Weights of a page's nodes against a reference's, remembered by their structures."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.by_node: dict[int, int] = {}
+        self.weights: dict[tuple[int, int], int] = {}
+
+    def _number(self, key: tuple) -> int:
+        return self.numbers.setdefault(key, len(self.numbers))
+
+    def of_slot(self, slot: list[Node]) -> int:
+        """Number of a page slot's structure."""
+        if len(slot) > 1:
+            return self._number(("slot", slot[0].label))
+        known = self.by_node.get(id(slot[0]))
+        if known is None:
+            known = self.by_node[id(slot[0])] = self._number(("page", slot[0].label, *map(self.of_slot, slots(slot[0]))))
+        return known
+
+    def of_tree(self, tree: list) -> int:
+        """Number of a reference node's structure."""
+        known = self.by_node.get(id(tree))
+        if known is None:
+            known = self.by_node[id(tree)] = self._number(("tree", tree[0], *map(self.of_tree, tree[1])))
+        return known
+
+    def weigh(self, slot: list[Node], tree: list) -> int:
+        if slot[0].label != tree[0]:
+            return 0
+        if len(slot) > 1 or not tree[1]:
+            return 1
+        key = self.of_slot(slot), self.of_tree(tree)
+        found = self.weights.get(key)
+        if found is None:
+            if len(self.weights) >= REMEMBERED:
+                self.weights.clear()
+            found = self.weights[key] = match(slot[0], tree, 0, {}, self)
+        return found
+
+
+def best_pairs(mine: list[list[Node]], theirs: list[list], weights: Weights) -> tuple[int, list[tuple[int, int]]]:
+    """(weight, pairs from the last to the first) of the heaviest order-keeping match of slots.  Time grows with the product
+    of their numbers, memory with the reference's times the root of the page's."""
+    kinds, first, kind = np.unique([weights.of_tree(t) for t in theirs], return_index=True, return_inverse=True)
+    samples = [theirs[j] for j in first.tolist()]
+    known: dict[int, np.ndarray] = {}
+
+    def gains(x: int) -> np.ndarray:
+        key = weights.of_slot(mine[x])
+        found = known.get(key)
+        if found is None:
+            if len(known) * len(kinds) >= REMEMBERED:
+                known.clear()
+            found = known[key] = np.array([weights.weigh(mine[x], t) for t in samples], np.int64)
+        return found
+
+    def after(row: np.ndarray, x: int) -> np.ndarray:
+        gain = gains(x)[kind]
+        out = row.copy()
+        np.maximum(out[1:], np.where(gain > 0, row[:-1] + gain, 0), out=out[1:])
+        return np.maximum.accumulate(out)
+
+    stride = max(KEPT_ROWS, isqrt(len(mine)))
+    rows = [np.zeros(len(theirs) + 1, np.int64)]
+    kept = rows[:]
+    for x in range(len(mine)):
+        if x and x % stride == 0:
+            rows = rows[-1:]
+            kept += rows
+        rows.append(after(rows[-1], x))
+    weight, pairs = int(rows[-1][-1]), []
+    x, y = len(mine), len(theirs)
+    while x and y:
+        start = (len(kept) - 1) * stride
+        while x > start and y:
+            gain = int(gains(x - 1)[kind[y - 1]])
+            here, above = rows[x - start], rows[x - start - 1]
+            if gain and here[y] == above[y - 1] + gain:
+                x, y = x - 1, y - 1
+                pairs.append((x, y))
+            elif here[y] == above[y]:
+                x -= 1
+            else:
+                y -= 1
+        kept.pop()
+        if x and y:
+            rows = kept[-1:]
+            for before in range(start - stride, start):
+                rows.append(after(rows[-1], before))
+    return weight, pairs
+
+
+def match(node: Node, tree: list, number: int, found: dict[int, list[Node]], weights: Weights | None = None) -> int:
     """Simple tree matching of a page node with a reference node of the same label; fills number -> page nodes."""
     found[number] = [node]
     mine, theirs = slots(node), tree[1]
     if not mine or not theirs:
         return 1
+    weights = weights or Weights()
     starts, at = [], number + 1
     for t in theirs:
         starts.append(at)
         at += sizes(t)
 
-    def pair(i: int, j: int, into: dict[int, list[Node]]) -> int:
+    def pair(i: int, j: int) -> int:
         if len(mine[i]) == 1 and theirs[j][1]:
-            return match(mine[i][0], theirs[j], starts[j], into)
-        into[starts[j]] = mine[i]
+            return match(mine[i][0], theirs[j], starts[j], found, weights)
+        found[starts[j]] = mine[i]
         return 1
 
     weight, head, tail, shorter = 1, 0, 0, min(len(mine), len(theirs))
     while head < shorter and mine[head][0].label == theirs[head][0]:
-        weight += pair(head, head, found)
+        weight += pair(head, head)
         head += 1
     while tail < shorter - head and mine[-1 - tail][0].label == theirs[-1 - tail][0]:
-        weight += pair(len(mine) - 1 - tail, len(theirs) - 1 - tail, found)
+        weight += pair(len(mine) - 1 - tail, len(theirs) - 1 - tail)
         tail += 1
-    rows, cols = range(head, len(mine) - tail), range(head, len(theirs) - tail)
-    if len(rows) * len(cols) > WEIGHED_PAIRS:
-        ahead: dict[str, deque[int]] = {}
-        for j in cols:
-            ahead.setdefault(theirs[j][0], deque()).append(j)
-        last = head - 1
-        for i in rows:
-            places = ahead.get(mine[i][0].label, deque())
-            while places and places[0] <= last:
-                places.popleft()
-            if places:
-                last = places.popleft()
-                weight += pair(i, last, found)
+    if head + tail == shorter:
         return weight
-    part: dict[tuple[int, int], tuple[int, dict[int, list[Node]]]] = {}
-    best = [[0] * (len(cols) + 1) for _ in range(len(rows) + 1)]
-    for x, i in enumerate(rows, 1):
-        for y, j in enumerate(cols, 1):
-            best[x][y] = max(best[x - 1][y], best[x][y - 1])
-            if mine[i][0].label == theirs[j][0]:
-                got: dict[int, list[Node]] = {}
-                part[x, y] = (pair(i, j, got), got)
-                best[x][y] = max(best[x][y], best[x - 1][y - 1] + part[x, y][0])
-    x, y = len(rows), len(cols)
-    while x and y:
-        if (x, y) in part and best[x][y] == best[x - 1][y - 1] + part[x, y][0]:
-            found.update(part[x, y][1])
-            x, y = x - 1, y - 1
-        elif best[x][y] == best[x - 1][y]:
-            x -= 1
-        else:
-            y -= 1
-    return weight + best[-1][-1]
+    more, pairs = best_pairs(mine[head:len(mine) - tail], theirs[head:len(theirs) - tail], weights)
+    for x, y in pairs:
+        pair(head + x, head + y)
+    return weight + more
+
+
+def aligned(page: Node, tree: list | None) -> dict[int, list[Node]]:
+    """What ``match`` finds for a page and a reference; without one, for its own shape, where all match."""
+    found: dict[int, list[Node]] = {}
+    if tree is not None:
+        match(page, tree, 0, found)
+        return found
+
+    def walk(node: Node) -> None:
+        found[len(found)] = [node]
+        for slot in slots(node):
+            if len(slot) == 1:
+                walk(slot[0])
+            else:
+                found[len(found)] = slot
+
+    walk(page)
+    return found
 
 
 def blocks(nodes: list[Node], drop: set[int], out: list[str], inside: bool = False) -> list[str]:
@@ -279,12 +389,17 @@ def measure(nodes: list[Node]) -> tuple[int, int]:
     return zlib.crc32(" ".join("".join(text).split()).encode("utf-8", "surrogatepass")), length
 
 
-def page_stats(page: Node, tree: list) -> Iterator[tuple[int, int, int]]:
-    """(reference node, text hash, text length) of every aligned node; lengths count the text of the whole node."""
-    found: dict[int, list[Node]] = {}
-    match(page, tree, 0, found)
-    for number, nodes in found.items():
-        yield number, *measure(nodes)
+def page_stats(page: Node, tree: list | None, known: dict[tuple[int, int], tuple[int, int]] | None = None) -> Iterator[tuple[int, int, int]]:
+    """(reference node, text hash, text length) of every aligned node; lengths count the text of the whole node.
+
+    Without ``tree`` the reference is the page's own shape; ``known`` remembers what was measured of this page.
+    """
+    known = {} if known is None else known
+    for number, nodes in aligned(page, tree).items():
+        key = id(nodes[0]), len(nodes)
+        if key not in known:
+            known[key] = measure(nodes)
+        yield number, *known[key]
 
 
 def induce(tree: list, stats: list[tuple], host_pages: int = 0) -> tuple[int, dict[int, int]]:
@@ -323,11 +438,10 @@ def main_text(html: str | None, tree: list | None, wrapper: tuple[int, dict[int,
     page = parse(html)
     drop: set[int] = set()
     roots = []
-    for shaped, learnt in ((tree, wrapper), (shape(page) if own is not None else None, own)):
-        if shaped is None or learnt is None or learnt[0] < 0:
+    for shaped, learnt in ((tree, wrapper if tree is not None else None), (None, own)):
+        if learnt is None or learnt[0] < 0:
             continue
-        found: dict[int, list[Node]] = {}
-        match(page, shaped, 0, found)
+        found = aligned(page, shaped)
         drop |= {id(n) for number, text in learnt[1].items() if number in found and measure(found[number])[0] == text for n in found[number]}
         if learnt[0] > 0 and learnt[0] in found:
             roots.append(found[learnt[0]])
@@ -357,8 +471,12 @@ def fallback(page: Node) -> list[Node]:
     return [page]
 
 
+def text_key(tree: str) -> int:
+    return zlib.crc32(tree.encode("utf-8", "surrogatepass")) + 1
+
+
 def shape_key(tree: list) -> int:
-    return zlib.crc32(json.dumps(tree).encode("utf-8", "surrogatepass")) + 1
+    return text_key(json.dumps(tree))
 
 
 def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -374,24 +492,33 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     refs = written(refs.mapInArrow(shapes, "host string, tree string"), "page-references")
 
-    # One row per page: its nodes' numbers, text hashes and lengths for the host's reference, then for its own shape.
+    # One row per page and reference: the nodes' numbers, text hashes and lengths for the host's reference, then for the page's own shape,
+    # whose tree comes once per batch.
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, nodes, ends = [], [], [0]
+            seen: set[tuple] = set()
             for host, tree, html, key in zip(*(c.to_pylist() for c in batch.columns)):
                 page = parse(html)
-                mine = shape(page)
-                for number, reference in ((0, json.loads(tree)), (shape_key(mine), mine)):
-                    rows.append((host, number, key, [dict(zip(("node", "hash", "length"), r)) for r in page_stats(page, reference)]))
+                mine = json.dumps(shape(page))
+                number = text_key(mine)
+                known: dict[tuple[int, int], tuple[int, int]] = {}
+                nodes += page_stats(page, json.loads(tree), known)
+                ends.append(len(nodes))
+                nodes += page_stats(page, None, known)
+                ends.append(len(nodes))
+                rows += (host, 0, key, None), (host, number, key, None if (host, number) in seen else mine)
+                seen.add((host, number))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("length", pa.int64())]))))],
-                    names=["host", "shape", "page", "nodes"])
+                node = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(zip(*nodes), (pa.int32(), pa.int64(), pa.int64()))], ["node", "hash", "length"])
+                host, number, key, mine = (pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.string())))
+                yield pa.RecordBatch.from_arrays([host, number, key, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), node), mine],
+                                                 names=["host", "shape", "page", "nodes", "tree"])
 
-    aligned = pages.join(refs, "host").select("host", "tree", "html", F.xxhash64("html").alias("page")) \
-        .mapInArrow(stats, "host string, shape bigint, page bigint, nodes array<struct<node: int, hash: bigint, length: bigint>>")
+    alignments = written(pages.join(refs, "host").select("host", "tree", "html", F.xxhash64("html").alias("page")).mapInArrow(
+        stats, "host string, shape bigint, page bigint, nodes array<struct<node: int, hash: bigint, length: bigint>>, tree string"), "page-alignments")
     # Copies of a page count once; they align alike.
-    once = aligned.groupBy("host", "shape", "page").agg(F.first("nodes").alias("nodes")).select("host", "shape", F.explode("nodes").alias("n")).select("host", "shape", "n.*")
+    once = alignments.groupBy("host", "shape", "page").agg(F.first("nodes").alias("nodes")).select("host", "shape", F.explode("nodes").alias("n")).select("host", "shape", "n.*")
     per_text = once.groupBy("host", "shape", "node", "hash").agg(F.count("*").alias("pages"), F.sum("length").alias("length"))
     per_node = per_text.groupBy("host", "shape", "node").agg(
         F.sum("pages").alias("pages"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.sum("length").alias("length"),
@@ -410,16 +537,7 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
                                               pa.array([list(f[1].values()) for f in found], pa.list_(pa.int64()))],
                                              names=["host", "shape", "tree", "root", "nodes", "texts"])
 
-    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[tuple, str] = {}
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mine = shape(parse(html))
-                seen.setdefault((host, shape_key(mine)), json.dumps(mine))
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
-                                              pa.array(list(seen.values()), pa.string())], names=["host", "shape", "tree"])
-
-    known = pages.select("host", "html").mapInArrow(trees, "host string, shape bigint, tree string").groupBy("host", "shape").agg(F.min("tree").alias("tree"))
+    known = alignments.where(F.col("tree").isNotNull()).groupBy("host", "shape").agg(F.min("tree").alias("tree"))
     schema = "host string, shape bigint, tree string, root int, nodes array<int>, texts array<bigint>"
     columns = ("host", "shape", "tree", "stats", "host_pages")
     of_host = hosts.withColumn("shape", F.lit(0).cast("bigint")).select(*columns).mapInArrow(learn, schema)

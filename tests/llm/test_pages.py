@@ -118,6 +118,25 @@ def test_unequal_slots_are_matched_in_order():
     assert weight == 5 and [labels[n] for n in sorted(found)] == ["html", "h1", "p", "p", "footer"]
 
 
+@pytest.mark.parametrize("n", [40, 600])
+def test_the_heaviest_match_at_any_number_of_slots(n):
+    """The early table belongs to the reference's end: matched in turn it would cost all headings."""
+    page = "<form>f</form><table><tr><td>x</td></tr></table>" + "<h2>a</h2><p>b</p>" * n + "<hr>"
+    tree = html_extract.shape(html_extract.parse("<hr>" + "<h2>a</h2><p>b</p>" * n + "<table><tr><td>x</td></tr></table><form>f</form><pre>x</pre>"))
+    found: dict[int, list] = {}
+    assert html_extract.match(html_extract.parse(page), tree, 0, found) == 1 + 2 * n
+    labels = [t[0] for _, t in html_extract.numbered(tree)]
+    assert sorted(labels[i] for i in found) == ["h2"] * n + ["html"] + ["p"] * n
+
+
+def test_a_page_and_its_own_shape_match_whole():
+    page = html_extract.parse(site(3) + "<ul><li>a<li>b</ul><div><div><p>x</p></div></div><p>y<p>z")
+    tree = html_extract.shape(page)
+    found: dict[int, list] = {}
+    html_extract.match(page, tree, 0, found)
+    assert html_extract.aligned(page, None) == found and list(found) == list(range(len(html_extract.numbered(tree))))
+
+
 URLS = ["http://WWW.Example.com/en/1?x=1#y", "https://m.example.com/en/2", "http://a.net/es/3", "http://a.net/de/3", "http://net/fr/", "x.com/en/", None, "",
         "ftp://example.com", "http://example.com?q=/en/", "http://notexample.com/en/", "http://a.org/en/9/", "http://h://k/en"]
 
