@@ -20,7 +20,8 @@ Only links between *different* sets matter for components:
   what links is contracted: a group of thousands of near copies costs thousands of
   verifications, not all its pairs;
 * *then* the rows that still meet a document of another component are dealt
-  into buckets, tokens with the same sets together, and each bucket gets every set it needs once.  There a
+  into buckets, tokens with the same sets together.  Each bucket first gets the long signature of every set, which has a bit
+  for each token, and then once the sets of the rows that it leaves with a partner.  There a
   pair that shares l prefix tokens is verified, exactly, unless links found in
   the bucket already join its components.  A bucket gives only the links
   that join components, so no list of pairs is ever made.
@@ -34,11 +35,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlens.llm.common import (TOKEN_BITS, TOKEN_BYTES, bounded, chunk_words, chunks, keep, mix, packed_sets, read, shingle_hashes, signatures,
-                                   token_bytes, tokens_from, written)
+from fleetlens.llm.common import (TOKEN_BITS, TOKEN_BYTES, bounded, chunk_words, chunks, keep, mix, packed_sets, read, scaled_signatures, shingle_hashes,
+                                   signatures, token_bytes, tokens_from, written)
 from fleetlens.llm.components import components
-from fleetlens.llm.set_join import BLOCK, GROUP, by_group_and_size, in_blocks, pair_steps, plausible, required, verified, whole_groups
+from fleetlens.llm.set_join import BLOCK, GROUP, Signatures, by_group_and_size, in_blocks, pair_steps, plausible, required, verified, whole_groups
 
 SKETCH = 1 << 18
 #: Matches that may be required, besides a 128th, 64th and 32nd of a set's size.
@@ -52,7 +54,7 @@ BUCKET_BYTES = 64 << 20
 REMEMBERED = 1 << 20
 #: Documents that a rare token is expected to meet by chance.
 CHANCE = 0.5
-#: Words of the signature kept with the set, and of the shorter one in prefix rows.
+#: Words, at least, of the signature kept with the set, and those of the shorter one in prefix rows.
 SIGNATURE_WORDS = 8
 ROW_SIGNATURE_WORDS = 2
 #: Node lists up to this many (32 MB) are broadcast to filter the sets; longer ones are joined by shuffle.
@@ -173,14 +175,14 @@ def describe(docs: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataF
                 excess = np.maximum(rarity.seen[(token % np.uint64(SKETCH)).astype(np.int64)] - rarity.noise, 0.0) + CHANCE
                 matches = choose_matches(size, first, excess, percent)
                 short = signatures(token, size, 64 * ROW_SIGNATURE_WORDS).view(np.int64)
-                long = signatures(token, size, 64 * SIGNATURE_WORDS)
+                long = scaled_signatures(token, size, 64 * SIGNATURE_WORDS)
                 prefix, sig = [], []
                 for i, k in enumerate(key.tolist()):
                     a, b = first[i], first[i] + size[i]
                     new = k not in seen
                     seen.add(k)
                     prefix.append(token[a:b - (-(-percent * size[i] // 100)) + matches[i]].view(np.int64) if new else None)
-                    sig.append(long[i].tobytes() if new else None)
+                    sig.append(long[i] if new else None)
                 at = pa.array(rows[owner])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(key), pa.array(size.astype(np.int32)), pa.array(matches.astype(np.int32)),
@@ -254,7 +256,7 @@ def joined_under_tokens(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.ndarray, n: int) -> DataFrame:
-    """(k, n, sig, tokens) of the sets ``nodes``, from the text of one document each."""
+    """(k, tokens) of the sets ``nodes``, from the text of one document each."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     one = described.where(F.col("prefix").isNotNull()).join(bounded(nodes, MAX_BROADCAST_NODES), "k", "left_semi") \
         .groupBy("k").agg(F.min(F.struct("doc_id", "text_key")).alias("at"))
@@ -271,13 +273,12 @@ def sets_of(docs: DataFrame, described: DataFrame, nodes: DataFrame, counts: np.
                 hashes, owner, begin, end, words = shingle_chunk(chunk, n)
                 _, size, key, first, token = packed_sets(hashes, owner, rarity.measure(hashes, begin, end, words))
                 new = [i for i, k in enumerate(key.tolist()) if k not in seen and not seen.add(k)]
-                raw, sig = token_bytes(token), signatures(token, size, 64 * SIGNATURE_WORDS)
+                raw = token_bytes(token)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[new]), pa.array(size[new].astype(np.int32)), pa.array([sig[i].tobytes() for i in new], pa.binary()),
-                     pa.array([raw[first[i]:first[i] + size[i]].tobytes() for i in new], pa.binary())], names=["k", "n", "sig", "tokens"])
+                    [pa.array(key[new]), pa.array([raw[first[i]:first[i] + size[i]].tobytes() for i in new], pa.binary())], names=["k", "tokens"])
 
     # Equal rows in several tasks give a set several times, and then a pair; that changes no component.
-    return joined.mapInArrow(run, "k bigint, n int, sig binary, tokens binary")
+    return joined.mapInArrow(run, "k bigint, tokens binary")
 
 
 def _of_mixed_groups(met: DataFrame, roots: DataFrame) -> DataFrame:
@@ -287,58 +288,70 @@ def _of_mixed_groups(met: DataFrame, roots: DataFrame) -> DataFrame:
         .withColumn("low", F.min("c").over(by_group)).withColumn("high", F.max("c").over(by_group)).where("low <> high").drop("low", "high")
 
 
-def _long(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint64).reshape(table.num_rows, -1)
-
-
-def _may_link(table: pa.Table, label: Callable[[], np.ndarray], percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """Whether rows stand under different labels and, if the table has it, their long signatures allow the similarity."""
-    n = table.column("np").to_numpy() >> 32
-    long = _long(table) if "sig" in table.column_names else None
-
-    def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        now = label()
-        ok = now[x] != now[y]
-        if long is not None:
-            x, y = x[ok], y[ok]
-            apart = np.bitwise_count(long[x] ^ long[y]).sum(axis=1, dtype=np.int64)
-            ok[ok] = apart <= n[x] + n[y] - 2 * required(n[x], n[y], percent)
-        return ok
-
-    return may
-
-
 def contested(rows: DataFrame, percent: int) -> DataFrame:
-    """The rows (together by GROUP) that have a partner of another component ``c`` passing all filters, the long signature's too if there is one."""
+    """The rows (together by GROUP) that have a partner of another component ``c`` passing all filters, with the smallest such set ``low`` of their group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in whole_groups(batches):
-            c = table.column("c").to_numpy()
-            order, steps = compared(number, table, percent, _may_link(table, lambda: c, percent))
+            c, k = table.column("c").to_numpy(), table.column("k").to_numpy()
+            order, steps = compared(number, table, percent, lambda x, y: c[x] != c[y])
             used = np.zeros(len(order), bool)
             for i, j in steps:
                 used[i] = used[j] = True
             if used.any():
-                yield from table.take(pa.array(order[used])).combine_chunks().to_batches()
-
-    return rows.sortWithinPartitions(*GROUP).mapInArrow(run, rows.schema)
+                at = order[used]
+                low = np.full(number[-1] + 1, np.iinfo(np.int64).max)
+                np.minimum.at(low, number[at], k[at])
+                yield from table.take(pa.array(at)).append_column("low", pa.array(low[number[at]])).combine_chunks().to_batches()
 
+    return rows.sortWithinPartitions(*GROUP).mapInArrow(run, T.StructType([*rows.schema, T.StructField("low", T.LongType())]))
 
-def joining_links(table: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
-    """(u, v): links between rows (``contested``, with ``matches``) of different components, as many as join what can be joined.
 
-    ``sets``: key and tokens (in prefix order) of every set among the rows.
-    """
+def _in_groups(table: pa.Table, sets: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """(rows sorted by GROUP, group number, place of each row's set in ``sets``)."""
     table = table.sort_by([(c, "ascending") for c in GROUP])
     keys = [table.column(c).to_numpy() for c in GROUP]
     number = np.cumsum(np.any([np.diff(x, prepend=x[:1]) != 0 for x in keys], axis=0))
-    k, packed, matches = (table.column(x).to_numpy() for x in ("k", "np", "matches"))
-    n = packed >> 32
     by_key = np.argsort(sets.column("key").to_numpy(), kind="stable")
-    at = by_key[np.searchsorted(sets.column("key").to_numpy(), k, sorter=by_key)].tolist()
+    return table, number, by_key[np.searchsorted(sets.column("key").to_numpy(), table.column("k").to_numpy(), sorter=by_key)]
+
+
+def still_contested(table: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """The ``contested`` rows whose long signature (``sets``: key, sig) allows a partner of another component."""
+    table, number, at = _in_groups(table, sets)
+    c, n, long = table.column("c").to_numpy(), table.column("np").to_numpy() >> 32, Signatures(sets.column("sig").to_pylist())
+
+    def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ok = c[x] != c[y]
+        x, y = x[ok], y[ok]
+        ok[ok] = long.apart(at[x], at[y]) <= n[x] + n[y] - 2 * required(n[x], n[y], percent)
+        return ok
+
+    order, steps = compared(number, table, percent, may)
+    used = np.zeros(len(order), bool)
+    for i, j in steps:
+        used[i] = used[j] = True
+    return table.take(pa.array(order[used])).drop_columns(["bucket"])
+
+
+def joining_links(table: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """(u, v): links between rows (``contested``) of different components, as many as join what can be joined.
+
+    ``sets``: key, matches, long signature and tokens (in prefix order) of every set among the rows.
+    """
+    table, number, place = _in_groups(table, sets)
+    k, n, matches = table.column("k").to_numpy(), table.column("np").to_numpy() >> 32, sets.column("matches").to_numpy()[place]
+    at, long = place.tolist(), Signatures(sets.column("sig").to_pylist())
     tokens = sets.column("tokens")
     _, parent = np.unique(table.column("c").to_numpy(), return_inverse=True)      # component of each row, as joined so far
     links = []
-    order, steps = compared(number, table, percent, _may_link(table, lambda: parent, percent))
+
+    def may(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ok = parent[x] != parent[y]
+        x, y = x[ok], y[ok]
+        ok[ok] = long.apart(place[x], place[y]) <= n[x] + n[y] - 2 * required(n[x], n[y], percent)
+        return ok
+
+    order, steps = compared(number, table, percent, may)
     unlike: set[tuple[int, int]] = set()
     length = n - -(-percent * n // 100) + matches
     for i, j in steps:
@@ -360,32 +373,40 @@ def joining_links(table: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
     return pa.table({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
 
-def links_across(met: DataFrame, roots: DataFrame, known: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """(u, v): links that join the components ``roots`` as far as any similar pairs do; ``sets(nodes)`` gives the sets of nodes,
-    ``known`` their ``matches`` and long signature.
+def in_buckets(rows: DataFrame, held: Callable[[DataFrame], DataFrame], token_size: float, run: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """``run(rows, sets)`` for every bucket of rows; ``held(nodes)`` gives what is needed of sets (key, ...), some ``token_size`` bytes a token.
 
-    Groups with the same smallest set go to one bucket, since they mostly have
+    Groups with the same smallest set ``low`` go to one bucket, since they mostly have
     the same sets: a set is copied once for each such smallest set, not for each
     token.  Smallest sets with more than ``BUCKET_ROWS`` rows are salted.
     Buckets are as many as keep their rows, and the bytes of their sets, near the bounds above.
     """
-    near = written(contested(_of_mixed_groups(met, roots), percent), "ngram-mixed")
-    rows = contested(near.join(known, "k").repartition(*GROUP), percent)
-    rows = written(rows.withColumn("low", F.min("k").over(Window.partitionBy(*GROUP))), "ngram-contested")
     many = rows.groupBy("low").count().where(F.col("count") > BUCKET_ROWS) \
         .select(F.col("low").alias("__low"), F.ceil(F.col("count") / BUCKET_ROWS).alias("__salts"))
     many = bounded(written(many, "ngram-hot-buckets"))
     salt = F.pmod(F.xxhash64(*GROUP), F.coalesce("__salts", F.lit(1)))
-    rows = rows.join(many, F.col("low") == F.col("__low"), "left").withColumn("low", F.xxhash64("low", salt)).drop("__low", "__salts")
-    wanted = written(rows.groupBy("low", "k").agg(F.count("*").alias("rows"), F.max(F.shiftright("np", 32)).alias("n")), "ngram-wanted-sets")
+    place = rows.join(many, F.col("low") == F.col("__low"), "left").withColumn("place", F.xxhash64("low", salt)).drop("__low", "__salts")
+    wanted = written(place.groupBy("place", "k").agg(F.count("*").alias("rows"), F.max(F.shiftright("np", 32)).alias("n")), "ngram-wanted-sets")
     count, total = wanted.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    buckets = max(1, -(-count // BUCKET_ROWS), -(-total * TOKEN_BYTES // BUCKET_BYTES))
-    bucket = F.pmod("low", F.lit(buckets))
-    rows = rows.withColumn("bucket", bucket)
-    held = sets(written(wanted.select("k").distinct(), "ngram-nodes")).dropDuplicates(["k"]).select(F.col("k").alias("key"), "tokens")
-    asked = wanted.select(bucket.alias("place"), F.col("k").alias("key")).distinct().join(held, "key")
-    return rows.groupBy("bucket").cogroup(asked.groupBy("place")) \
-        .applyInArrow(lambda x, y: joining_links(x, y, percent), "u bigint, v bigint")
+    buckets = max(1, -(-count // BUCKET_ROWS), int(total * token_size) // BUCKET_BYTES + 1)
+    bucket = F.pmod("place", F.lit(buckets))
+    asked = wanted.select(bucket.alias("place"), F.col("k").alias("key")).distinct().join(held(wanted.select("k").distinct()), "key")
+    return place.withColumn("bucket", bucket).drop("place").groupBy("bucket").cogroup(asked.groupBy("place")).applyInArrow(run, schema)
+
+
+def links_across(met: DataFrame, roots: DataFrame, known: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """(u, v): links that join the components ``roots`` as far as any similar pairs do; ``sets(nodes)`` gives the sets of nodes,
+    ``known`` their ``matches`` and long signature."""
+    rows = written(contested(_of_mixed_groups(met, roots), percent), "ngram-mixed")
+    described = known.select(F.col("k").alias("key"), "matches", "sig")
+    # A signature has some bits for each token.
+    rows = in_buckets(rows, lambda nodes: described, 0.25, lambda x, y: still_contested(x, y, percent), rows.schema)
+    rows = written(rows, "ngram-contested")
+
+    def held(nodes: DataFrame) -> DataFrame:
+        return sets(written(nodes, "ngram-nodes")).dropDuplicates(["k"]).select(F.col("k").alias("key"), "tokens").join(described, "key")
+
+    return in_buckets(rows, held, TOKEN_BYTES + 0.25, lambda x, y: joining_links(x, y, percent), "u bigint, v bigint")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -403,7 +424,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     counts = sketch(docs, n)
     described = written(describe(docs, counts, n, percent), "ngram-sets")
     met = written(joined_under_tokens(prefixes(described, counts), percent), "ngram-partners")
-    known = written(described.where(F.col("prefix").isNotNull()).select("k", "matches", "sig").distinct(), "ngram-known")
+    known = written(described.where(F.col("prefix").isNotNull()).select("k", "n", "matches", "sig").distinct(), "ngram-known")
     matches = known.select("k", "matches")
 
     # Only the sets that something asks for are built.
@@ -416,9 +437,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .select(F.greatest("k", "best.v").alias("u"), F.least("k", "best.v").alias("v"), "best.times").distinct()
     often = best.join(matches.select(F.col("k").alias("u"), F.col("matches").alias("mu")), "u") \
         .join(matches.select(F.col("k").alias("v"), F.col("matches").alias("mv")), "v").where("times >= least(mu, mv)").select("u", "v")
-    pairs = written(often, "ngram-pairs")
+    pairs = written(plausible(often, known, percent), "ngram-pairs")
     of_pairs = sets(written(pairs.select(F.col("u").alias("k")).union(pairs.select("v")).distinct(), "ngram-nodes"))
-    links = written(verified(plausible(pairs, of_pairs, percent), of_pairs, percent), "ngram-links")
+    links = written(verified(pairs, of_pairs, percent), "ngram-links")
     roots = written(components(links), "ngram-roots")
 
     links = written(links_across(met, roots, known, sets, percent).unionByName(links), "ngram-links")

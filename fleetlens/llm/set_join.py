@@ -142,6 +142,42 @@ def pair_steps(number: np.ndarray, rows: dict[str, np.ndarray], sig: np.ndarray,
         i = i[i + step < end[i]]
 
 
+def folded(sig: bytes, words: int) -> np.ndarray:
+    """A parity signature cut to ``words`` 64-bit words: a power of two, as its own length; what it counts stays the same."""
+    out = np.frombuffer(sig, np.uint64)
+    while len(out) > words:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
+class Signatures:
+    """Parity signatures of different lengths; two are compared at the length of the shorter one."""
+
+    def __init__(self, sigs: list[bytes]):
+        self.sigs = sigs
+        self.words = np.array([len(x) // 8 for x in sigs], np.int64)
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _table(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each signature in the table, table) of those with at least ``words`` words."""
+        if words not in self.tables:
+            has = np.flatnonzero(self.words >= words)
+            place = np.full(len(self.sigs), -1)
+            place[has] = np.arange(len(has))
+            self.tables[words] = place, np.array([folded(self.sigs[i], words) for i in has.tolist()])
+        return self.tables[words]
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which signatures x and y (by their index) differ: never more than the tokens in which their sets do."""
+        out = np.zeros(len(x), np.int64)
+        shorter = np.minimum(self.words[x], self.words[y])
+        for words in np.unique(shorter).tolist():
+            at = np.flatnonzero(shorter == words)
+            place, table = self._table(words)
+            out[at] = np.bitwise_count(table[place[x[at]]] ^ table[place[y[at]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` whose sizes and signatures (``sets``: k, n, sig) do not rule them out."""
     left = sets.select(F.col("k").alias("u"), F.col("n").alias("m"), F.col("sig").alias("x"))
@@ -152,9 +188,9 @@ def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             a, b = batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64)
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5))
+            sigs, at = Signatures(batch.column(4).to_pylist() + batch.column(5).to_pylist()), np.arange(batch.num_rows)
             need = required(a, b, percent)
-            mask = pa.array((np.minimum(a, b) >= need) & (np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= a + b - 2 * need))
+            mask = pa.array((np.minimum(a, b) >= need) & (sigs.apart(at, at + batch.num_rows) <= a + b - 2 * need))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["u", "v"])
 
     return pairs.join(left, "u").join(right, "v").select("u", "v", "m", "n", "x", "y").mapInArrow(run, "u bigint, v bigint")

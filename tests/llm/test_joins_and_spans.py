@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.llm import components, line_dedup, ngram_join, set_join, suffix_dedup
+from fleetlens.llm.common import scaled_signatures
 from tests.llm.data import SCHEMA, documents, edited, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,6 +104,23 @@ def test_buckets_of_any_number_give_the_same_components(spark, monkeypatch):
     assert sorted(ngram_join.jaccard_components(docs, 3, 80).select("doc_id", "component_id").collect()) == one
 
 
+def test_long_signatures_grow_with_the_set(spark):
+    """Sets of 6,000 tokens with Jaccard 0.5 or 0.7 are told apart by their signatures, also from shorter ones; similar ones never are."""
+    rng = np.random.default_rng(1)
+    token = np.unique(rng.integers(0, 1 << 48, 20_000, dtype=np.uint64))
+    token = token[rng.permutation(len(token))]
+    sets = [token[:6000], token[2000:8000], token[1058:7058], token[100:6050], token[:3500], token[:150]]
+    sigs = scaled_signatures(np.concatenate(sets), np.array([len(x) for x in sets]), 512)
+    assert [len(x) for x in sigs] == [1024, 1024, 1024, 1024, 512, 64]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i)]
+    apart = set_join.Signatures(sigs).apart(*np.array(pairs).T)
+    for (i, j), bits in zip(pairs, apart.tolist()):
+        assert bits <= len(np.setxor1d(sets[i], sets[j]))
+    known = spark.createDataFrame([(i, len(x), bytes(sig)) for i, (x, sig) in enumerate(zip(sets, sigs))], "k long, n int, sig binary")
+    got = set_join.plausible(spark.createDataFrame(pairs, "u long, v long"), known, 90).collect()
+    assert [(r.u, r.v) for r in got] == [(3, 0)]
+
+
 def test_near_duplicates_keep_clashing_columns(spark, docs):
     clashing = docs.select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(("k", "n", "component", "set_key", "text_key", "token", "bucket", "v"))])
     kept = ngram_join.drop_near_duplicates(clashing)
