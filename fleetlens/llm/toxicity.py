@@ -12,7 +12,9 @@
    word, so a run of tokens is segmented by the same Viterbi ('a m o r o n',
    'id iot').  Between two tokens that face each other with two plain letters
    each, the choice depends on those four letters alone: it is looked up, and
-   runs are cut where such a gap is kept.
+   runs are cut where such a gap is kept.  Two fixed letters in a row leave
+   Viterbi a single state, so a run is read in windows that reach from such a
+   pair to the next.
 3. *Lexicon*: each restored word has features (the word, its prefixes of three
    to six letters) in ``FEATURES`` hash buckets; a feature's evidence is the
    lower bound of its log odds between toxic and other labelled documents.
@@ -31,9 +33,10 @@ the evidence of up to ``CACHED`` tokens; a full cache is emptied.
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import groupby
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,7 @@ LM_BUCKETS = 1 << 18
 PAIR_BUCKETS = 1 << 14
 FEATURES = 1 << 19
 TRAIN_ROWS = 40_000
-CACHED = 400_000
+CACHED = 200_000
 
 #: What a character may stand for besides itself (fixed values of leetspeak).
 LEET = {
@@ -60,11 +63,12 @@ _LETTER = re.compile(r"[^\W\d_]")
 _ODD = re.compile(r"[^\W\d_].*[^\w\s]|[^\w\s].*[^\W\d_]|\d.*[^\W\d_]|[^\W\d_].*\d|_|(.)\1\1", re.S)
 _RUN = re.compile(r"(.)\1*", re.S)
 _DOUBLE = re.compile(r"(.)\1+")
+_TRIPLE = re.compile(r"(.)\1\1")
 
 # Channel costs in nats.
 SUBSTITUTE, LITERAL, DROP, COLLAPSE, KEEP_RUN = 0.7, 14.0, 0.7, 0.7, 3.0
-#: Two letters in a row that stand for themselves: neither is part of a repetition.
-_FIXED = re.compile(r"(?=([^\W\d_])(?!\1)([^\W\d_])(?!\2))(?<!(?=\1).)..", re.S)
+#: Two or more letters in a row that stand for themselves: none is part of a repetition.
+_FIXED = re.compile(r"(?:([^\W\d_])(?!\1)(?<!\1\1)){2,}", re.S)
 #: Runs of so many characters are remembered like tokens.
 REMEMBERED = 14
 #: A gap of a run that is dropped whatever stands around the letters beside it.
@@ -163,6 +167,7 @@ class Decoder:
     def restore(self, token: str) -> str:
         """The cheapest reading of a token, or of tokens with a blank in every gap."""
         states: dict[tuple[str, str], tuple[float, tuple | None]] = {("", ""): (0.0, None)}
+        memo, cost = self.memo, self.cost
         for number, part in enumerate(token.split(" ")):
             if number:
                 # Dropped: the word goes on.  Kept: it ends, and the next one starts.
@@ -179,8 +184,10 @@ class Decoder:
                 if len(options) == 1 and len(c) == 1 and c.isalpha():        # a plain letter, at no price
                     nearer: dict[tuple[str, str], tuple[float, tuple | None]] = {}
                     for (a, b), (paid, path) in states.items():
-                        paid += self.cost(a, b, c)
-                        if (b, c) not in nearer or paid < nearer[b, c][0]:
+                        step = memo.get((a, b, c))
+                        paid += cost(a, b, c) if step is None else step
+                        before = nearer.get((b, c))
+                        if before is None or paid < before[0]:
                             nearer[b, c] = (paid, (path, c))
                     states = nearer
                     continue
@@ -218,27 +225,33 @@ class Decoder:
         Two fixed letters in a row leave Viterbi a single state, so the readings before
         and after them do not depend on each other.  A gap that ``drops`` decides has such letters on either side.
         """
-        return "".join([self.piece(p) for p in run.split(SURE)])
-
-    def piece(self, piece: str) -> str:
-        """Reading of tokens with open gaps: what surrounds the gaps is cut off at the nearest fixed letters, read and remembered on its own."""
-        if " " not in piece:
-            return self.reading(piece)
-        first, last = piece[:piece.index(" ")], piece[piece.rindex(" ") + 1:]
-        cut = max((m.end() for m in _FIXED.finditer(first)), default=0)
-        back = _FIXED.search(last)
-        back = len(last) - back.start() if back else 0
-        window = piece[cut - 2 if cut else 0:len(piece) - (back - 2 if back else 0)]
-        out = self.reading(window)
-        return (self.reading(first[:cut]) + out[2:] if cut else out) + (self.reading(last[len(last) - back:])[2:] if back else "")
+        return "".join([self.reading(p) for p in run.split(SURE)])
 
     def reading(self, text: str) -> str:
-        """``restore``, remembered; letters without repetition stand for themselves."""
+        """``restore`` of a token or of tokens with open gaps; fixed letters stand for themselves, the windows between them are read and remembered."""
+        if text.isalpha() and not _DOUBLE.search(text):
+            return text
+        out: list[str] = []
+        done = 0                                         # end of the last fixed letters
+        for m in _FIXED.finditer(text):
+            start, end = m.span()
+            if start:
+                out.append(self.window(text[max(done - 2, 0):start + 2])[2 if done else 0:])
+                out.append(text[start + 2:end])
+            else:
+                out.append(text[:end])
+            done = end
+        if done < len(text):
+            out.append(self.window(text[max(done - 2, 0):])[2 if done else 0:])
+        return "".join(out)
+
+    def window(self, text: str) -> str:
+        """``restore``, remembered."""
         found = self.readings.get(text)
         if found is None:
             if len(self.readings) >= CACHED:
                 self.readings.clear()
-            found = self.readings[text] = text if text.isalpha() and not _DOUBLE.search(text) else self.restore(text)
+            found = self.readings[text] = self.restore(text)
         return found
 
 
@@ -252,13 +265,44 @@ def _spelled(path: tuple | None) -> str:
 
 def core(token: str) -> str:
     """A lower-case token without punctuation around it."""
-    token = token.strip(_EDGE).rstrip("!")
+    token = token.strip(_EDGE)
+    if token.isalpha():
+        return token
+    token = token.rstrip("!")
     return token.rstrip("$") if token.endswith("$$") else token
 
 
+#: Checksum of the mark before a prefix.
+_CARET = crc32(b"^")
+
+
 def features(word: str) -> list[int]:
     raw = [word.encode("utf-8", "surrogatepass")] + [b"^" + word[:n].encode("utf-8", "surrogatepass") for n in (3, 4, 5, 6) if len(word) > n]
-    return [zlib.crc32(r) % FEATURES for r in raw]
+    return [crc32(r) % FEATURES for r in raw]
+
+
+class _Pieces(dict):
+    """What ``scan`` asks of a token: as a piece of a word, whether it is short, its first and last two characters, whether it is a number; and what ``value`` makes of it."""
+
+    def __init__(self, value: Callable[[str, str], object]):
+        super().__init__()
+        self.value = value
+        self.ends: dict[str, str] = {}                   # one object per pair of characters
+
+    def clear(self) -> None:
+        super().clear()
+        self.ends.clear()
+
+    def __missing__(self, token: str) -> tuple[str, bool, str | None, str | None, bool, object]:
+        # A single character and a token of nothing but marks stand for themselves.
+        p = token if len(token) == 1 or token.isalpha() else core(token) or token
+        if (n := len(p)) > 1:
+            head, tail = p[:2], p[-2:]
+            known = p, n <= SHORT, self.ends.setdefault(head, head), self.ends.setdefault(tail, tail), n > SHORT and _is_number(p), self.value(token, p)
+        else:
+            known = p, True, None, None, False, self.value(token, p)
+        self[token] = known
+        return known
 
 
 class Restorer:
@@ -266,64 +310,74 @@ class Restorer:
 
     def __init__(self, counts: np.ndarray):
         self.decoder = Decoder(counts)
-        self.pieces: dict[str, str] = {}
+        self.pieces = _Pieces(self.value)
+
+    def value(self, token: str, piece: str) -> object:
+        """What ``scan`` gives for a token (``piece`` is the token without the marks around it, unless nothing is left)."""
+        return None
 
     def forms(self, token: str) -> list[str]:
         """The word that a token stands for (the words, if it is a run), and its form without doubled letters."""
         if " " in token or SURE in token:
-            words = [core(w) for w in self.decoder.restored(token).split()]
-            return list(dict.fromkeys(f for w in words for f in (w, _DOUBLE.sub(r"\1", w))))
-        word = core(token)
-        if len(word) > 2 and _ODD.search(word) and _LETTER.search(word):
+            joined = token.replace(SURE, "")
+            if joined.isalpha() and not _DOUBLE.search(joined):
+                return [joined]
+            words = dict.fromkeys([w if w.isalpha() else core(w) for w in self.decoder.restored(token).split()])
+            return list(dict.fromkeys([f for w in words for f in ((w, _DOUBLE.sub(r"\1", w)) if _DOUBLE.search(w) else (w,))]))
+        word = token if token.isalpha() else core(token)
+        if word.isalpha():
+            if not _DOUBLE.search(word):
+                return [word]
+            odd = _TRIPLE.search(word)                   # letters only: nothing else is odd
+        else:
+            odd = len(word) > 2 and _ODD.search(word) and _LETTER.search(word)
+        if odd:
             word = core(self.decoder.reading(word))
         single = _DOUBLE.sub(r"\1", word)
         return [word] if single == word else [word, single]
 
-    def scan(self, text: str) -> tuple[set[str], set[str]]:
-        """Distinct tokens of a text, and the runs of tokens whose gaps may be dropped, joined by blanks (``SURE`` where ``drops`` decides)."""
+    def scan(self, text: str) -> tuple[dict[str, object], set[str]]:
+        """Distinct tokens of a text with their ``value``, and the runs of tokens whose gaps may be dropped, joined by blanks (``SURE`` where ``drops`` decides)."""
         words = text.lower().split()
+        if len(self.pieces) >= CACHED:
+            self.pieces.clear()
         runs: set[str] = set()
-        pieces, gaps, drops = self.pieces, self.decoder.gaps, self.decoder.drops
-        if len(pieces) >= CACHED:
-            pieces.clear()
+        gaps, drops = self.decoder.gaps, self.decoder.drops
         run: list[str] = []                              # tokens and the gaps between them
-        last, last_short, tail = "", False, ""
-        for w in words:
-            known = pieces.get(w)
-            if known is None:
-                # A single character and a token of nothing but marks stand for themselves.
-                p = w if len(w) == 1 else core(w) or w
-                known = pieces[w] = (p, len(p) <= SHORT, p[:2] if len(p) > 1 else None, p[-2:] if len(p) > 1 else None)
-            p, short, head, end = known
-            if last and (short or last_short):
+        last, last_short, tail, last_number = "", False, "", False
+        pieces = list(map(self.pieces.__getitem__, words))
+        for p, short, head, end, number, _ in pieces:
+            if short or last_short:
                 if tail and head:
                     going = gaps.get(tail + head, 0)
                     if going == 0 and going is not False:
                         going = drops(last, p)
                 else:
                     going = None
-                if going or going is None and not _is_number(p) and not _is_number(last):
+                if (going or going is None and not number and not last_number) and last:
+                    if not run:
+                        run.append(last)
                     run += (SURE if going else " ", p)
-                    last, last_short, tail = p, short, end
+                    last, last_short, tail, last_number = p, short, end, number
                     continue
-            if len(run) > 1:
+            if run:
                 runs.update(_read_as(run))
-            run = [p]
-            last, last_short, tail = p, short, end
-        if len(run) > 1:
+                run = []
+            last, last_short, tail, last_number = p, short, end, number
+        if run:
             runs.update(_read_as(run))
-        return set(words), {r for r in runs if _LETTER.search(r)}
+        return {w: known[5] for w, known in dict(zip(words, pieces)).items()}, {r for r in runs if _LETTER.search(r)}
 
     def tokens(self, text: str) -> set[str]:
         """Distinct tokens, and the runs of tokens whose gaps may be dropped, joined by blanks."""
         found, runs = self.scan(text)
-        return found | {r.replace(SURE, " ") for r in runs}
+        return set(found) | {r.replace(SURE, " ") for r in runs}
 
 
 def _read_as(run: list[str]) -> Iterator[str]:
     """A run (tokens and gaps) as it stands, and its short tokens without the longer ones beside them (whose own reading may pull letters over)."""
     yield "".join(run)
-    if max(map(len, run)) <= SHORT:
+    if len(run) == 3 or max(map(len, run)) <= SHORT:
         return
     at = 0
     for short, part in groupby(run[::2], lambda p: len(p) <= SHORT):
@@ -335,43 +389,81 @@ def _read_as(run: list[str]) -> Iterator[str]:
 
 def _is_number(token: str) -> bool:
     """Too long to be a piece of a word, and without a letter."""
-    return len(token) > SHORT and not _LETTER.search(token)
+    return len(token) > SHORT and not token.isalpha() and not _LETTER.search(token)
+
+
+class Lister(Restorer):
+    """Restored words' features."""
+
+    def __init__(self, counts: np.ndarray):
+        super().__init__(counts)
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def value(self, token: str, piece: str) -> tuple[int, ...]:
+        word = piece if piece.isalpha() else token
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= CACHED:
+                self.known.clear()
+            found = self.known[word] = self.listed(word)
+        return found
+
+    def listed(self, token: str) -> tuple[int, ...]:
+        return tuple([f for w in self.forms(token) if w for f in features(w)])
 
 
 class Scorer(Restorer):
     def __init__(self, counts: np.ndarray, evidence: np.ndarray, weights: np.ndarray | None = None):
         super().__init__(counts)
-        self.evidence, self.weights = evidence.tolist(), weights
+        self.evidence, self.weights = array("f", evidence.astype(np.float32).tobytes()), weights
         self.known: dict[str, float] = {}
-        self.starts: dict[str, float] = {}
+
+    def value(self, token: str, piece: str) -> float:
+        """The evidence of a token: that of the word without the marks around it, if nothing else is left."""
+        word = piece if piece.isalpha() else token
+        found = self.known.get(word)
+        if found is None:
+            found = self.known[word] = self.of_token(word)
+        return found
 
     def of_word(self, word: str) -> float:
-        """The largest evidence of a word's features; that of its prefixes is remembered by the first seven letters."""
+        """The largest evidence of a word's ``features``; a prefix's checksum goes on from that of the one before."""
         if not word:
             return 0.0
-        start = word[:7]
-        most = self.starts.get(start)
-        if most is None:
-            if len(self.starts) >= CACHED:
-                self.starts.clear()
-            most = self.starts[start] = max([self.evidence[f] for f in features(start)[1:]], default=0.0)
-        return max(most, self.evidence[zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES])
+        evidence, raw, n = self.evidence, word.encode("utf-8", "surrogatepass"), len(word)
+        if len(raw) > n:
+            return max([evidence[f] for f in features(word)])
+        most = evidence[crc32(raw) % FEATURES]
+        if n > 3:
+            crc = crc32(raw[:3], _CARET)
+            most = max(most, evidence[crc % FEATURES])
+            for i in range(3, min(n - 1, 6)):
+                crc = crc32(raw[i:i + 1], crc)
+                most = max(most, evidence[crc % FEATURES])
+        return most
+
+    def of_token(self, token: str) -> float:
+        """The largest evidence of the words that a token or a run stands for."""
+        forms = self.forms(token)
+        return self.of_word(forms[0]) if len(forms) == 1 else max([self.of_word(w) for w in forms], default=0.0)
 
     def measure(self, text: str | None) -> tuple[float, float, float, float]:
         """The three largest evidences of a text's words, and the log of their number."""
         if not text:
             return 0.0, 0.0, 0.0, 0.0
-        tokens, runs = self.scan(text)
-        known, of_word = self.known, self.of_word
+        known = self.known
         if len(known) >= CACHED:
             known.clear()
+        tokens, runs = self.scan(text)
         count = len(tokens) + len(runs)
-        # Long runs hardly ever come again.
-        tokens.update([r for r in runs if len(r) <= REMEMBERED])
-        for t in tokens.difference(known):
-            known[t] = max([of_word(w) for w in self.forms(t)], default=0.0)
-        values = [v for v in map(known.__getitem__, tokens) if v]
-        values += [max([of_word(w) for w in self.forms(r)], default=0.0) for r in runs if len(r) > REMEMBERED]
+        values = [v for v in tokens.values() if v]
+        for r in runs:
+            if len(r) > REMEMBERED:                      # long runs hardly ever come again
+                v = self.of_token(r)
+            elif (v := known.get(r)) is None:
+                v = known[r] = self.of_token(r)
+            if v:
+                values.append(v)
         values = sorted(values, reverse=True)[:3] + [0.0] * 3
         return values[0], values[1], values[2], float(np.log1p(count))
 
@@ -405,19 +497,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
     train = written(train, "toxicity-train")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = _task_models(shared, lambda m: Restorer(m["counts"]))
+        restorer = _task_models(shared, lambda m: Lister(m["counts"]))
         for batch in batches:
             seen = {0: np.zeros(FEATURES, np.int64), 1: np.zeros(FEATURES, np.int64)}
             docs_seen = [0, 0]
-            memo: dict[str, list[int]] = {}
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found: set[int] = set()
                 tokens, runs = restorer.scan(text or "")
-                for t in tokens.difference(memo):
-                    memo[t] = [f for w in restorer.forms(t) if w for f in features(w)]
-                found.update(*[memo[t] for t in tokens])
+                found: set[int] = set().union(*tokens.values())
                 for r in runs:                          # they hardly ever come again
-                    found.update([f for w in restorer.forms(r) if w for f in features(w)])
+                    found.update(restorer.listed(r))
                 seen[int(y)][list(found)] += 1
                 docs_seen[int(y)] += 1
             at = np.flatnonzero(seen[0] + seen[1])

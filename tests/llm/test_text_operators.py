@@ -188,6 +188,19 @@ def test_toxicity_gaps_cut_early_leave_the_same_segments():
         assert whole <= {w for t in restorer.tokens(text) for w in ([t] if " " not in t else restorer.decoder.restore(t).split())}
 
 
+def test_toxicity_reads_windows_between_fixed_letters():
+    """Tokens that differ only away from what is odd share a remembered window, and read as the whole token does."""
+    tri, pair = toxicity.char_counts(" ".join(prose(i, 200, 50) for i in range(20)) + " the cat sat on a mat of an old inn to be in it")
+    decoder = toxicity.Restorer(toxicity.np.concatenate((tri, pair))).decoder
+    ends = [a + b for a in "bcdfg" for b in "aeiou"]
+    for token in [f"{x}m00n{y}st" for x in ends for y in ends] + [f"{x}ring a ba{y}" for x in ends for y in ends]:
+        assert decoder.reading(token) == decoder.restore(token), token
+    assert len(decoder.readings) <= 5 * 5 * 25 + 1
+    for token in ("aa", "a", "1d1ot", "baab", "abba a abba", "a a", "aab b baa", "½x½", "m o ooo n", "xx.yy", "llama, 1l1ama"):
+        assert decoder.reading(token) == decoder.restore(token), token
+    assert decoder.reading("plainword") == "plainword" and "plainword" not in decoder.readings
+
+
 def test_toxicity_fit_counts_repeated_rows_once_and_keeps_them_off_the_driver(spark, monkeypatch):
     rows = [(i, prose(1000 + i, 30) + (" idiot scum" if i % 4 == 0 else "")) for i in range(120)]
     marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
