@@ -46,4 +46,4 @@ def test_stages_survive_awkward_rows(spark):
 def test_one_query_per_operator():
     names = set(registry.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
